@@ -23,7 +23,7 @@ from requestmill.operators import clean, contract, reports
 from requestmill.plans.transform import TransformOptions, transform
 from requestmill.session import use_utc
 from requestmill.sources import files, landing, state, tables
-from requestmill.sources.master import BROADCAST_ROWS, Layout, Master
+from requestmill.sources.master import BROADCAST_BYTES, Layout, Master
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ class RunConfig:
     layout: Layout = field(default_factory=Layout)
     options: TransformOptions = field(default_factory=TransformOptions)
     publish: Callable[[DataFrame], None] | None = None
-    broadcast_rows: int = BROADCAST_ROWS
+    broadcast_bytes: int = BROADCAST_BYTES
     keep_staging: bool = False
 
     @property
@@ -79,7 +79,7 @@ def raw_master(spark: SparkSession, config: RunConfig) -> Master:
         S.EXTRACTED_SCHEMA,
         config.layout,
         config.raw_format,
-        broadcast_rows=config.broadcast_rows,
+        broadcast_bytes=config.broadcast_bytes,
     )
 
 
@@ -89,7 +89,7 @@ def processed_master(spark: SparkSession, config: RunConfig) -> Master:
         f"{config.root}/processed",
         S.PROCESSED_SCHEMA,
         config.layout,
-        broadcast_rows=config.broadcast_rows,
+        broadcast_bytes=config.broadcast_bytes,
         milliseconds=True,
     )
 

@@ -190,8 +190,8 @@ def _schema_rows(missing: str | None = None, extra: str | None = None) -> str:
         else:
             status = "ok" if place == wanted else "misplaced"
         kind = kinds.get(column, "bigint")
-        longest = f"max(length({column}))" if place and kind == "string" else "NULL"
-        nulls = f"count(*) - count({column})" if place else "NULL"
+        longest = f"max(length({column}))" if place and kind == "string" else "max(NULL)"
+        nulls = f"count(*) - count({column})" if place else "max(NULL)"
         rows.append(
             f"SELECT '{column}' AS column_name, CAST({wanted or 'NULL'} AS INTEGER) AS "
             f"expected_position, CAST({place or 'NULL'} AS INTEGER) AS actual_position, "

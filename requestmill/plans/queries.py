@@ -399,7 +399,7 @@ def _merged_master(spark: SparkSession, sf_dir: str, layout: Layout) -> DataFram
 
 @query
 def merge_master_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_master(spark, sf_dir, Layout("days"))
+    return _merged_master(spark, sf_dir, Layout("time"))
 
 
 @query

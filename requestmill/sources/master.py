@@ -1,6 +1,6 @@
 """A master dataset: the current row of every key, replaced piece by piece.
 
-Rows lie in partitions, either by creation day or by key bucket. A merge rewrites
+Rows lie in partitions, either by creation time or by key bucket. A merge rewrites
 the partitions it touches into a new folder and then replaces one small pointer
 file that names the folder of every partition. Readers see the old or the new
 state and never a mixture, and a run that dies on the way changes nothing.
@@ -26,38 +26,65 @@ from requestmill.functions.temporal import parse_timestamp
 PART = "part"
 BATCH = "batch_id"
 
-# Below this many rows the keys of an increment are small enough to send to all
-# executors: at 100 bytes each, 100 MB.
-BROADCAST_ROWS = 1_000_000
+# Keys of an increment are sent to all executors up to this size, which is measured.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Rough cost of one row in a broadcast relation besides its key.
+ROW_OVERHEAD = 50
+
+_TIME_UNITS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd", "month": "yyyy-MM"}
+NO_TIME = "none"
 
 
 @dataclass(frozen=True)
 class Layout:
     """How rows are spread over partitions.
 
-    ``days``: increments of recent requests then rewrite recent days only.
-    A changed creation time may move a row, so the merge looks its key up in the
-    other days. ``buckets``: a key never moves, at the price that a large
-    increment touches every bucket.
+    ``time``: by creation hour, day or month. Increments of recent requests then
+    rewrite recent partitions only. A changed creation time may move a row, so the
+    merge looks its key up in the other partitions; say ``rows_move=False`` for a
+    source that never changes it. ``buckets``: by key. A key never moves, at the
+    price that a large increment touches every bucket.
     """
 
-    kind: str = "days"
+    kind: str = "time"
+    unit: str = "day"
     column: str = "created_date"
+    rows_move: bool = True
     buckets: int = 64
 
+    def __post_init__(self) -> None:
+        if self.kind not in ("time", "buckets") or self.unit not in _TIME_UNITS:
+            raise ValueError(f"unknown layout {self.kind} by {self.unit}")
+
     @property
     def keys_stay(self) -> bool:
-        return self.kind == "buckets"
+        return self.kind == "buckets" or not self.rows_move
 
     def partition_of(self, df: DataFrame, key: str) -> Column:
         if self.kind == "buckets":
             return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("string")
-        if self.kind != "days":
-            raise ValueError(f"unknown layout {self.kind}")
         moment = F.col(self.column)
         if isinstance(df.schema[self.column].dataType, T.StringType):
             moment = parse_timestamp(moment)
-        return F.coalesce(F.date_format(moment, "yyyy-MM-dd"), F.lit("none"))
+        return F.coalesce(F.date_format(moment, _TIME_UNITS[self.unit]), F.lit(NO_TIME))
+
+
+@dataclass(frozen=True)
+class Keys:
+    """Measured facts about the keys of an increment."""
+
+    rows: int
+    broadcast_size: int
+    lowest: str | None
+    highest: str | None
+    any_null: bool
+
+    def within(self, key: str) -> Column:
+        """A condition every one of these keys meets; it is pushed to the scan."""
+        inside = F.lit(False)
+        if self.lowest is not None:
+            inside = F.col(key).between(self.lowest, self.highest)
+        return inside | F.col(key).isNull() if self.any_null else inside
 
 
 @dataclass(frozen=True)
@@ -79,7 +106,7 @@ class Master:
         layout: Layout = Layout(),
         fmt: str = "parquet",
         key: str = KEY,
-        broadcast_rows: int = BROADCAST_ROWS,
+        broadcast_bytes: int = BROADCAST_BYTES,
         milliseconds: bool = False,
     ) -> None:
         self.spark = spark
@@ -87,7 +114,7 @@ class Master:
         self.layout = layout
         self.fmt = fmt
         self.key = key
-        self.broadcast_rows = broadcast_rows
+        self.broadcast_bytes = broadcast_bytes
         self.milliseconds = milliseconds
         self.columns = list(schema.names)
         self.stored = T.StructType(
@@ -117,25 +144,65 @@ class Master:
         paths = [f"{self._data_path}/{v}/{PART}={p}" for p, v in sorted(folders.items())]
         return reader.format(self.fmt).load(paths).select(*self.stored.names)
 
-    def read(self) -> DataFrame:
-        """The current rows; empty with the full schema before the first merge."""
-        return self._read_partitions(self.pointer()["partitions"]).select(*self.columns)
+    def read(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """The current rows; empty with the full schema before the first merge.
+
+        ``start`` and ``end`` (days as ``YYYY-MM-DD``, ``end`` left out) restrict a
+        time layout to creation times between them, and the scan to their folders.
+        """
+        folders = self.pointer()["partitions"]
+        if start is None and end is None:
+            return self._read_partitions(folders).select(*self.columns)
+        if self.layout.kind != "time":
+            raise ValueError("only a time layout can be read by time")
+        width = len(_TIME_UNITS[self.layout.unit])
+        chosen = {
+            p: v
+            for p, v in folders.items()
+            if p != NO_TIME
+            and (start is None or p >= start[:width])
+            and (end is None or p < end)
+        }
+        rows = self._read_partitions(chosen).select(*self.columns)
+        moment = F.col(self.layout.column)
+        if start is not None:
+            rows = rows.where(moment >= F.lit(start).cast("timestamp"))
+        if end is not None:
+            rows = rows.where(moment < F.lit(end).cast("timestamp"))
+        return rows
+
+    def _measure(self, new: DataFrame) -> Keys:
+        """Row count, size and range of the increment's keys; reads only the key."""
+        key = F.col(self.key)
+        row = new.agg(
+            F.count("*"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0)),
+            F.min(key), F.max(key), F.count_if(key.isNull()),
+        ).first()
+        return Keys(row[0], row[1] + ROW_OVERHEAD * row[0], row[2], row[3], row[4] > 0)
 
     def _names(self, df: DataFrame) -> set[str]:
-        """Partition names in a relation: as many as there are days or buckets."""
+        """Partition names in a relation: as many as there are time units or buckets."""
         return {row[0] for row in df.select(PART).distinct().toLocalIterator()}
 
-    def _touched(self, new: DataFrame, folders: dict[str, str], small: bool) -> set[str]:
-        """Partitions that get new rows or hold a row the increment replaces."""
+    def _touched(
+        self, new: DataFrame, folders: dict[str, str], keys: Keys, small: bool
+    ) -> set[str]:
+        """Partitions that get new rows or hold a row the increment replaces.
+
+        The lookup reads the key column of the other partitions, and of those only
+        the row groups whose key range meets the increment's.
+        """
         touched = self._names(new)
         others = {p: v for p, v in folders.items() if p not in touched}
         if self.layout.keys_stay or not others:
             return touched
-        keys = new.select(F.col(self.key).alias("_new_key")).distinct()
+        wanted = new.select(F.col(self.key).alias("_new_key")).distinct()
         if small:
-            keys = F.broadcast(keys)
-        holding = self._read_partitions(others).join(
-            keys, F.col(self.key).eqNullSafe(F.col("_new_key")), "left_semi"
+            wanted = F.broadcast(wanted)
+        holding = (
+            self._read_partitions(others)
+            .where(keys.within(self.key))
+            .join(wanted, F.col(self.key).eqNullSafe(F.col("_new_key")), "left_semi")
         )
         return touched | self._names(holding)
 
@@ -161,8 +228,9 @@ class Master:
         folders = before["partitions"]
 
         new = self._as_stored(increment, version)
-        small = increment.count() <= self.broadcast_rows
-        touched = self._touched(new, folders, small)
+        keys = self._measure(new)
+        small = keys.broadcast_size <= self.broadcast_bytes
+        touched = self._touched(new, folders, keys, small)
         old = self._read_partitions({p: v for p, v in folders.items() if p in touched})
         if folders and not small:
             strategy = "union"

@@ -12,9 +12,15 @@ from pyspark.sql.streaming import StreamingQuery
 from requestmill import schemas as S
 from requestmill.operators import clean
 from requestmill.plans.increment import RunConfig, process
-from requestmill.session import use_utc
+from requestmill.session import session_conf, use_utc
 from requestmill.sources import landing, state
 
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+}
+
 
 @dataclass(frozen=True)
 class StreamConfig:
@@ -72,9 +78,8 @@ def stream_increments(
         .option("checkpointLocation", f"{config.root}/checkpoints/{stream.name}")
         .foreachBatch(apply)
     )
-    if stream.interval:
-        return writer.trigger(processingTime=stream.interval).start()
-    return writer.trigger(availableNow=True).start()
+    trigger = {"processingTime": stream.interval} if stream.interval else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
 
 def first_of_each_key(
@@ -104,7 +109,11 @@ def stream_first_of_each_key(
     interval: str | None = "1 minute",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Write the append-only variant to Parquet below ``target``."""
+    """Write the append-only variant to Parquet below ``target``.
+
+    Keys in view are kept in RocksDB, off the heap. The number of shuffle
+    partitions of the first start is kept for the life of the checkpoint.
+    """
     use_utc(spark)
     rows = first_of_each_key(read_stream(spark, config, files_per_batch), delay)
     writer = (
@@ -113,6 +122,6 @@ def stream_first_of_each_key(
         .option("checkpointLocation", f"{config.root}/checkpoints/first-of-key")
         .outputMode("append")
     )
-    if interval:
-        return writer.trigger(processingTime=interval).start()
-    return writer.trigger(availableNow=True).start()
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    with session_conf(spark, ROCKSDB):
+        return writer.trigger(**trigger).start()
