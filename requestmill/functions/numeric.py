@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 
 from requestmill.functions.text import strip_blanks
 
-# Spark's own cast also takes suffixes such as 1.0d, hence the check.
-NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
+_INFINITY = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 def parse_number(text: Column) -> Column:
-    """Text to double; anything that is not a plain number gives NULL."""
+    """Text to double; anything that is not a plain number gives NULL.
+
+    Spark's own cast also takes suffixes such as ``1.0d``, hexadecimal numbers and
+    ``nan``. Those are told apart by their characters, which costs less than a
+    regular expression.
+    """
     stripped = strip_blanks(text)
-    return F.when(stripped.rlike(NUMBER_PATTERN), stripped.try_cast("double"))
+    lower = F.lower(stripped)
+    ends_well = F.right(stripped, F.lit(1)).isin(*"0123456789.")
+    plain = (ends_well & ~F.contains(lower, F.lit("x"))) | lower.isin(*_INFINITY)
+    return F.when(plain, stripped.try_cast("double"))
 
 
 def both_outside(

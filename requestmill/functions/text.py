@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 
 from requestmill.schemas import NA_TOKENS
 
-# The characters Python's str.strip() removes.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+# The characters Python's str.strip() removes, ASCII ones first.
+ASCII_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+WHITESPACE = ASCII_BLANKS + (
+    "\x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
 def strip_blanks(text: Column) -> Column:
-    """Remove blanks of every kind at both ends; ``trim`` alone only knows spaces."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove blanks of every kind at both ends; ``trim`` alone only knows spaces.
+
+    The search through the long list is left to texts that are not plain ASCII.
+    """
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.btrim(text, F.lit(ASCII_BLANKS))).otherwise(
+        F.btrim(text, F.lit(WHITESPACE))
+    )
 
 
 def clean_text(text: Column, missing: str = "NAN") -> Column:
