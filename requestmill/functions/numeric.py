@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from requestmill.functions.text import strip_blanks
 
-_INFINITY = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
-
-
 def parse_number(text: Column) -> Column:
     """Text to double; anything that is not a plain number gives NULL.
 
@@ -19,8 +16,9 @@ def parse_number(text: Column) -> Column:
     """
     stripped = strip_blanks(text)
     lower = F.lower(stripped)
-    ends_well = F.right(stripped, F.lit(1)).isin(*"0123456789.")
-    plain = (ends_well & ~F.contains(lower, F.lit("x"))) | lower.isin(*_INFINITY)
+    digits = F.contains(F.lit("0123456789."), F.right(stripped, F.lit(1)))
+    infinite = lower.endswith("inf") | lower.endswith("infinity")
+    plain = (digits & ~lower.contains("x")) | infinite
     return F.when(plain, stripped.try_cast("double"))
 
 

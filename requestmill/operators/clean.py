@@ -47,7 +47,7 @@ def null_na_tokens(
     ]
     if not tokens or not names:
         return df
-    return df.withColumns({n: text.null_if_token(F.col(n), tokens) for n in names})
+    return df.withColumns({n: text.null_if_token(n, tokens) for n in names})
 
 
 def parse_timestamps(

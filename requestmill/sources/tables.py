@@ -58,6 +58,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def table_columns(spark: SparkSession, name: str) -> DataFrame:
+    """Position, name, type, text limit and nullability of a table's columns."""
+    nullable = {c.name: c.nullable for c in spark.catalog.listColumns(name)}
+    kinds = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    rows = [(i, c, kinds[c], can) for i, (c, can) in enumerate(nullable.items(), start=1)]
+    described = spark.createDataFrame(
+        rows, "position int, column_name string, data_type string, nullable boolean"
+    )
+    limit = F.regexp_extract("data_type", r"^varchar\((\d+)\)$", 1).try_cast("int")
+    return described.select(
+        "position", "column_name", "data_type", limit.alias("max_length"), "nullable"
+    )
+
+
 def as_reporting_rows(processed: DataFrame) -> DataFrame:
     """The processed columns in order, with the types of the reporting table."""
     return processed.select(

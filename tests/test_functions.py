@@ -156,3 +156,10 @@ def test_percent_of_nothing_is_null(spark):
         numeric.percent_of(F.lit(0), F.lit(0)),
     )
     assert got == [(33.3, None)]
+
+
+def test_tokens_with_quotes_and_odd_column_names(spark):
+    tokens = ("it's", "back\\slash", "plain")
+    frame = spark.createDataFrame([(t,) for t in (*tokens, "kept", " plain")], "`a b``c` string")
+    got = [r[0] for r in frame.select(text.null_if_token("a b`c", tokens)).collect()]
+    assert got == [None, None, None, "kept", " plain"]

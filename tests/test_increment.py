@@ -1,0 +1,240 @@
+"""Increments end to end, as runs and as a stream."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+
+from requestmill.operators import contract, reports
+from requestmill.plans.increment import (
+    RunConfig, load_batch, processed_master, raw_master, refresh_to, run_increment, run_record,
+)
+from requestmill.plans.sample_data import increments, raw_requests
+from requestmill.plans.transform import transform
+from requestmill.sources import landing, state, tables
+from requestmill.sources.master import Layout
+from requestmill.streaming import increments as streams
+
+SMALL = "/root/testdata/sf0.001"
+NOW = datetime(2025, 1, 10, 12, 0, 0)
+MONTHS = Layout("time", unit="month")
+
+
+def land(config, name, *rows):
+    path = Path(config.landing, name)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    fields = ("unique_key", "created_date", "closed_date", "agency")
+    base = {"complaint_type": "Noise", "borough": "BRONX", "status": "Open"}
+    path.write_text("".join(json.dumps({**dict(zip(fields, r)), **base}) + "\n" for r in rows))
+
+
+def config_for(folder, **more):
+    return RunConfig(f"{folder}/root", f"{folder}/landing", **{"layout": MONTHS, **more})
+
+
+def content(spark, config):
+    rows = processed_master(spark, config).read().collect()
+    assert len(rows) == len({r.unique_key for r in rows})
+    return {r.unique_key: r.agency for r in rows}
+
+
+def mark(spark, config):
+    return state.load_mark(spark, config.state_path)
+
+
+@pytest.mark.parametrize("raw_format", ["parquet", "csv"])
+def test_two_increments(spark, folder, raw_format):
+    config = config_for(folder, raw_format=raw_format)
+    land(config, "1.json",
+         ("old", "2024-12-01T00:00:00", None, "A"),
+         ("1", "2025-01-05T00:00:00", None, "first"),
+         ("1", "2025-01-05T00:00:00", None, "second"),
+         ("2", "2025-01-06T00:00:00.500", None, "A"))
+    entry = run_increment(spark, config, NOW, "r1")
+    # More than seven days old is not read by a first run.
+    assert content(spark, config) == {"1": "FIRST", "2": "A"}
+    assert (entry["raw_count"], entry["processed_count"], entry["status"]) == (3, 2, "success")
+    # Of one key, the raw master keeps the last row of a batch.
+    raw = {r.unique_key: r.agency for r in raw_master(spark, config).read().collect()}
+    assert raw == {"1": "second", "2": "A"}
+    assert mark(spark, config) == "2025-01-06T00:00:00"
+
+    land(config, "2.json",
+         ("2", "2025-01-06T00:00:00.500", "2025-01-07T00:00:00", "B"),
+         ("3", "2025-01-08T00:00:00", None, "B"),
+         ("1", "2025-01-05T00:00:00", None, "too late"))
+    run_increment(spark, config, NOW + timedelta(minutes=1), "r2")
+    assert content(spark, config)["1"] == "FIRST"
+    assert content(spark, config)["3"] == "B"
+    assert mark(spark, config) == "2025-01-08T00:00:00"
+
+    ledger = state.read_ledger(spark, config.ledger_path)
+    assert reports.ledger_report(ledger).first().asDict() == {
+        "total_batches": 2, "first_batch": "r1", "last_batch": "r2", "raw_records": 6,
+    }
+    assert [r.run_id for r in reports.recent_batches(ledger, 1).collect()] == ["r2"]
+    report = reports.state_report(state.read_state(spark, config.state_path), ledger).first()
+    assert report.last_processed_date == "2025-01-08T00:00:00"
+    assert report.last_successful_run == "2025-01-10T12:01:00"
+    assert report.total_records_processed == 4
+    assert not Path(config.root, "staging", "r1").exists()
+
+
+def test_state_report_before_any_run(spark, folder):
+    config = config_for(folder)
+    report = reports.state_report(
+        state.read_state(spark, config.state_path), state.read_ledger(spark, config.ledger_path)
+    ).first()
+    assert tuple(report) == ("N/A", "N/A", 0)
+
+
+def test_empty_increment_changes_nothing(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2024-01-01T00:00:00", None, "A"))
+    entry = run_increment(spark, config, NOW, "r1")
+    assert (entry["status"], entry["raw_count"]) == ("empty", 0)
+    assert mark(spark, config) is None
+    assert content(spark, config) == {}
+    assert state.read_ledger(spark, config.ledger_path).count() == 0
+
+
+def test_full_load_ignores_the_mark_and_lookback_reads_behind_it(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("2", "2025-01-09T00:00:00", None, "A"))
+    run_increment(spark, config, NOW, "r1")
+    land(config, "2.json", ("1", "2025-01-08T00:00:00", None, "B"))
+    run_increment(spark, config, NOW, "r2")
+    assert content(spark, config) == {"2": "A"}
+    behind = config_for(folder, lookback=timedelta(days=2))
+    run_increment(spark, behind, NOW, "r3")
+    assert content(spark, config) == {"1": "B", "2": "A"}
+    assert mark(spark, config) == "2025-01-09T00:00:00"
+    land(config, "3.json", ("0", "2025-01-04T00:00:00", None, "C"))
+    run_increment(spark, config_for(folder, force_full=True), NOW, "r4")
+    assert content(spark, config) == {"0": "C", "1": "B", "2": "A"}
+    run_increment(spark, config_for(folder, force_full=True, days_back=1), NOW, "r5")
+    assert mark(spark, config) == "2025-01-09T00:00:00"
+
+
+def test_publication_quarantines_and_replaces(spark, folder):
+    tables.create_table(spark, "published", f"{folder}/published")
+    config = config_for(folder, publish=refresh_to("published"))
+    raw = raw_requests(spark, SMALL).drop("seq")
+    raw.write.json(config.landing)
+    ordered = landing.with_row_place(landing.with_file_place(landing.read_landing(spark, config.landing)))
+    entry = load_batch(spark, config, ordered, NOW, "r1")
+    assert entry["publish_status"] == "succeeded"
+    assert run_record(spark, entry).first().run_id == "r1"
+    master = processed_master(spark, config).read()
+    refused = spark.read.parquet(config.quarantine_path)
+    assert refused.count() == master.where("created_date IS NULL").count() > 0
+    assert {r.violations for r in refused.collect()} == {"created_date_missing"}
+    assert spark.table("published").count() == master.count() - refused.count()
+    assert contract.contract_violations(spark.table("published")).where("violations > 0").count() == 0
+    spark.sql("DROP TABLE published")
+
+
+def test_failed_publication_leaves_the_mark_and_can_be_repeated(spark, folder):
+    def fail(_):
+        raise OSError("target gone")
+
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+    with pytest.raises(OSError):
+        run_increment(spark, config_for(folder, publish=fail), NOW, "r1")
+    assert mark(spark, config) is None
+    row = state.read_ledger(spark, config.ledger_path).first()
+    assert (row.publish_status, row.status) == ("failed", "partial")
+    run_increment(spark, config, NOW, "r2")
+    assert content(spark, config) == {"1": "A"}
+    assert mark(spark, config) == "2025-01-09T00:00:00"
+
+
+def test_status_of_a_load():
+    assert reports.load_status(True, True, None) == "success"
+    assert reports.load_status(True, True, True) == "success"
+    assert reports.load_status(True, True, False) == "partial"
+    assert reports.load_status(False, True, None) == "failed"
+    assert reports.load_status(True, False, True) == "failed"
+
+
+def run_stream(spark, config, **more):
+    stream = streams.StreamConfig(interval=None, run_ts=NOW, **more)
+    query = streams.stream_increments(spark, config, stream)
+    query.awaitTermination()
+    return query
+
+
+def test_stream_equals_batch_and_restart_adds_nothing(spark, folder):
+    config = config_for(folder, order="seq")
+    for batch in increments(spark, SMALL):
+        batch.drop("batch_id").write.mode("append").json(config.landing)
+        run_stream(spark, config)
+    got = processed_master(spark, config).read()
+    first, second = increments(spark, SMALL)
+    kept = transform(first, NOW).join(transform(second, NOW).select("unique_key"), "unique_key", "left_anti")
+    want = kept.select(got.columns).unionByName(transform(second, NOW))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    before = state.read_ledger(spark, config.ledger_path).count()
+    run_stream(spark, config)
+    assert state.read_ledger(spark, config.ledger_path).count() == before == 2
+
+
+def test_stream_takes_files_one_by_one_in_order(spark, folder):
+    config = config_for(folder)
+    for number in range(3):
+        land(config, f"{number}.json", ("1", "2025-01-09T00:00:00", None, f"v{number}"))
+        run_stream(spark, config, files_per_batch=1)
+    assert content(spark, config) == {"1": "V2"}
+    assert state.read_ledger(spark, config.ledger_path).count() == 3
+
+
+@pytest.mark.parametrize("drop_late", [False, True])
+def test_late_rows(spark, folder, drop_late):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+    run_stream(spark, config, drop_late=drop_late)
+    land(config, "2.json",
+         ("late", "2025-01-08T00:00:00", None, "B"), ("edge", "2025-01-09T00:00:00", None, "B"))
+    run_stream(spark, config, drop_late=drop_late)
+    want = {"1": "A", "edge": "B"} | ({} if drop_late else {"late": "B"})
+    assert content(spark, config) == want
+    assert mark(spark, config) == "2025-01-09T00:00:00"
+
+
+def test_replayed_batch_changes_nothing(spark, folder, monkeypatch):
+    """A batch that fails behind the merges comes again after the restart."""
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"), ("2", "2025-01-09T00:00:00", None, "A"))
+
+    def fail(*_):
+        raise OSError("ledger gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(state, "append_ledger", fail)
+        with pytest.raises(Exception, match="ledger gone"):
+            run_stream(spark, config)
+    assert content(spark, config) == {"1": "A", "2": "A"}
+    assert mark(spark, config) is None
+    run_stream(spark, config)
+    assert content(spark, config) == {"1": "A", "2": "A"}
+    assert state.read_ledger(spark, config.ledger_path).count() == 1
+    assert mark(spark, config) == "2025-01-09T00:00:00"
+
+
+def test_append_only_stream_passes_each_key_once(spark, folder):
+    config = config_for(folder, order="seq")
+    target = f"{folder}/first"
+    raw = raw_requests(spark, SMALL)
+    for _ in range(2):
+        raw.repartition(4).write.mode("append").json(config.landing)
+        streams.stream_first_of_each_key(
+            spark, config, target, delay="60 days", interval=None
+        ).awaitTermination()
+    got = [r.unique_key for r in spark.read.parquet(target).collect()]
+    want = {r.unique_key for r in raw.where("created_date <> 'not-a-date'").collect()}
+    assert len(got) == len(set(got))
+    assert set(got) == want

@@ -1,0 +1,210 @@
+"""Landing zone, raw formats, state, ledger and tables."""
+
+from __future__ import annotations
+
+import json
+import os
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from requestmill import schemas as S
+from requestmill.operators import contract, incidents
+from requestmill.plans.sample_data import raw_requests
+from requestmill.plans.transform import transform
+from requestmill.session import session_conf, shared_folder
+from requestmill.sources import files, landing, state, tables
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def land(folder, name, *records, age=0):
+    path = Path(folder, name)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("".join(json.dumps(r) + "\n" for r in records))
+    moment = datetime(2025, 1, 1).timestamp() + age
+    os.utime(path, (moment, moment))
+    return path
+
+
+def record(key, created, **more):
+    return {"unique_key": key, "created_date": created, "agency": "NYPD",
+            "complaint_type": "Noise", "borough": "BRONX", **more}
+
+
+def test_json_landing_has_a_fixed_schema(spark, folder):
+    land(folder, "a.json", record("1", "2025-01-01T00:00:00"), {"unique_key": 2, "surprise": [1]})
+    rows = landing.read_landing(spark, folder).orderBy("unique_key")
+    assert rows.columns == list(S.RAW_COLUMNS)
+    found = rows.collect()
+    assert [r.unique_key for r in found] == ["1", "2"]
+    assert found[0].descriptor is None
+    assert found[1].agency is None
+
+
+def test_increment_bound_is_inclusive_and_lookback_widens_it(spark, folder):
+    land(folder, "a.json",
+         record("1", "2025-01-01T09:59:59.999"), record("2", "2025-01-01T10:00:00.000"),
+         record("3", "2025-01-01 10:00:01"), record("4", "later"))
+    raw = landing.read_landing(spark, folder)
+
+    def keys(df):
+        return sorted(r.unique_key for r in df.collect())
+
+    assert keys(landing.extract_incremental(raw, "2025-01-01 10:00:00.750")) == ["2", "3"]
+    wider = landing.extract_incremental(raw, "2025-01-01T10:00:00", lookback=timedelta(minutes=1))
+    assert keys(wider) == ["1", "2", "3"]
+    assert keys(landing.extract_days_back(raw, "2025-01-08T10:00:00")) == ["2", "3"]
+    assert keys(landing.extract_days_back(raw, "2025-01-08T10:00:01", 7)) == ["3"]
+    ordered = landing.in_creation_order(landing.extract_incremental(raw, "2025-01-01"), ("unique_key",))
+    assert [r.unique_key for r in ordered.collect()] == ["1", "2", "3"]
+
+
+def test_bound_on_typed_landing_is_pushed_down(spark, folder):
+    raw = landing.clean.parse_timestamps(raw_requests(spark, SMALL))
+    raw.write.parquet(f"{folder}/typed")
+    found = landing.extract_incremental(
+        landing.read_landing(spark, f"{folder}/typed", "parquet", S.EXTRACTED_SCHEMA), "2024-01-15"
+    ).select("unique_key", "created_date")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_date," in plan
+    assert "ReadSchema: struct<unique_key:string,created_date:timestamp>" in plan
+
+
+def test_old_files_can_be_skipped(spark, folder):
+    land(folder, "old.json", record("1", "2024-12-01"), age=-3600)
+    land(folder, "new.json", record("2", "2025-01-01"), age=3600)
+    raw = landing.read_landing(spark, folder, modified_after="2025-01-01T00:00:00")
+    assert [r.unique_key for r in raw.collect()] == ["2"]
+
+
+def test_arrival_order_follows_file_age_then_place(spark, folder):
+    land(folder, "b.json", *[record(str(i), "2025-01-01") for i in range(3)], age=0)
+    land(folder, "a.json", *[record(str(i), "2025-01-01") for i in range(3, 6)], age=60)
+    land(folder, "c.json", *[record(str(i), "2025-01-01") for i in range(6, 9)], age=0)
+    raw = landing.with_row_place(landing.with_file_place(landing.read_landing(spark, folder)))
+    keys = [r.unique_key for r in raw.orderBy("seq").collect()]
+    assert keys == ["0", "1", "2", "6", "7", "8", "3", "4", "5"]
+
+
+def test_csv_is_read_as_pandas_reads_it(spark, folder):
+    values = ["N/A", " N/A", "", "  two  ", 'say "hi", twice', "plain", None, "nan", "None"]
+    frame = pd.DataFrame({c: values for c in S.RAW_COLUMNS})
+    Path(folder, "in").mkdir()
+    frame.to_csv(f"{folder}/in/raw.csv", index=False)
+    want = pd.read_csv(f"{folder}/in/raw.csv")["agency"]
+    want = sorted(("" if pd.isna(v) else v) for v in want)
+    got = landing.read_csv(spark, f"{folder}/in")
+    assert sorted(r.agency or "" for r in got.collect()) == want
+    landing.write_csv(got, f"{folder}/out")
+    again = landing.read_csv(spark, f"{folder}/out")
+    assert sorted(r.agency or "" for r in again.collect()) == want
+
+
+def test_state_round_trip_and_normalisation(spark, folder):
+    path = f"{folder}/deep/state.json"
+    assert state.load_mark(spark, path) is None
+    assert state.read_state(spark, path).count() == 0
+    state.save_mark(spark, path, "2025-11-07 03:18:35.123", datetime(2025, 11, 8, 19, 37, 54, 355283))
+    assert state.load_mark(spark, path) == "2025-11-07T03:18:35"
+    assert state.read_state(spark, path).first().asDict() == {
+        "last_processed_time": "2025-11-07T03:18:35",
+        "updated_at": "2025-11-08T19:37:54.355283",
+    }
+    state.save_mark(spark, path, "2025-11-08T00:00:00", datetime(2025, 11, 9))
+    assert state.load_mark(spark, path) == "2025-11-08T00:00:00"
+
+
+def test_state_without_a_mark(spark, folder):
+    Path(folder, "state.json").write_text('{"updated_at": "x"}')
+    assert state.load_mark(spark, f"{folder}/state.json") is None
+
+
+def test_ledger_entry_of_a_repeated_run_is_replaced(spark, folder):
+    assert state.read_ledger(spark, f"{folder}/ledger").count() == 0
+    for count in (1, 2):
+        state.append_ledger(spark, f"{folder}/ledger", {"run_id": "r1", "raw_count": count})
+    state.append_ledger(spark, f"{folder}/ledger", {"run_id": "r2", "raw_count": 5})
+    rows = state.read_ledger(spark, f"{folder}/ledger").orderBy("run_id").collect()
+    assert [(r.run_id, r.raw_count) for r in rows] == [("r1", 2), ("r2", 5)]
+
+
+def test_parquet_milliseconds(spark, folder):
+    frame = spark.sql("SELECT TIMESTAMP '2025-01-01 00:00:00.123456' AS t")
+    tables.write_parquet_ms(frame, f"{folder}/p")
+    assert spark.read.parquet(f"{folder}/p").first().t.microsecond == 123000
+    import pyarrow.parquet as pq
+
+    file = next(Path(folder, "p").glob("*.parquet"))
+    assert pq.read_schema(file).field("t").type.unit == "ms"
+
+
+def test_settings_are_put_back(spark):
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), session_conf(spark, tables.MILLISECOND_FILES):
+        assert spark.conf.get(name) == "TIMESTAMP_MILLIS"
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
+def test_shared_folder_is_the_sessions(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_table_is_created_once_refreshed_and_appended(spark, folder):
+    name = "requests_refresh"
+    assert not tables.table_exists(spark, name)
+    for _ in range(2):
+        tables.create_table(spark, name, f"{folder}/t")
+    assert tables.table_exists(spark, name)
+    columns = tables.table_columns(spark, name).orderBy("position").collect()
+    assert [c.column_name for c in columns] == list(S.PROCESSED_COLUMNS)
+    assert tuple(columns[0]) == (1, "unique_key", "varchar(50)", 50, True)
+    assert tuple(columns[2]) == (3, "closed_date", "timestamp", None, True)
+    assert tuple(columns[19]) == (20, "data_quality_score", "double", None, True)
+    assert {c.column_name: c.max_length for c in columns if c.max_length} == S.TEXT_LIMITS
+    rows = contract.accepted(contract.mark_violations(transform(raw_requests(spark, SMALL), "2025-01-01")))
+    tables.refresh_table(rows, name)
+    count = spark.table(name).count()
+    assert count == rows.count() > 0
+    tables.refresh_table(rows.limit(10), name)
+    assert spark.table(name).count() == 10
+    tables.append_table(rows.limit(10), name)
+    assert spark.table(name).count() == 20
+    tables.create_table(spark, name, f"{folder}/t2", replace=True)
+    assert spark.table(name).count() == 0
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_too_long_text_is_refused_by_the_table(spark, folder):
+    tables.create_table(spark, "requests_limits", f"{folder}/t")
+    long = transform(raw_requests(spark, SMALL), "2025-01-01").withColumn("agency", F.repeat(F.lit("x"), 51))
+    with pytest.raises(Exception, match="(?i)length"):
+        tables.refresh_table(long, "requests_limits")
+    marked = contract.mark_violations(long)
+    assert contract.accepted(marked).count() == 0
+    assert "agency_too_long" in contract.quarantined(marked).first().violations
+    spark.sql("DROP TABLE requests_limits")
+
+
+def test_incident_table_definition(spark, folder):
+    tables.create_table(spark, "incidents_t", f"{folder}/i", S.INCIDENT_SCHEMA, S.INCIDENT_LIMITS, ())
+    kinds = {c.column_name: c.data_type for c in tables.table_columns(spark, "incidents_t").collect()}
+    assert list(kinds) == S.INCIDENT_SCHEMA.names
+    assert kinds["complaint_type"] == "varchar(255)" and kinds["incident_zip"] == "varchar(10)"
+    rows = incidents.as_incidents(raw_requests(spark, SMALL), "2025-01-01")
+    assert rows.schema.names == S.INCIDENT_SCHEMA.names
+    spark.sql("DROP TABLE incidents_t")
+
+
+def test_inventory_newest_first_and_latest(spark, folder):
+    land(folder, "x/old.parquet", {}, age=0)
+    land(folder, "x/y/new.parquet", {}, age=60)
+    land(folder, "x/other.json", {}, age=90)
+    names = [r.file_name for r in files.file_inventory(spark, f"{folder}/x").collect()]
+    assert names == ["new.parquet", "old.parquet"]
+    assert files.file_inventory(spark, f"{folder}/x", latest=1).first().file_name == "new.parquet"
