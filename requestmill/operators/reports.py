@@ -251,9 +251,15 @@ def null_census(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return _unpivot(counts, entries, ("column_name", "null_count")).where("null_count > 0")
 
 
-def latest_created(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None) -> DataFrame:
+def latest_created(
+    df: DataFrame,
+    n: int = 10,
+    columns: Sequence[str] | None = None,
+    column: str = "created_date",
+    key: str = KEY,
+) -> DataFrame:
     """The newest rows by creation time; ties go by key."""
-    newest = df.orderBy(F.desc("created_date"), F.asc(KEY)).limit(n)
+    newest = df.orderBy(F.desc(column), F.asc(key)).limit(n)
     return newest.select(*columns) if columns else newest
 
 

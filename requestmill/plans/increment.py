@@ -30,7 +30,8 @@ from requestmill.sources.master import BROADCAST_BYTES, Layout, Master
 class RunConfig:
     """Where the data lies and what may vary. ``root`` must be a shared folder.
 
-    ``order`` names the source column that tells the arrival order; without one,
+    ``landed`` is the schema of the landed records: all text, or with TIMESTAMP
+    dates where the format has them. ``order`` names the source column that tells the arrival order; without one,
     the place in the landed files does. ``publish`` takes the accepted rows of the
     processed master, for instance ``lambda df: refresh_table(df, "requests")``.
     """
@@ -38,6 +39,7 @@ class RunConfig:
     root: str
     landing: str
     landing_format: str = "json"
+    landed: T.StructType = field(default_factory=lambda: S.RAW_SCHEMA)
     raw_format: str = "parquet"
     order: str | None = None
     days_back: int = 7
@@ -67,9 +69,9 @@ class RunConfig:
         return self.order or landing.ARRIVAL
 
     def landing_schema(self) -> T.StructType:
-        """Raw columns, and the order column as a number when there is one."""
+        """Raw columns as landed, and the order column as a number when there is one."""
         extra = [T.StructField(self.order, T.LongType())] if self.order else []
-        return T.StructType([*S.RAW_SCHEMA.fields, *extra])
+        return T.StructType([*self.landed.fields, *extra])
 
 
 def raw_master(spark: SparkSession, config: RunConfig) -> Master:
@@ -103,18 +105,25 @@ def starting_point(spark: SparkSession, config: RunConfig, run_ts: datetime) ->
 
 
 def extract(spark: SparkSession, config: RunConfig, since: str) -> DataFrame:
-    """The increment from the landing zone, in a shape ready to be staged."""
+    """The increment from the landing zone, in a shape ready to be staged.
+
+    Rows are numbered after the filter, which so reaches the scan; numbering the
+    remaining rows keeps their order. The file bound lies a second early, as it
+    leaves files of that very moment out.
+    """
     bound = datetime.fromisoformat(landing.normalise_since(since)) - config.lookback
+    early = landing.normalise_since((bound - timedelta(seconds=1)).isoformat())
     raw = landing.read_landing(
         spark,
         config.landing,
         config.landing_format,
         config.landing_schema(),
-        modified_after=bound.isoformat() if config.skip_old_files else None,
+        modified_after=early if config.skip_old_files else None,
     )
     if not config.order:
-        raw = landing.with_row_place(landing.with_file_place(raw))
-    return landing.extract_incremental(raw, bound.isoformat())
+        raw = landing.with_file_place(raw)
+    increment = landing.extract_incremental(raw, bound.isoformat())
+    return increment if config.order else landing.with_row_place(increment)
 
 
 def process(

@@ -397,6 +397,7 @@ def all_oracles() -> dict[str, str]:
               {' OR '.join(f'length({c}) > {n}' for c, n in TIGHT_LIMITS.items())}""",
         "schema_contract": f"{PROCESSED} {_schema_rows()}",
         "schema_drift": f"{PROCESSED} {_schema_rows('status', 'seq')}",
+        **_other_tables(),
         "run_record": f"""{PROCESSED} SELECT 'load-1' AS run_id,
             TIMESTAMP '{RUN_TS}' AS committed_at,
             (SELECT count(*) FROM raw_requests) AS raw_count, count(*) AS processed_count,
@@ -410,6 +411,41 @@ def all_oracles() -> dict[str, str]:
     }
 
 
+def _other_tables() -> dict[str, str]:
+    orders = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return {
+        "orders_completeness": f"""SELECT count(*) AS total,
+            {', '.join(f'count(*) FILTER (WHERE {c} IS NOT NULL) AS {c}_filled' for c in orders)},
+            {', '.join(f'round(count({c}) * 100.0 / count(*), 1)::DOUBLE AS {c}_pct'
+                       for c in orders)} FROM orders""",
+        "orders_top_customers": """SELECT o_custkey, count(*) AS request_count FROM orders
+            GROUP BY o_custkey ORDER BY request_count DESC, o_custkey LIMIT 10""",
+        "orders_latest": """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+            ORDER BY o_orderdate DESC, o_orderkey LIMIT 25""",
+        "lineitem_first_of_order": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey
+            FROM lineitem QUALIFY row_number() OVER (
+              PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""",
+        "lineitem_duplicate_counts": """SELECT count(*) AS total_rows,
+            count(DISTINCT l_orderkey) AS distinct_keys,
+            count(*) - count(DISTINCT l_orderkey) AS duplicates_removed FROM lineitem""",
+        "events_last_of_user": """SELECT user_id, event_id, event_type, value FROM events
+            WHERE event_id IN (SELECT max(event_id) FROM events GROUP BY user_id)""",
+        "documents_length_violations": """
+            SELECT 'doc_id_duplicate' AS rule,
+              count(doc_id) - count(DISTINCT doc_id) AS violations FROM documents
+            UNION ALL SELECT 'doc_id_missing', count(*) - count(doc_id) FROM documents
+            UNION ALL SELECT 'lang_missing', count(*) - count(lang) FROM documents
+            UNION ALL SELECT 'text_too_long', count(*) FILTER (WHERE length(text) > 2000)
+              FROM documents
+            UNION ALL SELECT 'source_too_long', count(*) FILTER (WHERE length(source) > 4)
+              FROM documents
+            UNION ALL SELECT 'lang_too_long', count(*) FILTER (WHERE length(lang) > 2)
+              FROM documents""",
+        "conversations_text_clean": """SELECT conv_id, turn, upper(role) AS role
+            FROM conversations""",
+    }
+
+
 def _completeness() -> str:
     filled = {
         "unique_key": "unique_key IS NOT NULL",

@@ -536,6 +536,73 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.schema_contract(processed(spark, sf_dir, carry=("seq",)).drop("status"))
 
 
+# The same operators on other tables ------------------------------------------
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query
+def orders_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return reports.completeness(
+        _table(spark, sf_dir, "orders"), columns, nonblank=("o_orderstatus", "o_orderpriority")
+    )
+
+
+@query
+def orders_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_agencies(_table(spark, sf_dir, "orders"), 10, "o_custkey")
+
+
+@query
+def orders_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.latest_created(
+        _table(spark, sf_dir, "orders"),
+        25,
+        ("o_orderkey", "o_custkey", "o_orderstatus"),
+        "o_orderdate",
+        "o_orderkey",
+    )
+
+
+@query
+def lineitem_first_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    return dedup.dedup_first(lines, ("l_linenumber", "l_partkey", "l_suppkey"), "l_orderkey")
+
+
+@query
+def lineitem_duplicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplicate_counts(_table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+@query
+def events_last_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return dedup.dedup_last(events, ("event_id",), "user_id")
+
+
+@query
+def documents_length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length limits on whole texts."""
+    return contract.contract_violations(
+        _table(spark, sf_dir, "documents"),
+        "doc_id",
+        ("doc_id", "lang"),
+        {"text": 2000, "source": 4, "lang": 2},
+    )
+
+
+@query
+def conversations_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return clean.normalise_text(turns, ("role",))
+
+
 # Whole runs -----------------------------------------------------------------
 
 

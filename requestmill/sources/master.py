@@ -230,7 +230,7 @@ class Master:
         new = self._as_stored(increment, version)
         keys = self._measure(new)
         small = keys.broadcast_size <= self.broadcast_bytes
-        touched = self._touched(new, folders, keys, small)
+        touched = self._touched(new, folders, keys, small) if folders else set()
         old = self._read_partitions({p: v for p, v in folders.items() if p in touched})
         if folders and not small:
             strategy = "union"

@@ -8,9 +8,11 @@ from pathlib import Path
 
 import pytest
 
-from requestmill.operators import contract, reports
+from requestmill import schemas as S
+from requestmill.operators import clean, contract, reports
 from requestmill.plans.increment import (
-    RunConfig, load_batch, processed_master, raw_master, refresh_to, run_increment, run_record,
+    RunConfig, extract, load_batch, processed_master, raw_master, refresh_to, run_increment,
+    run_record,
 )
 from requestmill.plans.sample_data import increments, raw_requests
 from requestmill.plans.transform import transform
@@ -119,6 +121,34 @@ def test_full_load_ignores_the_mark_and_lookback_reads_behind_it(spark, folder):
     assert mark(spark, config) == "2025-01-09T00:00:00"
 
 
+def test_typed_landing_is_filtered_in_the_scan(spark, folder):
+    """Without an order column, rows are numbered behind the pushed filter."""
+    config = config_for(folder, landing_format="parquet", landed=S.EXTRACTED_SCHEMA, skip_old_files=True)
+    clean.parse_timestamps(raw_requests(spark, SMALL)).drop("seq").write.parquet(config.landing)
+    found = extract(spark, config, "2024-01-15T00:00:00")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_date," in plan
+    want = landing.extract_incremental(raw_requests(spark, SMALL), "2024-01-15T00:00:00")
+    assert found.count() == want.count() > 0
+    run_increment(spark, config, datetime(2024, 2, 1), "r1")
+    assert len(content(spark, config)) > 0
+
+
+def test_interval_stream_starts_and_stops(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+    query = streams.stream_increments(
+        spark, config, streams.StreamConfig(interval="1 second", run_ts=NOW)
+    )
+    try:
+        query.processAllAvailable()
+        land(config, "2.json", ("1", "2025-01-09T00:00:00", None, "B"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert content(spark, config) == {"1": "B"}
+
+
 def test_publication_quarantines_and_replaces(spark, folder):
     tables.create_table(spark, "published", f"{folder}/published")
     config = config_for(folder, publish=refresh_to("published"))
