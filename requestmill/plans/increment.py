@@ -30,10 +30,14 @@ from requestmill.sources.master import BROADCAST_BYTES, Layout, Master
 class RunConfig:
     """Where the data lies and what may vary. ``root`` must be a shared folder.
 
-    ``landed`` is the schema of the landed records: all text, or with TIMESTAMP
-    dates where the format has them. ``order`` names the source column that tells the arrival order; without one,
-    the place in the landed files does. ``publish`` takes the accepted rows of the
-    processed master, for instance ``lambda df: refresh_table(df, "requests")``.
+    landed: schema of the landed records, all text or with TIMESTAMP dates.
+    order: source column that tells the arrival order; without one, the place in
+        the landed files does.
+    skip_old_files: leave files unopened that were last written before the
+        increment begins, less ``file_time_margin`` for clocks and time zones. Use
+        it, or the stream, where the landing zone only grows.
+    publish: takes the accepted rows of the processed master, for instance
+        ``lambda df: refresh_table(df, "requests")``.
     """
 
     root: str
@@ -46,6 +50,7 @@ class RunConfig:
     force_full: bool = False
     lookback: timedelta = timedelta(0)
     skip_old_files: bool = False
+    file_time_margin: timedelta = timedelta(days=1)
     layout: Layout = field(default_factory=Layout)
     options: TransformOptions = field(default_factory=TransformOptions)
     publish: Callable[[DataFrame], None] | None = None
@@ -108,11 +113,10 @@ def extract(spark: SparkSession, config: RunConfig, since: str) -> DataFrame:
     """The increment from the landing zone, in a shape ready to be staged.
 
     Rows are numbered after the filter, which so reaches the scan; numbering the
-    remaining rows keeps their order. The file bound lies a second early, as it
-    leaves files of that very moment out.
+    remaining rows keeps their order.
     """
     bound = datetime.fromisoformat(landing.normalise_since(since)) - config.lookback
-    early = landing.normalise_since((bound - timedelta(seconds=1)).isoformat())
+    early = landing.normalise_since((bound - config.file_time_margin).isoformat())
     raw = landing.read_landing(
         spark,
         config.landing,

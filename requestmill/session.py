@@ -60,7 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
     A temporary folder stands in for it only on a local master, where the one
     machine is the whole cluster.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

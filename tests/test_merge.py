@@ -130,9 +130,11 @@ LAYOUTS = [
 ]
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "csv"])
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
-@pytest.mark.parametrize("layout", LAYOUTS, ids=["day", "month", "hour", "buckets"])
+@pytest.mark.parametrize(
+    ("layout", "broadcast_bytes", "fmt"),
+    [(layout, size, "parquet") for layout in LAYOUTS for size in (0, 1 << 20)]
+    + [(LAYOUTS[0], 0, "csv"), (LAYOUTS[3], 1 << 20, "csv")],
+)
 def test_master_merges(spark, folder, layout, broadcast_bytes, fmt):
     master = Master(spark, folder, SCHEMA, layout, fmt, broadcast_bytes=broadcast_bytes)
     assert master.read().columns == SCHEMA.names

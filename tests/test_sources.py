@@ -155,6 +155,28 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(*_):
+                return None
+
+        class sparkContext:
+            master = "spark://cluster:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+    Session.sparkContext.master = "local[2]"
+    assert shared_folder(Session)
+    Session.conf.get = staticmethod(lambda *_: "hdfs:///shared/")
+    assert shared_folder(Session) == "hdfs:///shared"
+
+
 def test_table_is_created_once_refreshed_and_appended(spark, folder):
     name = "requests_refresh"
     assert not tables.table_exists(spark, name)
