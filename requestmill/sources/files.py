@@ -80,9 +80,14 @@ def read_document(spark: SparkSession, path: str) -> dict[str, Any] | None:
     Every other trouble is raised, so an unreadable file is never mistaken for a
     missing one.
     """
-    if not path_exists(spark, path):
+    target, system = _hadoop(spark, path)
+    if not system.exists(target):
         return None
-    rows = spark.read.text(path, wholetext=True).head(1)
-    if not rows or not rows[0].value.strip():
+    stream = system.open(target)
+    try:
+        content = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    if not content.strip():
         raise ValueError(f"{path} is empty")
-    return json.loads(rows[0].value)
+    return json.loads(content)
