@@ -15,6 +15,7 @@ from requestmill.llm import (
     pii,
     quality_divergence,
     simhash,
+    suffix_dedup,
     token_rollup,
     toxicity,
 )
@@ -110,6 +111,22 @@ def _judged(scores: DataFrame, split: Split) -> DataFrame:
     )
 
 
+def op4_deep_shallow_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        F.transform("spans", lambda s: (s.end - s.start).cast("long")),
+        F.lit(0).cast("long"),
+        lambda total, n: total + n,
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_toxicity_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -148,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_token_count_rollup,
         op2_distribution_divergence,
         op3_benchmark_decontamination,
+        op4_deep_shallow_dedup,
         op5_toxicity_deobfuscation,
         op6_simhash_near_dedup,
         op7_feistel_pseudonyms,
