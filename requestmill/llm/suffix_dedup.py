@@ -359,9 +359,10 @@ def _sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _by_range(batches: Iterator[pa.RecordBatch]):
     """Tables of a partition by the range of starts; the number of ranges is fixed."""
-    table = pa.Table.from_batches(list(batches)) if batches else None
-    if table is None or not table.num_rows:
+    found = list(batches)
+    if not found:
         return
+    table = pa.Table.from_batches(found)
     first, last = table.column("first").to_numpy(), table.column("last").to_numpy()
     for key in np.unique(first * 1000 + last).tolist():
         picked = np.flatnonzero(first * 1000 + last == key)
