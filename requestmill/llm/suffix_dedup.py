@@ -32,7 +32,7 @@ CORE = 100
 REACH = LENGTH - CORE  # a string starts at most so many bytes before its anchor
 SHALLOW = 16
 BLOCK = 1 << 20
-GROUP_LIMIT = 1_000
+GROUP_LIMIT = 20_000
 TASK_CONTEXTS = 30_000
 FILTER_BITS = 1 << 29
 
