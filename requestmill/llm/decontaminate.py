@@ -226,7 +226,9 @@ def without_spans(
     """The rows of ``docs``; in each text the hit words and the gaps behind them are cut."""
     rows, hits = scan(docs, benchmark, size, limits)
     bad = rows.join(hits, ROW).select(
-        F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash"), "covered"
+        F.col("doc_id").alias("__llm_id"),
+        F.col("text_hash").alias("__llm_hash"),
+        F.col("covered").alias("__llm_covered"),
     )
     bad = bad.dropDuplicates(["__llm_id", "__llm_hash"])
     same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (
@@ -235,7 +237,7 @@ def without_spans(
     own = F.regexp_extract_all("text", F.lit(WORD_ANY_CASE), F.lit(0))
     gaps = F.split("text", WORD_ANY_CASE, -1)
     cut = let(
-        F.struct(own.alias("w"), gaps.alias("g"), F.col("covered").alias("c")),
+        F.struct(own.alias("w"), gaps.alias("g"), F.col("__llm_covered").alias("c")),
         lambda s: F.array_join(
             F.concat(
                 F.array(F.get(s.g, F.lit(0))),
@@ -247,7 +249,7 @@ def without_spans(
             "",
         ),
     )
-    text = F.when(F.col("covered").isNotNull(), cut).otherwise(F.col("text"))
+    text = F.when(F.col("__llm_covered").isNotNull(), cut).otherwise(F.col("text"))
     return docs.join(bad, same, "left").select(
         *(text.alias(c) if c == "text" else F.col(c) for c in docs.columns)
     )

@@ -21,8 +21,11 @@ from requestmill.llm import (
 )
 from requestmill.llm.common import table, written
 from requestmill.llm.labelled import Split
+from requestmill.llm.oracles import ORACLES
 from requestmill.session import working_folder
 
+__all__ = ["ORACLES", "PII_KEY", "QUERIES", "tokenizer_path"]
+
 # A key for tests; a real one comes from a secret store and is passed to the operator.
 PII_KEY = b"pseudonym key of the registered query"
 
@@ -34,7 +37,8 @@ def tokenizer_path() -> str:
 
 
 def op2_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_divergence.judged(table(spark, sf_dir, "documents"))
+    found = quality_divergence.judged(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,5 +178,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_html_tree_scoring,
     )
 }
-
-ORACLES: dict[str, str] = {}
