@@ -44,8 +44,8 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the ids as decimal numbers joined by blanks."""
-    return bpe.encode(docs, tokenizer_path()).select("doc_id", "n_tokens", "ids")
+    """(doc_id, n_tokens, ids, decoded): decimal ids joined by blanks, and what they decode to."""
+    return bpe.encode(docs, tokenizer_path()).select("doc_id", "n_tokens", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
