@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,44 @@ from requestmill.llm.common import worker_state
 
 CUT_BITS = 10  # chunks of about 1 KB
 WINDOW = 32  # bytes that decide about a cut
-WORDS_KEPT = 600_000
+WORDS_KEPT = 400_000
+PARTS_KEPT = 600_000
+# Letters that neither composition nor lower case turns into anything but one letter, and ASCII
+# signs but the apostrophe behind them.
+LETTERS = re.compile(
+    "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)"
+)
 CHUNKS_KEPT = 8_000
 BLANK = b" "
 
 
+Encoded = tuple[str, str, int]
+
+
+def _concatenated(found: list[Encoded]) -> Encoded:
+    """Encodings one after the other; those without ids leave no blank."""
+    if not found:
+        return "", "", 0
+    ids, texts, counts = zip(*found, strict=True)
+    if 0 in counts:
+        return _concatenated([f for f in found if f[2]])
+    return " ".join(ids), " ".join(texts), sum(counts)
+
+
+def _byte_letters(text: str) -> str:
+    """Letters up to U+00FF as byte-level vocabularies spell them: a letter for each UTF-8 byte.
+    Bytes that are no printable Latin-1 character have the letters from U+0100 on, in order."""
+    if text.isascii():
+        return text
+    return "".join(map(_BYTE_LETTER.__getitem__, text.encode()))
+
+
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTER = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTABLE)
+}
+
+
 def _gear() -> np.ndarray:
     return np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -55,9 +89,12 @@ def cut_points(data: bytes, bits: int = CUT_BITS, gear: np.ndarray | None = None
 
 
 def _word_bound(spec: dict) -> bool:
-    """Whether the tokenizer cuts at white space, drops it, and adds nothing around texts."""
+    """Whether the tokenizer puts texts in lower case, cuts them at white space, drops that, and
+    adds nothing around them."""
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     split = next((s for s in steps if s["type"] == "Split"), None)
+    rest = [s for s in steps if s is not split]
+    first = (spec.get("normalizer") or {}).get("normalizers", [])
     plain = all(
         not (t["lstrip"] or t["rstrip"] or t["single_word"]) and not set(t["content"]) & set(" \n")
         for t in spec.get("added_tokens", [])
@@ -67,6 +104,9 @@ def _word_bound(spec: dict) -> bool:
         and split["behavior"] == "Removed"
         and split["invert"]
         and "\\s" in split["pattern"].get("Regex", "")
+        and [s["type"] for s in first] == ["NFC", "Replace", "Lowercase"]
+        and [s["type"] for s in rest] == ["ByteLevel"]
+        and not (rest[0]["add_prefix_space"] or rest[0]["use_regex"])
         and spec.get("decoder") is None
         and plain
     )
@@ -82,37 +122,79 @@ class Encoder:
         if not _word_bound(json.loads(spec)):
             raise ValueError("the tokenizer must drop white space and cut there")
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        # for words of plain letters, which its first steps only put in lower case
+        bare = {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
+        self.bare = Tokenizer.from_str(json.dumps(json.loads(spec) | bare))
+        for tokenizer in (self.tokenizer, self.bare):
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
         self.gear = _gear()
-        self.words: dict[bytes, tuple[str, str, int]] = {}
+        self.words: dict[bytes, Encoded] = {}
+        self.parts: dict[str, Encoded] = {}
         self.chunks: dict[bytes, tuple] = {}
         self.encoded_chunks = self.reused_chunks = self.widened_joins = 0
 
-    def _learn(self, words: list[bytes]) -> None:
-        missing = list({w for w in words if w not in self.words})
-        if not missing:
-            return
+    def prepare(self, texts: list[bytes]) -> None:
+        """Learn the words of several texts at once."""
+        words: set[bytes] = set()
+        for text in texts:
+            words.update(text.replace(b"\n", BLANK).split(BLANK))
+        self._learn(words)
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """Encode words that are not known.
+
+        A word of plain letters, perhaps with signs behind it, is looked up as its letters in
+        lower case and its signs: the tokenizer cuts there anyway.
+        """
+        missing = {w for w in words if w not in self.words}
         if len(self.words) + len(missing) > WORDS_KEPT:
             self.words.clear()
-            missing = list(set(words))
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in missing], add_special_tokens=False
-        )
+            missing = set(words)
+        if len(self.parts) > PARTS_KEPT:
+            self.parts.clear()
+        split: dict[bytes, tuple[str, ...]] = {}
+        plain: set[str] = set()
+        other: set[str] = set()
+        for word in missing:
+            text = word.decode()
+            if (m := LETTERS.fullmatch(text)) is None:
+                split[word] = (text,)
+                other.add(text)
+                continue
+            stem, signs = m[1].lower(), m[2]
+            plain.add(stem)
+            if signs:
+                split[word] = (stem, signs)
+                other.add(signs)
+            else:
+                split[word] = (stem,)
+        known = self.parts
+        self._encode_parts([p for p in plain if p not in known], self.bare, _byte_letters)
+        self._encode_parts([p for p in other if p not in known], self.tokenizer, str)
+        for word, parts in split.items():
+            if len(parts) == 1:
+                self.words[word] = known[parts[0]]
+            else:
+                a, b = known[parts[0]], known[parts[1]]
+                self.words[word] = (f"{a[0]} {b[0]}", f"{a[1]} {b[1]}", a[2] + b[2])
+
+    def _encode_parts(self, parts: list[str], tokenizer, spelled: Callable[[str], str]) -> None:
+        if not parts:
+            return
+        found = tokenizer.encode_batch_fast(list(map(spelled, parts)), add_special_tokens=False)
         ids = [e.ids for e in found]
         texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        for word, i, text in zip(missing, ids, texts, strict=True):
-            self.words[word] = (" ".join(map(str, i)), text, len(i))
+        for part, i, text in zip(parts, ids, texts, strict=True):
+            self.parts[part] = (" ".join(map(str, i)), text, len(i))
 
-    def _joined(self, words: list[bytes]) -> tuple[str, str, int]:
+    def _joined(self, words: list[bytes]) -> Encoded:
         """(ids, decoded text, number of ids) of whole words."""
-        self._learn(words)
-        found = [self.words[w] for w in words]
-        return (
-            " ".join([f[0] for f in found if f[2]]),
-            " ".join([f[1] for f in found if f[2]]),
-            sum([f[2] for f in found]),
-        )
+        found = list(map(self.words.get, words))
+        if None in found:
+            self._learn(words)
+            found = [self.words[w] for w in words]
+        return _concatenated(found)
 
     def _chunk(self, chunk: bytes) -> tuple:
         """(bytes up to the first blank, words between, their encoding, bytes behind the last)
@@ -143,7 +225,7 @@ class Encoder:
     def _ids(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
-    def _repaired(self, bridge: bytes, before: bytes, after: bytes) -> tuple[str, str, int]:
+    def _repaired(self, bridge: bytes, before: bytes, after: bytes) -> Encoded:
         """Encoding of what lies between two blanks around a join, in agreement with the words
         on both sides; ``before`` and ``after`` are those words."""
         found = self._joined([bridge])
@@ -154,9 +236,9 @@ class Encoder:
             raise ValueError("the tokenizer joins what blanks separate")
         return found
 
-    def encode(self, text: bytes) -> tuple[str, str, int]:
+    def encode(self, text: bytes) -> Encoded:
         """(ids joined by blanks, decoded text, number of ids) of a whole text."""
-        parts: list[tuple[str, str, int]] = []
+        parts: list[Encoded] = []
         start, bridge, before, cut = 0, b"", b"", False
         for end in cut_points(text, gear=self.gear):
             head, inner, tail, first, last = self._chunk(text[start:end])
@@ -173,8 +255,7 @@ class Encoder:
             bridge, before, cut = tail, last, True
         if bridge:
             parts.append(self._repaired(bridge, before, b""))
-        kept = [p for p in parts if p[2]]
-        return " ".join(p[0] for p in kept), " ".join(p[1] for p in kept), sum(p[2] for p in kept)
+        return _concatenated(parts)
 
 
 def _encoder(spec: str) -> Encoder:
@@ -191,14 +272,16 @@ def _encode_batches(spec: str):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [encoder.encode(t.as_py() or b"") for t in part.column(1)]
-                ids, texts, counts = zip(*found, strict=True) if found else ((), (), ())
+                texts = [t or b"" for t in part.column(1).to_pylist()]
+                encoder.prepare(texts)
+                found = list(map(encoder.encode, texts))
+                ids, decoded, counts = zip(*found, strict=True) if found else ((), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array(counts, pa.int64()),
                         pa.array(ids, pa.large_string()).cast(pa.string()),
-                        pa.array(texts, pa.string()),
+                        pa.array(decoded, pa.string()),
                     ],
                     ["doc_id", "n_tokens", "ids", "decoded"],
                 )

@@ -65,7 +65,8 @@ def test_shared_passages_are_encoded_once():
 
 
 def test_cuts_follow_the_content():
-    data = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(40_000)).encode()
+    rng = random.Random(1)
+    data = "".join(rng.choice("abcdefgh ") for k in range(40_000)).encode()
     cuts = bpe.cut_points(data)
     moved = bpe.cut_points(b"some bytes in front" + data)
     assert cuts[-1] == len(data) and len(cuts) > 10
