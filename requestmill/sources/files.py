@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,11 +55,37 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Time since a file or folder was last changed."""
+    target, system = _hadoop(spark, path)
+    return time.time() - system.getFileStatus(target).getModificationTime() / 1000
+
+
+def claim(spark: SparkSession, path: str, expiry: float) -> bool:
+    """Create an empty file if there is none; of several callers one succeeds.
+
+    A claim older than ``expiry`` seconds was left by a writer that died and is taken over.
+    """
+    target, system = _hadoop(spark, path)
+    for _ in range(2):
+        try:
+            # atomic also on local disks, where create() is a check and then a write
+            if system.createNewFile(target):
+                return True
+        except Exception:
+            if not system.exists(target):
+                raise
+        if age_seconds(spark, path) < expiry:
+            return False
+        system.delete(target, False)
+    return False
+
+
 def write_document(spark: SparkSession, path: str, document: dict[str, Any]) -> None:
     """Replace a small JSON file in one step: write beside it, then rename over it."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     target, system = _hadoop(spark, path)
-    draft, _ = _hadoop(spark, f"{path}.draft")
+    draft, _ = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.draft")
     system.mkdirs(target.getParent())
     stream = system.create(draft, True)
     try:

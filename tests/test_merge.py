@@ -165,7 +165,7 @@ def test_only_touched_partitions_are_rewritten(spark, folder):
     master.merge(batch(spark, *FIRST))
     result = master.merge(batch(spark, ("5", "2025-01-03 12:00:00", "b")))
     assert result.partitions_written == 1
-    places = master.pointer()["partitions"]
+    places = {p: v.split("-")[0] for p, v in master.pointer()["partitions"].items()}
     assert places == {
         "2025-01-01": "v=1", "2025-01-02": "v=1", "2025-01-03": "v=2", "none": "v=1"
     }
@@ -192,7 +192,8 @@ def test_rows_that_never_move_need_no_lookup(spark, folder, monkeypatch):
 def test_key_lookup_is_pushed_to_the_scan(spark, folder):
     master = Master(spark, folder, SCHEMA)
     master.merge(batch(spark, *FIRST))
-    keys = master._measure(batch(spark, ("2", "2025-01-05", "b"), (None, None, "b")))
+    rows = batch(spark, ("2", "2025-01-05", "b"), (None, None, "b"))
+    keys = master._measure(master._as_stored(rows, 2))
     assert (keys.rows, keys.lowest, keys.highest, keys.any_null) == (2, "2", "2", True)
     looked_up = master._read_partitions(master.pointer()["partitions"]).where(keys.within("unique_key"))
     plan = looked_up.select("part")._jdf.queryExecution().executedPlan().toString()
@@ -256,13 +257,100 @@ def test_second_writer_is_noticed(spark, folder, monkeypatch):
         master.merge(batch(spark, *SECOND))
 
 
-def test_vacuum_removes_only_unused_versions(spark, folder):
-    master = Master(spark, folder, SCHEMA, Layout("time", unit="month"))
-    master.merge(batch(spark, *FIRST[:3]))
-    master.merge(batch(spark, *FIRST[:3]))
-    assert master.vacuum() == 1
-    assert len(content(master)) == 3
-    assert master.vacuum() == 0
+def test_the_first_of_two_writers_wins(spark, folder, monkeypatch):
+    """A commits while B merges: B raises, and A's rows are there and can be read."""
+    master = Master(spark, folder, SCHEMA)
+    master.merge(batch(spark, *FIRST))
+    original = Master._write
+
+    def write_and_be_overtaken(self, merged, path):
+        original(self, merged, path)
+        monkeypatch.setattr(Master, "_write", original)
+        Master(spark, folder, SCHEMA).merge(batch(spark, ("9", "2025-01-03", "of A")))
+
+    monkeypatch.setattr(Master, "_write", write_and_be_overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        master.merge(batch(spark, ("9", "2025-01-03", "of B"), ("8", "2025-01-01", "of B")))
+    found = content(master)
+    assert found["9"][1] == "of A" and "8" not in found and len(found) == len(FIRST) + 1
+    master.merge(batch(spark, ("8", "2025-01-01", "again")))
+    assert content(master)["8"][1] == "again"
+
+
+def test_a_claim_is_taken_once_and_taken_over_when_old(spark, folder):
+    path = f"{folder}/claims/5"
+    assert files.claim(spark, path, 600)
+    assert not files.claim(spark, path, 600)
+    assert files.claim(spark, path, -1)
+
+
+@pytest.mark.parametrize(
+    "other", [Layout("buckets", buckets=7), Layout("time"), Layout("buckets", buckets=4)]
+)
+def test_another_layout_is_refused(spark, folder, other):
+    master = Master(spark, folder, SCHEMA, Layout("buckets", buckets=4))
+    master.merge(batch(spark, *FIRST))
+    again = Master(spark, folder, SCHEMA, other)
+    if other == Layout("buckets", buckets=4):
+        again.merge(batch(spark, *FIRST))
+        assert len(content(again)) == len(FIRST)
+        with pytest.raises(ValueError, match="laid out"):
+            Master(spark, folder, SCHEMA, other, "csv").read()
+    else:
+        for use in (again.read, lambda: again.merge(batch(spark, *FIRST))):
+            with pytest.raises(ValueError, match="laid out"):
+                use()
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_repeated_keys_without_an_order(spark, folder, broadcast_bytes):
+    master = Master(spark, folder, SCHEMA, broadcast_bytes=broadcast_bytes)
+    rows = [("1", "2025-01-01", "x"), ("1", "2025-01-05", "y"), ("1", "2025-01-05", "w")]
+    for _ in range(2):
+        master.merge(batch(spark, *rows))
+        assert [tuple(r)[2] for r in master.read().collect()] == ["y"]
+
+
+def test_files_are_sorted_and_row_groups_skipped(spark, folder):
+    rows = spark.range(0, 40_000, 1, 4).selectExpr(
+        "lpad(cast(id as string), 8, '0') AS unique_key",
+        "timestamp'2025-01-01' AS created_date",
+        "sha2(cast(id as string), 256) AS value",
+    )
+    master = Master(spark, folder, SCHEMA)
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        master.merge(rows)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    import pyarrow.parquet as pq
+
+    found = [p for p in Path(folder, "data").rglob("*.parquet")]
+    for path in found:
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index("unique_key")
+        stats = [meta.row_group(k).column(at).statistics for k in range(meta.num_row_groups)]
+        assert [s.min for s in stats] == sorted(s.min for s in stats)
+        assert all(a.max < b.min for a, b in zip(stats, stats[1:], strict=False))
+        holding = [s for s in stats if s.min <= "00000007" <= s.max]
+        assert len(holding) <= 1
+
+
+def test_vacuum_removes_replaced_partitions(spark, folder):
+    master = Master(spark, folder, SCHEMA)
+    master.merge(batch(spark, *FIRST))
+    for n in range(5):
+        master.merge(batch(spark, ("2", "2025-01-02 10:00:00", str(n))))
+    before = content(master)
+    assert master.vacuum(grace=3600) == 0
+    assert master.vacuum(grace=0) == 5
+    assert content(master) == before
+    used = {f"{v}/part={p}" for p, v in master.pointer()["partitions"].items()}
+    there = {
+        f"{d.parent.name}/{d.name}" for d in Path(folder, "data").glob("v=*/part=*") if d.is_dir()
+    }
+    assert there == used
+    assert master.vacuum(grace=0) == 0
 
 
 def test_unknown_layout():
@@ -284,6 +372,7 @@ def test_a_partition_with_most_rows_is_written_by_several_tasks(spark, folder):
         master.merge(rows)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-    written = [n for n in files.child_names(spark, f"{folder}/data/v=1/part=2025-01-01") if n.startswith("part-")]
+    place = f"{folder}/data/{master.pointer()['partitions']['2025-01-01']}/part=2025-01-01"
+    written = [n for n in files.child_names(spark, place) if n.startswith("part-")]
     assert len(written) > 1
     assert master.read().count() == 200000
