@@ -8,7 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Layouts tried after ISO text, in this order.
-TIMESTAMP_FORMATS = ("MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy")
+TIMESTAMP_FORMATS = (
+    "M/d/yyyy h:mm:ss a",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy",
+    "yyyyMMdd",
+    "yyyy/MM/dd",
+)
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 SQL_SECONDS = "yyyy-MM-dd HH:mm:ss"

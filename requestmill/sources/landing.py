@@ -21,6 +21,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
+# Files that this library writes tell NULL from empty text. Its backslash is never followed by
+# an N in a value, since ``escape_breaks`` marks every backslash.
+OWN_CSV = {**CSV_OPTIONS, "nullValue": "\\N"}
 ARRIVAL = "seq"
 
 
@@ -30,20 +33,36 @@ def read_landing(
     fmt: str = "json",
     schema: T.StructType = S.RAW_SCHEMA,
     modified_after: str | None = None,
+    paths: Sequence[str] | None = None,
     **options: str,
 ) -> DataFrame:
     """Raw records with a fixed schema; fields a record lacks are NULL.
 
     ``modified_after`` skips files last written before that time without opening
     them. A file cannot hold requests made after it was written, so the time of
-    the wanted increment is a safe bound where files keep their writing time.
+    the wanted increment is a safe bound where files keep their writing time. ``paths``
+    reads these files only.
     """
     reader = spark.read.schema(schema).options(**options)
-    if fmt == "csv":
-        reader = reader.options(**{**CSV_OPTIONS, **options})
+    if fmt == "csv":  # landed files may hold quoted line breaks; one task reads a file then
+        reader = reader.options(**{**CSV_OPTIONS, "multiLine": "true", **options})
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.format(fmt).load(path)
+    return reader.format(fmt).load(path if paths is None else list(paths))
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, file_time, size_bytes) of the landing zone; contents are not read."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(
+            F.col("path").alias("file_path"),
+            F.col("modificationTime").alias("file_time"),
+            F.col("length").alias("size_bytes"),
+        )
+    )
 
 
 def with_file_place(df: DataFrame, column: str = ARRIVAL) -> DataFrame:
@@ -111,8 +130,41 @@ def in_creation_order(df: DataFrame, ties: Sequence[str] = (ARRIVAL,)) -> DataFr
     return df.orderBy(F.asc("created_date"), *[F.asc(c) for c in ties])
 
 
+# Line breaks and the sign that marks them, in the order of writing.
+_BREAKS = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _text_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
+    return [
+        f.name
+        for f in df.schema
+        if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)
+    ]
+
+
+def _replaced(df: DataFrame, columns: Sequence[str] | None, pairs) -> DataFrame:
+    def one(name: str):
+        value = F.col(name)
+        for old, new in pairs:
+            value = F.replace(value, F.lit(old), F.lit(new))
+        return value
+
+    return df.withColumns({c: one(c) for c in _text_columns(df, columns)})
+
+
+def escape_breaks(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Line breaks in texts written as signs, so that a line of a file is a record."""
+    return _replaced(df, columns, _BREAKS)
+
+
+def restore_breaks(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The texts that ``escape_breaks`` was given."""
+    return _replaced(df, columns, [(new, old) for old, new in reversed(_BREAKS)])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.options(**CSV_OPTIONS).mode(mode).csv(path)
+    """CSV that stays splittable: line breaks in texts are escaped."""
+    escape_breaks(df).write.options(**OWN_CSV).mode(mode).csv(path)
 
 
 def read_csv(
@@ -120,6 +172,16 @@ def read_csv(
     path: str,
     schema: T.StructType = S.RAW_SCHEMA,
     na_tokens: Sequence[str] = S.NA_TOKENS,
+    foreign: bool = False,
 ) -> DataFrame:
-    """CSV read back as text; missing-value texts become NULL."""
-    return clean.null_na_tokens(read_landing(spark, path, "csv", schema), na_tokens)
+    """CSV read back as text; missing-value texts become NULL.
+
+    Files that ``write_csv`` wrote have their line breaks restored. ``foreign`` files may hold
+    quoted line breaks as they are; such a file is read by one task.
+    """
+    if foreign:
+        rows = read_landing(spark, path, "csv", schema, multiLine="true")
+    else:
+        reader = spark.read.schema(schema).options(**OWN_CSV)
+        rows = restore_breaks(reader.csv(path))
+    return clean.null_na_tokens(rows, na_tokens)

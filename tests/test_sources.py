@@ -230,3 +230,43 @@ def test_inventory_newest_first_and_latest(spark, folder):
     names = [r.file_name for r in files.file_inventory(spark, f"{folder}/x").collect()]
     assert names == ["new.parquet", "old.parquet"]
     assert files.file_inventory(spark, f"{folder}/x", latest=1).first().file_name == "new.parquet"
+
+
+def test_file_inventory(spark):
+    data = Path("/root/testdata/sf0.001")
+    found = files.file_inventory(spark, str(data))
+    rows = found.collect()
+    assert {r.file_name: r.size_bytes for r in rows} == {
+        f.name: f.stat().st_size for f in data.glob("*.parquet")
+    }
+    times = [r.modified for r in rows]
+    assert times == sorted(times, reverse=True)
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+BROKEN = ['a\nb', 'a\r\nb', '"quoted", and\\n not a break', "\\", "\\b\\n\n", "é\n日本", " x ", "", None]
+
+
+def test_csv_keeps_line_breaks(spark, folder):
+    rows = spark.createDataFrame(list(enumerate(BROKEN)), "n int, text string")
+    landing.write_csv(rows.repartition(2), f"{folder}/own")
+    own = landing.read_csv(spark, f"{folder}/own", rows.schema, na_tokens=())
+    assert {r.n: r.text for r in own.collect()} == dict(enumerate(BROKEN))
+    Path(f"{folder}/foreign.csv").write_text('n,text\n1,"one\ntwo"\n2,"say ""hi"""\n')
+    foreign = landing.read_csv(spark, f"{folder}/foreign.csv", rows.schema, foreign=True)
+    assert {r.n: r.text for r in foreign.collect()} == {1: "one\ntwo", 2: 'say "hi"'}
+
+
+def test_csv_master_keeps_line_breaks(spark, folder):
+    from requestmill.sources.master import Layout, Master
+
+    rows = spark.createDataFrame(
+        [(str(n), "2025-01-01", t) for n, t in enumerate(BROKEN)],
+        "unique_key string, created_date string, value string",
+    ).withColumn("created_date", F.col("created_date").cast("timestamp"))
+    master = Master(spark, folder, rows.schema, Layout("buckets", buckets=2), "csv")
+    for _ in range(2):
+        master.merge(rows)
+        assert {r.unique_key: r.value for r in master.read().collect()} == {
+            str(n): t for n, t in enumerate(BROKEN)
+        }
