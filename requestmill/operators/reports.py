@@ -336,3 +336,23 @@ def load_status(raw_ok: bool, processed_ok: bool, publish_ok: bool | None) -> st
     if not (raw_ok and processed_ok):
         return "failed"
     return "partial" if publish_ok is False else "success"
+
+
+def processed_files_report(processed: DataFrame, last: int = 5) -> DataFrame:
+    """How many files were read, the first and the last one, and the last few, newest first.
+
+    Files are ordered by their time, then by name.
+    """
+    place = F.struct("file_time", "file_path")
+    totals = processed.agg(
+        F.count("*").alias("n_files"),
+        F.min_by("file_path", place).alias("first_file"),
+        F.max_by("file_path", place).alias("last_file"),
+    )
+    newest = processed.orderBy(F.desc("file_time"), F.desc("file_path")).limit(last)
+    names = newest.agg(
+        F.transform(
+            F.reverse(F.array_sort(F.collect_list(place))), lambda x: x["file_path"]
+        ).alias("last_files")
+    )
+    return totals.join(names)  # one row each

@@ -8,6 +8,7 @@ that fails anywhere is read again by the next one.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime, timedelta
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from requestmill import schemas as S
 from requestmill.functions import temporal
-from requestmill.operators import clean, contract, reports
+from requestmill.operators import clean, contract, rejects, reports
 from requestmill.plans.transform import TransformOptions, transform
 from requestmill.session import use_utc
 from requestmill.sources import files, landing, state, tables
@@ -36,6 +37,12 @@ class RunConfig:
     skip_old_files: leave files unopened that were last written before the
         increment begins, less ``file_time_margin`` for clocks and time zones. Use
         it, or the stream, where the landing zone only grows.
+    track_files: read each landed file once, by a ledger of processed files, instead of the whole
+        zone in every run. Rows in new files are then taken whatever their age; only a first
+        or full load begins some days back. The way to go for landing zones that keep growing.
+    future_margin: rows created later than the run by more than this are rejected. The
+        mark never passes the run's own time.
+    vacuum_grace: seconds that replaced partitions are kept for readers; None keeps all.
     publish: takes the accepted rows of the processed master, for instance
         ``lambda df: refresh_table(df, "requests")``.
     """
@@ -51,6 +58,9 @@ class RunConfig:
     lookback: timedelta = timedelta(0)
     skip_old_files: bool = False
     file_time_margin: timedelta = timedelta(days=1)
+    track_files: bool = False
+    future_margin: timedelta = timedelta(days=1)
+    vacuum_grace: float | None = 3600.0
     layout: Layout = field(default_factory=Layout)
     options: TransformOptions = field(default_factory=TransformOptions)
     publish: Callable[[DataFrame], None] | None = None
@@ -69,6 +79,14 @@ class RunConfig:
     def quarantine_path(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def rejects_path(self) -> str:
+        return f"{self.root}/rejects"
+
+    @property
+    def files_path(self) -> str:
+        return f"{self.root}/files"
+
     @property
     def arrival(self) -> str:
         return self.order or landing.ARRIVAL
@@ -76,6 +94,8 @@ class RunConfig:
     def landing_schema(self) -> T.StructType:
         """Raw columns as landed, and the order column as a number when there is one."""
         extra = [T.StructField(self.order, T.LongType())] if self.order else []
+        if self.landing_format in ("json", "csv"):
+            extra.append(T.StructField(rejects.CORRUPT, T.StringType()))
         return T.StructType([*self.landed.fields, *extra])
 
 
@@ -109,38 +129,122 @@ def starting_point(spark: SparkSession, config: RunConfig, run_ts: datetime) ->
     return (run_ts - timedelta(days=config.days_back)).isoformat()
 
 
-def extract(spark: SparkSession, config: RunConfig, since: str) -> DataFrame:
-    """The increment from the landing zone, in a shape ready to be staged.
+def _bound(config: RunConfig, since: str) -> datetime:
+    return datetime.fromisoformat(landing.normalise_since(since)) - config.lookback
 
-    Rows are numbered after the filter, which so reaches the scan; numbering the
-    remaining rows keeps their order.
-    """
-    bound = datetime.fromisoformat(landing.normalise_since(since)) - config.lookback
-    early = landing.normalise_since((bound - config.file_time_margin).isoformat())
+
+def _landed(
+    spark: SparkSession, config: RunConfig, since: str, paths: list[str] | None = None
+) -> DataFrame:
+    early = landing.normalise_since((_bound(config, since) - config.file_time_margin).isoformat())
     raw = landing.read_landing(
         spark,
         config.landing,
         config.landing_format,
         config.landing_schema(),
         modified_after=early if config.skip_old_files else None,
+        paths=paths,
     )
-    if not config.order:
-        raw = landing.with_file_place(raw)
-    increment = landing.extract_incremental(raw, bound.isoformat())
+    return raw if config.order else landing.with_file_place(raw)
+
+
+def extract(spark: SparkSession, config: RunConfig, since: str) -> DataFrame:
+    """The increment from the landing zone, in a shape ready to be staged.
+
+    Rows are numbered after the filter, which so reaches the scan; numbering the
+    remaining rows keeps their order.
+    """
+    raw = _landed(spark, config, since).drop(rejects.CORRUPT)
+    increment = landing.extract_incremental(raw, _bound(config, since).isoformat())
     return increment if config.order else landing.with_row_place(increment)
 
 
+def extract_marked(
+    spark: SparkSession,
+    config: RunConfig,
+    since: str | None,
+    run_ts: datetime,
+    paths: list[str] | None = None,
+) -> DataFrame:
+    """The increment, and beside it the rows that cannot be taken, each with its reason.
+
+    ``since`` None takes rows of any age. Where the whole zone is read again, so are its
+    rejected rows.
+    """
+    raw = _landed(spark, config, since or run_ts.isoformat(), paths)
+    parsed = clean.parse_timestamps(raw, ("created_date", "closed_date"))
+    latest = run_ts + config.future_margin
+    marked = rejects.with_reason(parsed, S.RAW_COLUMNS, latest)
+    if since is not None:
+        bound = F.lit(_bound(config, since).isoformat(sep=" ")).cast("timestamp")
+        marked = marked.where((F.col("created_date") >= bound) | F.col(rejects.REASON).isNotNull())
+    return marked if config.order else landing.with_row_place(marked)
+
+
+def new_files(spark: SparkSession, config: RunConfig) -> DataFrame:
+    """Landed files that no run has read; one that was written again is new."""
+    known = state.processed_files(spark, config.files_path)
+    return landing.landed_files(spark, config.landing).join(
+        known, ["file_path", "file_time", "size_bytes"], "left_anti"
+    )
+
+
 def process(
     spark: SparkSession, config: RunConfig, increment: DataFrame, run_id: str, run_ts: datetime
 ) -> dict[str, Any]:
-    """Stage an increment, transform it, and bring it to every sink."""
+    """Stage an increment, transform it, and bring it to every sink.
+
+    A failure is recorded with the state of every target and raised again.
+    """
     staging = f"{config.root}/staging/{run_id}"
-    increment.write.mode("overwrite").parquet(f"{staging}/raw")
-    raw = spark.read.parquet(f"{staging}/raw")
-    raw_count = raw.count()
+    entry: dict[str, Any] = {"run_id": run_id, "committed_at": run_ts}
+    try:
+        return _process(spark, config, increment, entry, staging)
+    except Exception as error:
+        ok = [entry.get(f"{t}_status") == "succeeded" for t in ("raw", "processed")]
+        published = False if entry.get("publish_status") == "failed" else None
+        entry["status"] = reports.load_status(*ok, published)
+        if entry["status"] == "success":
+            entry["status"] = "partial"  # something behind the targets failed
+        entry["error"] = f"{type(error).__name__}: {error}"[:2000]
+        with contextlib.suppress(Exception):  # what is raised is the first failure
+            state.append_ledger(spark, config.ledger_path, entry)
+        raise
+    finally:
+        if not config.keep_staging:
+            with contextlib.suppress(Exception):
+                files.delete_folder(spark, staging)
+
+
+def _process(
+    spark: SparkSession,
+    config: RunConfig,
+    increment: DataFrame,
+    entry: dict[str, Any],
+    staging: str,
+) -> dict[str, Any]:
+    """Fills ``entry`` step by step, so that it tells how far a failed run came."""
+    run_id, run_ts = entry["run_id"], entry["committed_at"]
+    if rejects.REASON not in increment.columns:
+        increment = rejects.without_reason(increment)
+    staged = Observation(f"staging {run_id}")
+    refused = F.col(rejects.REASON).isNotNull()
+    increment.observe(
+        staged,
+        F.count_if(~refused).alias("raw_count"),
+        F.count_if(refused).alias("rejected_count"),
+    ).write.mode("overwrite").parquet(f"{staging}/raw")
+    raw_count, rejected_count = staged.get["raw_count"], staged.get["rejected_count"]
+    entry["rejected_count"] = rejected_count
+    marked = spark.read.parquet(f"{staging}/raw")
+    if rejected_count:
+        rejects.rejected(marked).write.mode("overwrite").parquet(
+            f"{config.rejects_path}/run={run_id}"
+        )
     if raw_count == 0:
-        files.delete_folder(spark, staging)
-        return {"run_id": run_id, "raw_count": 0, "processed_count": 0, "status": "empty"}
+        return {**entry, "raw_count": 0, "processed_count": 0, "status": "empty"}
+    raw = rejects.taken(marked)
+    entry["raw_count"] = raw_count
 
     options = replace(config.options, order=(config.arrival,), timestamps_as_text=False)
     observed = Observation(f"increment {run_id}")
@@ -151,41 +255,40 @@ def process(
     processed = spark.read.parquet(f"{staging}/processed")
     metrics = observed.get
 
-    raw_result = raw_master(spark, config).merge(raw, order=(config.arrival,))
+    for target in ("raw_status", "processed_status"):
+        entry[target] = "not reached"
+    entry["raw_status"] = "failed"
+    raw_rows = raw_master(spark, config)
+    entry["raw_path"] = raw_rows.merge(raw, order=(config.arrival,)).path
+    entry["raw_status"], entry["processed_status"] = "succeeded", "failed"
     master = processed_master(spark, config)
-    processed_result = master.merge(processed)
-
-    entry = {
-        "run_id": run_id,
-        "committed_at": run_ts,
-        "raw_count": raw_count,
+    entry["processed_path"] = master.merge(processed).path
+    entry |= {
+        "processed_status": "succeeded",
         "processed_count": metrics["processed_count"],
         "avg_quality_score": metrics["avg_quality_score"],
         "records_with_location": metrics["records_with_location"],
-        "raw_path": raw_result.path,
-        "processed_path": processed_result.path,
     }
-    refused = contract.quarantined(contract.mark_violations(processed))
-    refused.write.mode("overwrite").parquet(f"{config.quarantine_path}/run={run_id}")
-    if config.publish is None:
-        publish_ok = None
-    else:
-        try:
-            config.publish(contract.accepted(contract.mark_violations(master.read())))
-            publish_ok = True
-        except Exception:
-            failed = {"publish_status": "failed", "status": reports.load_status(True, True, False)}
-            state.append_ledger(spark, config.ledger_path, {**entry, **failed})
-            raise
-    entry["publish_status"] = "succeeded" if publish_ok else "skipped"
-    entry["status"] = reports.load_status(True, True, publish_ok)
+    refused_rows = contract.quarantined(contract.mark_violations(processed))
+    refused_rows.write.mode("overwrite").parquet(f"{config.quarantine_path}/run={run_id}")
+    entry["publish_status"] = "skipped"
+    if config.publish is not None:
+        entry["publish_status"] = "failed"
+        config.publish(contract.accepted(contract.mark_violations(master.read())))
+        entry["publish_status"] = "succeeded"
+    published = True if config.publish is not None else None
+    entry["status"] = reports.load_status(True, True, published)
     state.append_ledger(spark, config.ledger_path, entry)
 
-    marks = [m for m in (state.load_mark(spark, config.state_path), metrics["latest"]) if m]
+    own = metrics["latest"]
+    if own:  # a row from the future must not end the reading of later ones
+        own = min(own, landing.normalise_since(run_ts.isoformat()))
+    marks = [m for m in (state.load_mark(spark, config.state_path), own) if m]
     if marks:
         state.save_mark(spark, config.state_path, max(marks), run_ts)
-    if not config.keep_staging:
-        files.delete_folder(spark, staging)
+    if config.vacuum_grace is not None:
+        raw_rows.vacuum(config.vacuum_grace)
+        master.vacuum(config.vacuum_grace)
     return entry
 
 
@@ -199,8 +302,24 @@ def run_increment(
     use_utc(spark)
     run_ts = run_ts or datetime.now(UTC).replace(tzinfo=None)
     run_id = run_id or run_ts.strftime("%Y%m%dT%H%M%S%f")
-    since = starting_point(spark, config, run_ts)
-    return process(spark, config, extract(spark, config, since), run_id, run_ts)
+    since: str | None = starting_point(spark, config, run_ts)
+    if not config.track_files:
+        return process(spark, config, extract_marked(spark, config, since, run_ts), run_id, run_ts)
+    if config.force_full:
+        found = landing.landed_files(spark, config.landing)
+    else:
+        found = new_files(spark, config)
+    fresh = found.collect()  # names of one increment's files, which its scan lists as well
+    if not fresh:
+        return {"run_id": run_id, "raw_count": 0, "processed_count": 0, "status": "empty"}
+    if not config.force_full and state.load_mark(spark, config.state_path):
+        since = None
+    paths = [f.file_path for f in fresh]
+    marked = extract_marked(spark, config, since, run_ts, paths)
+    entry = process(spark, config, marked, run_id, run_ts)
+    read = spark.createDataFrame(fresh, found.schema)
+    state.record_files(spark, config.files_path, read, run_id)
+    return entry
 
 
 def load_batch(

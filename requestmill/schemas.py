@@ -190,5 +190,18 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("processed_path", T.StringType()),
         T.StructField("publish_status", T.StringType()),
         T.StructField("status", T.StringType()),
+        T.StructField("rejected_count", T.LongType()),
+        T.StructField("raw_status", T.StringType()),
+        T.StructField("processed_status", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
+PROCESSED_FILES_SCHEMA = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("file_time", T.TimestampType()),
+        T.StructField("size_bytes", T.LongType()),
+        T.StructField("run_id", T.StringType()),
     ]
 )

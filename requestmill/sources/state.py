@@ -1,13 +1,15 @@
-"""The high-water mark and the batch ledger."""
+"""The high-water mark, the batch ledger and the ledger of processed files."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from requestmill.schemas import LEDGER_SCHEMA, STATE_SCHEMA
+from requestmill.schemas import LEDGER_SCHEMA, PROCESSED_FILES_SCHEMA, STATE_SCHEMA
 from requestmill.sources import files
 from requestmill.sources.landing import normalise_since
 
@@ -43,6 +45,38 @@ def append_ledger(spark: SparkSession, path: str, entry: dict[str, Any]) -> Data
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each run, whether its entry stands alone or in a fold or, after a fold that was
+    broken off, in both."""
     if not files.path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_SCHEMA.names)
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_SCHEMA.names)
+    return rows.dropDuplicates(["run_id"])
+
+
+def fold_ledger(spark: SparkSession, path: str) -> int:
+    """Put the entries of all runs into one folder; returns how many folders went.
+
+    Entries are written before the old folders are deleted, so none is lost.
+    """
+    old = [n for n in files.child_names(spark, path) if n.startswith("run=")]
+    if len(old) < 2:
+        return 0
+    folded = f"{path}/run=folded-{uuid.uuid4().hex}"
+    read_ledger(spark, path).write.parquet(folded)
+    for name in old:
+        files.delete_folder(spark, f"{path}/{name}")
+    return len(old)
+
+
+def record_files(spark: SparkSession, path: str, read: DataFrame, run_id: str) -> None:
+    """Note which files a run has read; the same run again replaces its note."""
+    read.withColumn("run_id", F.lit(run_id)).select(*PROCESSED_FILES_SCHEMA.names).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/run={run_id}")
+
+
+def processed_files(spark: SparkSession, path: str) -> DataFrame:
+    if not files.path_exists(spark, path):
+        return spark.createDataFrame([], PROCESSED_FILES_SCHEMA)
+    names = PROCESSED_FILES_SCHEMA.names
+    return spark.read.schema(PROCESSED_FILES_SCHEMA).parquet(path).select(*names)

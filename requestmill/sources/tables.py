@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from requestmill import schemas as S
 from requestmill.session import session_conf
+from requestmill.sources import files
 
 MILLISECOND_FILES = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS"}
 
@@ -79,9 +81,42 @@ def as_reporting_rows(processed: DataFrame) -> DataFrame:
     )
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
 def refresh_table(processed: DataFrame, name: str) -> None:
-    """Replace all rows of the table. The rows must not come from the table itself."""
-    as_reporting_rows(processed).write.insertInto(name, overwrite=True)
+    """Replace all rows of the table in one step; a refresh that fails changes nothing.
+
+    Rows go to a new folder through a second table of the same definition, which keeps the
+    checks of the first one. Then the first one is pointed to it. Rows are ordered by creation time
+    over the files, so reports of a month skip the others' row groups.
+    """
+    spark = processed.sparkSession
+    old = table_location(spark, name)
+    base, _, last = old.rpartition("/")
+    stem = last.split("~", 1)[0]
+    new = f"{base}/{stem}~{uuid.uuid4().hex}"
+    draft = f"{name}_{uuid.uuid4().hex}"
+    columns = table_columns(spark, name).collect()
+    lines = ", ".join(
+        f"{c.column_name} {c.data_type}{'' if c.nullable else ' NOT NULL'}" for c in columns
+    )
+    spark.sql(f"CREATE TABLE {draft} ({lines}) USING PARQUET LOCATION '{new}'")
+    try:
+        rows = as_reporting_rows(processed)
+        if "created_date" in rows.columns:
+            rows = rows.repartitionByRange("created_date").sortWithinPartitions("created_date")
+        rows.write.insertInto(draft)
+    except Exception:
+        spark.sql(f"DROP TABLE {draft}")
+        files.delete_folder(spark, new)
+        raise
+    spark.sql(f"DROP TABLE {draft}")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(name)
+    files.delete_folder(spark, old)
 
 
 def append_table(processed: DataFrame, name: str) -> None:

@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from requestmill import schemas as S
-from requestmill.operators import clean
+from requestmill.operators import clean, dedup, rejects
 from requestmill.plans.increment import RunConfig, process
-from requestmill.session import session_conf, use_utc
-from requestmill.sources import landing, state
+from requestmill.session import use_utc
+from requestmill.sources import files, landing, state
 
-ROCKSDB = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
-}
+# Copies and restores keep old file times, so no file may be too old to be read. The log of
+# files that were read grows in turn; move or delete landed files by ``cleanSource``.
+MAX_FILE_AGE = "36500d"
 
 
 @dataclass(frozen=True)
@@ -27,7 +25,9 @@ class StreamConfig:
     """``interval`` None means: take what has landed, then stop.
 
     Late rows, older than the mark, are merged unless ``drop_late``; the mark
-    only ever moves forward.
+    only ever moves forward. Files of any age are read unless ``max_file_age`` is less.
+    ``clean_source`` ("archive" with an ``archive`` folder, or "delete") keeps the log
+    of read files short.
     """
 
     name: str = "requests"
@@ -35,15 +35,26 @@ class StreamConfig:
     files_per_batch: int | None = None
     drop_late: bool = False
     run_ts: datetime | None = None
+    max_file_age: str = MAX_FILE_AGE
+    clean_source: str | None = None
+    archive: str | None = None
 
 
 def read_stream(
-    spark: SparkSession, config: RunConfig, files_per_batch: int | None = None
+    spark: SparkSession,
+    config: RunConfig,
+    files_per_batch: int | None = None,
+    stream: StreamConfig = StreamConfig(),
 ) -> DataFrame:
     """Landed files as a stream, oldest first."""
     reader = spark.readStream.schema(config.landing_schema()).format(config.landing_format)
+    reader = reader.option("maxFileAge", stream.max_file_age)
+    if stream.clean_source:
+        reader = reader.option("cleanSource", stream.clean_source)
+        if stream.archive:
+            reader = reader.option("sourceArchiveDir", stream.archive)
     if config.landing_format == "csv":
-        reader = reader.options(**landing.CSV_OPTIONS)
+        reader = reader.options(**{**landing.CSV_OPTIONS, "multiLine": "true"})
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(config.landing)
@@ -58,7 +69,7 @@ def stream_increments(
     entry are replaced, and the merge of the same rows changes nothing.
     """
     use_utc(spark)
-    source = read_stream(spark, config, stream.files_per_batch)
+    source = read_stream(spark, config, stream.files_per_batch, stream)
     if not config.order:
         source = landing.with_file_place(source)
 
@@ -66,11 +77,16 @@ def stream_increments(
         session = use_utc(batch.sparkSession)
         rows = batch if config.order else landing.with_row_place(batch)
         rows = clean.parse_timestamps(rows, ("created_date", "closed_date"))
+        run_ts = stream.run_ts or datetime.now(UTC).replace(tzinfo=None)
+        latest = run_ts + config.future_margin
+        rows = rejects.with_reason(rows, S.RAW_COLUMNS, latest, undated=stream.drop_late)
         if stream.drop_late:
             mark = state.load_mark(session, config.state_path)
             if mark:
-                rows = landing.extract_incremental(rows, mark)
-        run_ts = stream.run_ts or datetime.now(UTC).replace(tzinfo=None)
+                bound = F.lit(mark.replace("T", " ")).cast("timestamp")
+                rows = rows.where(
+                    (F.col("created_date") >= bound) | F.col(rejects.REASON).isNotNull()
+                )
         process(session, config, rows, f"{stream.name}-{epoch:012d}", run_ts)
 
     writer = (
@@ -82,46 +98,60 @@ def stream_increments(
     return writer.trigger(**trigger).start()
 
 
-def first_of_each_key(
-    source: DataFrame, delay: str = "1 day", salts: int = 8, key: str = S.KEY
-) -> DataFrame:
-    """Append-only variant: pass one row of each key seen within ``delay``.
-
-    Rows without a creation time cannot be placed against the watermark and are
-    left out. A first pass by key and reading task spreads a frequent key over
-    several tasks; the second pass then sees at most ``salts`` rows of it.
-    """
-    salted = (
-        clean.parse_timestamps(source, ("created_date", "closed_date"))
-        .where(F.col("created_date").isNotNull())
-        .withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        .withWatermark("created_date", delay)
-    )
-    once = salted.dropDuplicatesWithinWatermark([key, "_salt"])
-    return once.dropDuplicatesWithinWatermark([key]).drop("_salt")
-
-
 def stream_first_of_each_key(
     spark: SparkSession,
     config: RunConfig,
     target: str,
-    delay: str = "1 day",
     interval: str | None = "1 minute",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Write the append-only variant to Parquet below ``target``.
+    """Append-only variant: the first row of each key, written once and never changed.
 
-    Keys in view are kept in RocksDB, off the heap. The number of shuffle
-    partitions of the first start is kept for the life of the checkpoint.
+    First is the smallest arrival order within a batch, and the earlier batch of two. Rows
+    of any age, and without a creation time, count. A frequent key costs one row for each
+    reading task. A batch's keys are looked up in the key column of what was written, which
+    is sorted by key and has bloom filters. A replayed batch replaces its own folder.
+    Rows that cannot be read go to ``rejects``.
     """
     use_utc(spark)
-    rows = first_of_each_key(read_stream(spark, config, files_per_batch), delay)
-    writer = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", f"{config.root}/checkpoints/first-of-key")
-        .outputMode("append")
-    )
+    source = read_stream(spark, config, files_per_batch)
+    if not config.order:
+        source = landing.with_file_place(source)
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        session = use_utc(batch.sparkSession)
+        rows = batch if config.order else landing.with_row_place(batch)
+        rows = clean.parse_timestamps(rows, ("created_date", "closed_date"))
+        staging = f"{config.root}/staging/first-{epoch:012d}"
+        rejects.with_reason(rows, S.RAW_COLUMNS, undated=False).write.mode("overwrite").parquet(
+            staging
+        )
+        marked = session.read.parquet(staging)
+        refused = rejects.rejected(marked)
+        if not refused.isEmpty():
+            refused.write.mode("overwrite").parquet(f"{config.rejects_path}/run=first-{epoch:012d}")
+        first = dedup.dedup_first(rejects.taken(marked), (config.arrival,))
+        own = f"batch={epoch:012d}"
+        others = [
+            f"{target}/{n}"
+            for n in files.child_names(session, target)
+            if n.startswith("batch=") and n != own
+        ]
+        if others:
+            seen = session.read.schema(first.schema).parquet(*others).select(S.KEY)
+            held = seen.join(
+                first.select(F.col(S.KEY).alias("_new_key")),
+                F.col(S.KEY).eqNullSafe(F.col("_new_key")),
+                "left_semi",
+            )
+            first = dedup.without_keys(first, held)
+        first.sortWithinPartitions(S.KEY).write.mode("overwrite").option(
+            f"parquet.bloom.filter.enabled#{S.KEY}", "true"
+        ).parquet(f"{target}/{own}")
+        files.delete_folder(session, staging)
+
+    writer = source.writeStream.option(
+        "checkpointLocation", f"{config.root}/checkpoints/first-of-key"
+    ).foreachBatch(apply)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    with session_conf(spark, ROCKSDB):
-        return writer.trigger(**trigger).start()
+    return writer.trigger(**trigger).start()

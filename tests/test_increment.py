@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from requestmill import schemas as S
 from requestmill.operators import clean, contract, reports
@@ -17,7 +19,7 @@ from requestmill.plans.increment import (
 from requestmill.plans.sample_data import increments, raw_requests
 from requestmill.plans.transform import transform
 from requestmill.sources import landing, state, tables
-from requestmill.sources.master import Layout
+from requestmill.sources.master import Layout, Master
 from requestmill.streaming import increments as streams
 
 SMALL = "/root/testdata/sf0.001"
@@ -255,16 +257,153 @@ def test_replayed_batch_changes_nothing(spark, folder, monkeypatch):
     assert mark(spark, config) == "2025-01-09T00:00:00"
 
 
-def test_append_only_stream_passes_each_key_once(spark, folder):
+def test_append_only_stream_keeps_the_first_row_of_each_key(spark, folder):
     config = config_for(folder, order="seq")
     target = f"{folder}/first"
     raw = raw_requests(spark, SMALL)
     for _ in range(2):
         raw.repartition(4).write.mode("append").json(config.landing)
-        streams.stream_first_of_each_key(
-            spark, config, target, delay="60 days", interval=None
-        ).awaitTermination()
-    got = [r.unique_key for r in spark.read.parquet(target).collect()]
-    want = {r.unique_key for r in raw.where("created_date <> 'not-a-date'").collect()}
-    assert len(got) == len(set(got))
-    assert set(got) == want
+        streams.stream_first_of_each_key(spark, config, target, interval=None).awaitTermination()
+    got = {(r.unique_key, r.seq) for r in spark.read.parquet(target).collect()}
+    rows = raw.select("unique_key", "seq").collect()
+    first = {}
+    for r in rows:
+        first[r.unique_key] = min(r.seq, first.get(r.unique_key, r.seq))
+    assert got == set(first.items())  # rows without a creation time are among them
+    assert spark.read.parquet(target).count() == len(first)
+
+
+def test_late_rows_of_the_append_only_stream_are_kept(spark, folder):
+    config = config_for(folder)
+    target = f"{folder}/first"
+    for n, day in enumerate(("2025-01-09", "2024-12-31", None)):
+        land(config, f"{n}.json", (str(n), day, None, "A"), ("0", "2025-01-01", None, "again"))
+        streams.stream_first_of_each_key(spark, config, target, interval=None).awaitTermination()
+    rows = {r.unique_key: r.agency for r in spark.read.parquet(target).collect()}
+    assert rows == {"0": "A", "1": "A", "2": "A"}
+
+
+def test_files_with_old_times_are_read(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+    run_stream(spark, config)
+    land(config, "2.json", ("2", "2025-01-09T00:00:00", None, "A"))
+    old = Path(config.landing, "2.json").stat().st_mtime - 30 * 86_400
+    os.utime(Path(config.landing, "2.json"), (old, old))
+    run_stream(spark, config)
+    land(config, "3.json", ("3", "2025-01-09T00:00:00", None, "A"))
+    run_stream(spark, config)
+    assert sorted(content(spark, config)) == ["1", "2", "3"]
+
+
+def rejects_of(spark, config):
+    return {(r.reason, r.record) for r in spark.read.parquet(config.rejects_path).collect()}
+
+
+def test_rows_that_cannot_be_taken_are_kept_with_a_reason(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"), ("2", "soon", None, "A"),
+         ("3", "2099-01-01T00:00:00", None, "A"))
+    with Path(config.landing, "1.json").open("a") as file:
+        file.write('{"unique_key": "4", "created_da')
+    entry = run_increment(spark, config, NOW, "r1")
+    assert (entry["raw_count"], entry["rejected_count"]) == (1, 3)
+    found = rejects_of(spark, config)
+    assert {r for r, _ in found} == {"malformed", "no creation time", "created in the future"}
+    assert ("malformed", '{"unique_key": "4", "created_da') in found
+    # the row from the future does not end the reading of later ones
+    assert mark(spark, config) == "2025-01-09T00:00:00"
+    land(config, "2.json", ("5", "2025-01-10T00:00:00", None, "B"))
+    run_increment(spark, config, NOW, "r2")
+    assert content(spark, config) == {"1": "A", "5": "B"}
+
+
+def test_the_mark_never_passes_the_run(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-10T18:00:00", None, "A"))  # within the margin
+    run_increment(spark, config, NOW, "r1")
+    assert mark(spark, config) == "2025-01-10T12:00:00"
+    assert content(spark, config) == {"1": "A"}
+
+
+def test_streamed_malformed_rows_do_not_become_a_key(spark, folder):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+    with Path(config.landing, "1.json").open("a") as file:
+        file.write("{broken\n")
+    run_stream(spark, config)
+    assert content(spark, config) == {"1": "A"}
+    assert rejects_of(spark, config) == {("malformed", "{broken")}
+
+
+def test_tracked_runs_read_new_files_only(spark, folder):
+    config = config_for(folder, track_files=True)
+    read = []
+    original = landing.read_landing
+
+    def spy(*args, **more):
+        read.append(sorted(Path(p).name for p in more["paths"]))
+        return original(*args, **more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(landing, "read_landing", spy)
+        land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+        run_increment(spark, config, NOW, "r1")
+        land(config, "2.json", ("late", "2025-01-01T00:00:00", None, "B"))
+        land(config, "3.json", ("2", "2025-01-10T00:00:00", None, "B"))
+        run_increment(spark, config, NOW, "r2")
+        assert run_increment(spark, config, NOW, "r3")["status"] == "empty"
+    assert read == [["1.json"], ["2.json", "3.json"]]
+    assert content(spark, config) == {"1": "A", "late": "B", "2": "B"}
+    report = reports.processed_files_report(state.processed_files(spark, config.files_path)).first()
+    assert report.n_files == 3 and report.first_file.endswith("1.json")
+    assert [Path(p).name for p in report.last_files][-1] == "1.json"
+    land(config, "2.json", ("late", "2025-01-01T00:00:00", None, "written again"))
+    run_increment(spark, config, NOW, "r4")
+    assert content(spark, config)["late"] == "WRITTEN AGAIN"
+
+
+def test_failed_merges_are_recorded(spark, folder, monkeypatch):
+    config = config_for(folder)
+    land(config, "1.json", ("1", "2025-01-09T00:00:00", None, "A"))
+
+    def fail(self, *_, **__):
+        raise OSError("disk gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Master, "merge", fail)
+        with pytest.raises(OSError, match="disk gone"):
+            run_increment(spark, config, NOW, "r1")
+    row = state.read_ledger(spark, config.ledger_path).first()
+    assert (row.raw_status, row.processed_status, row.status) == ("failed", "not reached", "failed")
+    assert row.error == "OSError: disk gone" and row.raw_count == 1
+    assert not Path(config.root, "staging", "r1").exists()
+    run_increment(spark, config, NOW, "r2")
+    assert content(spark, config) == {"1": "A"}
+
+
+def test_ledger_folds(spark, folder):
+    path = f"{folder}/ledger"
+    for n in range(4):
+        state.append_ledger(spark, path, {"run_id": f"r{n}", "raw_count": n})
+    before = sorted(map(tuple, state.read_ledger(spark, path).collect()))
+    assert state.fold_ledger(spark, path) == 4
+    assert sorted(map(tuple, state.read_ledger(spark, path).collect())) == before
+    assert len([p for p in Path(path).iterdir() if p.is_dir()]) == 1
+    state.append_ledger(spark, path, {"run_id": "r3", "raw_count": 3})
+    assert state.read_ledger(spark, path).count() == 4
+    assert state.fold_ledger(spark, f"{folder}/none") == 0
+
+
+def test_a_failed_refresh_keeps_the_rows(spark, folder):
+    tables.create_table(spark, "kept", f"{folder}/kept")
+    rows = transform(raw_requests(spark, SMALL), NOW).where("created_date IS NOT NULL")
+    tables.refresh_table(rows, "kept")
+    count = spark.table("kept").count()
+    broken = rows.withColumn("agency", F.raise_error(F.lit("source gone")))
+    with pytest.raises(Exception, match="source gone"):
+        tables.refresh_table(broken, "kept")
+    assert spark.table("kept").count() == count > 0
+    tables.refresh_table(rows.limit(3), "kept")
+    assert spark.table("kept").count() == 3
+    spark.sql("DROP TABLE kept")
