@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from requestmill import schemas as S
+from requestmill.functions.text import WHITESPACE
 from requestmill.plans.queries import LEDGER_BATCH, RUN_TS, TIGHT_LIMITS
 
 _FMT = "'%Y-%m-%dT%H:%M:%S.%g'"
@@ -244,8 +245,8 @@ def all_oracles() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS status) FROM raw_requests""",
         "parse_timestamps": """SELECT seq, moment AS created_date, moment AS due_date FROM (
             SELECT event_id AS seq, CASE WHEN event_id % 97 = 0 THEN NULL
-              WHEN event_id % 2 = 0 THEN date_trunc('millisecond', ts)
-              WHEN event_id % 4 = 1 THEN date_trunc('second', ts)
+              WHEN event_id % 9 IN (0, 2) THEN date_trunc('millisecond', ts)
+              WHEN event_id % 9 IN (1, 4, 5) THEN date_trunc('second', ts)
               ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS moment FROM events)""",
         "parse_numbers": f"""{WITH_RAW} SELECT seq,
             CASE WHEN seq % 5 < 3 THEN try_cast(latitude AS DOUBLE) END AS latitude,
@@ -304,6 +305,13 @@ def all_oracles() -> dict[str, str]:
         "append_without_key": f"""{BATCHES} SELECT * EXCLUDE (unique_key) FROM batch_a
             UNION ALL SELECT * EXCLUDE (unique_key) FROM batch_b""",
         "merge_processed": f"{PROCESSED_BATCHES} {_MERGED}",
+        "merge_without_order": f"""{BATCHES}, ranked AS (
+            SELECT unique_key, created_date, status, seq, batch_id
+            FROM (SELECT * FROM batch_a UNION ALL SELECT * FROM batch_b)
+            QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY batch_id DESC,
+              created_date DESC NULLS LAST, status DESC NULLS LAST, seq DESC) = 1)
+            SELECT unique_key, created_date, status, seq, way FROM ranked
+            CROSS JOIN (VALUES ('union'), ('join')) AS w(way)""",
         "merge_master_days": f"{PROCESSED_BATCHES} {_MERGED_MS}",
         "merge_master_buckets": f"{PROCESSED_BATCHES} {_MERGED_MS}",
         "total_rows": f"{PROCESSED} SELECT count(*) AS total_rows FROM processed",
@@ -403,11 +411,47 @@ def all_oracles() -> dict[str, str]:
             (SELECT count(*) FROM raw_requests) AS raw_count, count(*) AS processed_count,
             {score} AS avg_quality_score,
             count(*) FILTER (WHERE has_location) AS records_with_location,
-            'succeeded' AS publish_status, 'success' AS status FROM processed""",
+            'succeeded' AS publish_status, 'success' AS status,
+            CAST(0 AS BIGINT) AS rejected_count, 'succeeded' AS raw_status,
+            'succeeded' AS processed_status, CAST(NULL AS VARCHAR) AS error FROM processed""",
+        "run_record_failed": f"""{PROCESSED}, n AS (SELECT
+              (SELECT count(*) FROM raw_requests) AS r, (SELECT count(*) FROM processed) AS p)
+            SELECT run_id, r AS raw_count, CASE WHEN merged THEN p END AS processed_count,
+              'succeeded' AS raw_status,
+              CASE WHEN merged THEN 'succeeded' ELSE 'failed' END AS processed_status,
+              publish_status, status, error_kind
+            FROM n CROSS JOIN (VALUES
+              ('1-merge', false, NULL, 'failed', 'ValueError'),
+              ('2-publish', true, 'failed', 'partial', 'OSError'),
+              ('3-good', true, 'skipped', 'success', NULL))
+              AS v(run_id, merged, publish_status, status, error_kind)""",
+        "rejected_rows": f"""{WITH_RAW} SELECT reason, count(*) AS n_rows FROM (
+            SELECT CASE WHEN seq % 89 = 0 THEN 'malformed'
+              WHEN seq % 101 = 0 THEN 'created in the future'
+              WHEN seq % 97 = 0 THEN 'no creation time' END AS reason FROM raw_requests)
+            WHERE reason IS NOT NULL GROUP BY reason""",
+        "processed_files": """SELECT CAST(3 AS BIGINT) AS n_files, CAST(3 AS BIGINT) AS n_runs,
+            '2025-01-01' AS first_day, '2025-01-03' AS last_day, CAST(3 AS BIGINT) AS n_listed
+            FROM events HAVING count(*) > 0""",
+        "increment_by_files": _by_files(_MS),
+        "publish_increment": _by_files(
+            f"{_MS}, CAST(data_quality_score AS DOUBLE) AS data_quality_score"
+        ),
         "increment_run": _two_runs(),
         "stream_transform": f"{PROCESSED_BATCHES} {_MERGED_MS}",
-        "stream_dedup": f"""{WITH_RAW} SELECT DISTINCT unique_key FROM raw_requests
-            WHERE try_cast(created_date AS TIMESTAMP) IS NOT NULL""",
+        "stream_dedup": f"""{BATCHES} SELECT * EXCLUDE (batch_id) REPLACE (
+              try_cast(created_date AS TIMESTAMP) AS created_date,
+              try_cast(closed_date AS TIMESTAMP) AS closed_date)
+            FROM (SELECT * FROM batch_a UNION ALL SELECT * FROM batch_b)
+            QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY batch_id, seq) = 1""",
+        "stream_late_rows": f"""{WITH_RAW}, halves AS (SELECT *, CASE WHEN coalesce(
+              created_date < '2024-01-15T12:00:00', false) THEN 2 ELSE 1 END AS batch_id
+              FROM raw_requests),
+            batch_a AS (SELECT * FROM halves WHERE batch_id = 1),
+            batch_b AS (SELECT * FROM halves WHERE batch_id = 2),
+            {stages('batch_a', '_a', ', batch_id')}, {stages('batch_b', '_b', ', batch_id')}
+            SELECT unique_key, created_date, agency FROM ({_MERGED_MS})""",
+        "stream_replay": f"{PROCESSED} SELECT * REPLACE ({_MS}) FROM processed",
     }
 
 
@@ -422,13 +466,12 @@ def _other_tables() -> dict[str, str]:
             GROUP BY o_custkey ORDER BY request_count DESC, o_custkey LIMIT 10""",
         "orders_latest": """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
             ORDER BY o_orderdate DESC, o_orderkey LIMIT 25""",
-        "lineitem_first_of_order": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey
-            FROM lineitem QUALIFY row_number() OVER (
+        "lineitem_first_of_order": """SELECT * FROM lineitem QUALIFY row_number() OVER (
               PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""",
         "lineitem_duplicate_counts": """SELECT count(*) AS total_rows,
             count(DISTINCT l_orderkey) AS distinct_keys,
             count(*) - count(DISTINCT l_orderkey) AS duplicates_removed FROM lineitem""",
-        "events_last_of_user": """SELECT user_id, event_id, event_type, value FROM events
+        "events_last_of_user": """SELECT * FROM events
             WHERE event_id IN (SELECT max(event_id) FROM events GROUP BY user_id)""",
         "documents_length_violations": """
             SELECT 'doc_id_duplicate' AS rule,
@@ -441,8 +484,11 @@ def _other_tables() -> dict[str, str]:
               FROM documents
             UNION ALL SELECT 'lang_too_long', count(*) FILTER (WHERE length(lang) > 2)
               FROM documents""",
-        "conversations_text_clean": """SELECT conv_id, turn, upper(role) AS role
-            FROM conversations""",
+        "conversations_text_clean": f"""SELECT conv_id, turn, role,
+            CASE WHEN t NOT IN ({_TOKENS}) THEN t END AS text
+            FROM (SELECT *, trim(text, '{WHITESPACE}') AS t FROM conversations)""",
+        "csv_documents_roundtrip": "SELECT doc_id, text, lang, source FROM documents",
+        "json_documents_roundtrip": "SELECT doc_id, text, lang, source FROM documents",
     }
 
 
@@ -468,6 +514,19 @@ def _completeness() -> str:
         SELECT *, {shares} FROM counts"""
 
 
+def _by_files(replaced: str) -> str:
+    """Three runs over dated rows, of which the latest wins."""
+    batches = ", ".join(
+        f"""batch_{n} AS (SELECT *, {n} AS batch_id FROM raw_requests
+          WHERE seq % 3 = {n} AND try_cast(created_date AS TIMESTAMP) IS NOT NULL),
+        {stages(f'batch_{n}', f'_{n}', ', batch_id')}"""
+        for n in range(3)
+    )
+    union = " UNION ALL ".join(f"SELECT * FROM processed_{n}" for n in range(3))
+    return f"""{WITH_RAW}, {batches} SELECT * EXCLUDE (batch_id) REPLACE ({replaced})
+      FROM ({union}) {_NEWEST_BATCH}"""
+
+
 def _two_runs() -> str:
     """Rows up to noon of the 15th, then rows from the first run's mark on."""
     dated = f"""{WITH_RAW}, dated AS (

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import StreamingQueryException
 
 from requestmill import schemas as S
 from requestmill.functions import temporal, text
-from requestmill.operators import clean, contract, dedup, incidents, reports
+from requestmill.operators import clean, contract, dedup, incidents, rejects, reports
 from requestmill.plans import increment as runs
 from requestmill.plans.sample_data import increments, raw_requests
 from requestmill.plans.transform import TransformOptions, parse_and_dedup, transform
 from requestmill.session import use_utc, working_folder
-from requestmill.sources import files, landing, state, tables
+from requestmill.sources import landing, state, tables
 from requestmill.sources.master import Layout, Master
 from requestmill.streaming import increments as streams
 
@@ -113,6 +115,23 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_csv(spark, path)
 
 
+@query
+def csv_documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and letters of all kinds."""
+    path = working_folder(spark, "csv-documents")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    landing.write_csv(docs, path)
+    return landing.read_csv(spark, path, docs.schema, na_tokens=())
+
+
+@query
+def json_documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = working_folder(spark, "json-documents")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs.write.json(path)
+    return landing.read_landing(spark, path, "json", docs.schema)
+
+
 @query
 def parquet_ms_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "parquet-ms")
@@ -144,11 +163,6 @@ def epoch_ns_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.convert_epoch_timestamps(rows)
 
 
-@query
-def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.file_inventory(spark, sf_dir)
-
-
 @query
 def state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{working_folder(spark, 'state')}/state.json"
@@ -179,16 +193,24 @@ def select_available(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four layouts in one column: ISO, 12-hour, ISO with offset, and date only."""
+    """Layouts in one column: ISO, with an offset, 12 and 24 hours, date only, with and
+    without leading zeros, and two compact ones."""
     moment, number = F.col("ts"), F.col("event_id")
     iso = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    shown = (
-        F.when(number % 97 == 0, "not-a-date")
-        .when(number % 4 == 0, iso)
-        .when(number % 4 == 1, F.date_format(moment, "MM/dd/yyyy hh:mm:ss a"))
-        .when(number % 4 == 2, F.concat(iso, F.lit("-05:00")))
-        .otherwise(F.date_format(moment, "MM/dd/yyyy"))
-    )
+    shown = F.when(number % 97 == 0, "not-a-date")
+    layouts = {
+        0: iso,
+        1: F.date_format(moment, "MM/dd/yyyy hh:mm:ss a"),
+        2: F.concat(iso, F.lit("-05:00")),
+        3: F.date_format(moment, "MM/dd/yyyy"),
+        4: F.date_format(moment, "M/d/yyyy h:mm:ss a"),
+        5: F.date_format(moment, "M/d/yyyy H:mm:ss"),
+        6: F.date_format(moment, "M/d/yyyy"),
+        7: F.date_format(moment, "yyyyMMdd"),
+    }
+    for remainder, layout in layouts.items():
+        shown = shown.when(number % 9 == remainder, layout)
+    shown = shown.otherwise(F.date_format(moment, "yyyy/MM/dd"))
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return clean.parse_timestamps(
         events.select(number.alias("seq"), shown.alias("created_date"), shown.alias("due_date"))
@@ -397,6 +419,25 @@ def _merged_master(spark: SparkSession, sf_dir: str, layout: Layout) -> DataFram
     return master.read()
 
 
+@query
+def merge_without_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Increments with repeated keys and no order, with and without a broadcast: of one key the
+    row that is last by its columns stays, and both ways give the same rows."""
+    root = working_folder(spark, "unordered")
+    columns = ("unique_key", "created_date", "status", "seq")
+    schema = T.StructType(
+        [T.StructField(c, T.StringType()) for c in columns[:3]] + [T.StructField("seq", T.LongType())]
+    )
+    found = []
+    for name, size in (("union", 0), ("join", 64 << 20)):
+        layout = Layout("buckets", buckets=4)
+        master = Master(spark, f"{root}/{name}", schema, layout, broadcast_bytes=size)
+        for batch in increments(spark, sf_dir):
+            master.merge(batch.select(*columns))
+        found.append(master.read().withColumn("way", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
 @query
 def merge_master_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_master(spark, sf_dir, Layout("time"))
@@ -569,9 +610,8 @@ def orders_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lineitem_first_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
-    )
+    lines = _table(spark, sf_dir, "lineitem")
+    lines = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
     return dedup.dedup_first(lines, ("l_linenumber", "l_partkey", "l_suppkey"), "l_orderkey")
 
 
@@ -582,7 +622,8 @@ def lineitem_duplicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def events_last_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    events = _table(spark, sf_dir, "events")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     return dedup.dedup_last(events, ("event_id",), "user_id")
 
 
@@ -599,8 +640,10 @@ def documents_length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conversations_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    return clean.normalise_text(turns, ("role",))
+    """Whole turns without the blanks around them; missing-value texts become NULL."""
+    turns = _table(spark, sf_dir, "conversations")
+    stripped = turns.withColumn("text", text.strip_blanks(F.col("text")))
+    return clean.null_na_tokens(stripped, columns=("text",))
 
 
 # Whole runs -----------------------------------------------------------------
@@ -620,6 +663,109 @@ def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_record(spark, entry).drop("raw_path", "processed_path")
 
 
+@query
+def run_record_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after a merge and a publication that raised, and a run that went well."""
+    root = working_folder(spark, "failed")
+    moment = datetime.fromisoformat(RUN_TS)
+    raw = raw_requests(spark, sf_dir)
+
+    def fail(_: DataFrame) -> None:
+        raise OSError("target gone")
+
+    config = runs.RunConfig(root, f"{root}/landing", order="seq")
+    other = Layout("buckets", buckets=3)
+    Master(spark, f"{root}/processed", S.PROCESSED_SCHEMA, other).merge(
+        transform(raw, RUN_TS).limit(0)
+    )
+    for run_id, broken in (("1-merge", config), ("2-publish", None)):
+        if broken is None:
+            broken = replace(config, root=f"{root}/second", publish=fail)
+        try:
+            runs.load_batch(spark, broken, raw, moment, run_id)
+        except (ValueError, OSError):
+            pass
+    runs.load_batch(spark, replace(config, root=f"{root}/second"), raw, moment, "3-good")
+    ledger = state.read_ledger(spark, config.ledger_path).unionByName(
+        state.read_ledger(spark, f"{root}/second/ledger")
+    )
+    return ledger.select(
+        "run_id",
+        "raw_count",
+        "processed_count",
+        "raw_status",
+        "processed_status",
+        "publish_status",
+        "status",
+        F.substring_index("error", ":", 1).alias("error_kind"),
+    )
+
+
+def _land_lines(lines: DataFrame, path: str) -> None:
+    lines.write.mode("append").text(path)
+
+
+@query
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut-off records, records without a creation time and records from the future, by reason."""
+    root = working_folder(spark, "rejects")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq", days_back=400)
+    raw = raw_requests(spark, sf_dir)
+    dated = F.when(F.col("seq") % 101 == 0, "2099-01-01T00:00:00").otherwise(F.col("created_date"))
+    record = F.to_json(F.struct(*S.RAW_COLUMNS, "seq"))
+    cut = F.when(F.col("seq") % 89 == 0, F.substring(record, 1, 20)).otherwise(record)
+    _land_lines(raw.withColumn("created_date", dated).select(cut.alias("value")), config.landing)
+    runs.run_increment(spark, config, datetime.fromisoformat(RUN_TS), "run-1")
+    return rejects.reject_counts(spark.read.parquet(config.rejects_path).select("reason"))
+
+
+def _tracked(spark: SparkSession, sf_dir: str, **more) -> runs.RunConfig:
+    """Three landings, a run after each; every run reads the new files only."""
+    root = working_folder(spark, "tracked")
+    config = runs.RunConfig(
+        root, f"{root}/landing", order="seq", days_back=400, track_files=True, **more
+    )
+    raw = raw_requests(spark, sf_dir)
+    for n in range(3):
+        part = raw.where(F.col("seq") % 3 == n).coalesce(1)
+        _land(part, f"{config.landing}/arrival_date=2025-01-0{n + 1}")
+        runs.run_increment(spark, config, datetime.fromisoformat(RUN_TS), f"run-{n}")
+    return config
+
+
+@query
+def processed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of files: how many, how many a run read, and the arrival folders of the report."""
+    config = _tracked(spark, sf_dir)
+    known = state.processed_files(spark, config.files_path)
+    report = reports.processed_files_report(known)
+    day = r"arrival_date=([0-9-]+)/"
+    per_run = known.agg(F.count_distinct("run_id").alias("n_runs"))
+    return report.join(per_run).select(
+        "n_files",
+        "n_runs",
+        F.regexp_extract("first_file", day, 1).alias("first_day"),
+        F.regexp_extract("last_file", day, 1).alias("last_day"),
+        F.size("last_files").cast("long").alias("n_listed"),
+    )
+
+
+@query
+def increment_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the runs that read new files only have merged."""
+    return runs.processed_master(spark, _tracked(spark, sf_dir)).read()
+
+
+@query
+def publish_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published by three runs, each of which replaces it in one step."""
+    location = working_folder(spark, "published")
+    name = location.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_table(spark, name, location)
+    _tracked(spark, sf_dir, publish=runs.refresh_to(name))
+    return spark.table(name)
+
+
 @query
 def increment_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings and two runs; the second one starts from the first one's mark."""
@@ -649,14 +795,48 @@ def stream_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings; of each key the first row of the first landing that has it."""
     root = working_folder(spark, "stream-first")
     config = runs.RunConfig(root, f"{root}/landing", order="seq")
-    _land(raw_requests(spark, sf_dir), config.landing)
     target = f"{root}/first"
-    streams.stream_first_of_each_key(
-        spark, config, target, delay="60 days", interval=None
-    ).awaitTermination()
-    return spark.read.parquet(target).select("unique_key")
+    for batch in increments(spark, sf_dir):
+        _land(batch, config.landing)
+        streams.stream_first_of_each_key(spark, config, target, interval=None).awaitTermination()
+    return spark.read.parquet(target).drop("batch")
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the time lands first; the rows of the earlier half are merged all the same."""
+    root = working_folder(spark, "stream-late")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq")
+    stream = streams.StreamConfig(interval=None, run_ts=datetime.fromisoformat(RUN_TS))
+    raw = raw_requests(spark, sf_dir)
+    late = F.coalesce(F.col("created_date") < "2024-01-15T12:00:00", F.lit(False))
+    for batch in (raw.where(~late), raw.where(late)):
+        _land(batch, config.landing)
+        streams.stream_increments(spark, config, stream).awaitTermination()
+    return runs.processed_master(spark, config).read().select("unique_key", "created_date", "agency")
+
+
+@query
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch whose publication fails, and the same batch again after a restart."""
+    root = working_folder(spark, "stream-replay")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq")
+    stream = streams.StreamConfig(interval=None, run_ts=datetime.fromisoformat(RUN_TS))
+    _land(raw_requests(spark, sf_dir), config.landing)
+
+    def fail(_: DataFrame) -> None:
+        raise OSError("target gone")
+
+    try:
+        broken = replace(config, publish=fail)
+        streams.stream_increments(spark, broken, stream).awaitTermination()
+    except StreamingQueryException:
+        pass
+    streams.stream_increments(spark, config, stream).awaitTermination()
+    return runs.processed_master(spark, config).read()
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import sys
 from collections import Counter
 from pathlib import Path
@@ -50,7 +51,8 @@ def _rows(columns, rows):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"file_inventory"}
+    without = set(QUERIES) - set(ORACLES)
+    assert not [n for n in without if not re.match(r"op\d+_|pipeline$", n)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -67,14 +69,3 @@ def test_query_matches_duckdb(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 1
-
-
-def test_file_inventory(spark):
-    found = QUERIES["file_inventory"](spark, str(DATA))
-    rows = found.collect()
-    assert {r.file_name: r.size_bytes for r in rows} == {
-        f.name: f.stat().st_size for f in DATA.glob("*.parquet")
-    }
-    times = [r.modified for r in rows]
-    assert times == sorted(times, reverse=True)
-    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
