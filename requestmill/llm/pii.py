@@ -259,6 +259,8 @@ def _compiled() -> re.Pattern:
     """One pattern of all kinds; a kind is known by its group's name."""
     parts, groups = [], 1
     for name, pattern, _ in PATTERNS:
+        # the digit class stands for ASCII digits here; others are not personal numbers
+        pattern = pattern.replace(r"\d", "[0-9]")
         parts.append(f"(?P<{name}>{_numbered(pattern, groups + 1)})")
         groups += 1 + re.compile(pattern).groups
     return re.compile("|".join(parts))
