@@ -31,7 +31,8 @@ LENGTH = 200
 CORE = 100
 REACH = LENGTH - CORE  # a string starts at most so many bytes before its anchor
 SHALLOW = 16
-BLOCK = 1 << 20
+BLOCK = 1 << 20  # bytes of a long text searched at once
+TOGETHER = 1 << 17  # bytes of short texts searched at once
 GROUP_LIMIT = 20_000
 TASK_CONTEXTS = 30_000
 FILTER_BITS = 1 << 29
@@ -59,40 +60,70 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _sliding(a: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """``best`` of each run of ``width`` values, from running bests of blocks."""
-    count = len(a) - width + 1
-    blocks = np.concatenate([a, np.full(-len(a) % width, a[-1])]).reshape(-1, width)
-    ahead = best.accumulate(blocks, axis=1).ravel()
-    back = best.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(back[:count], ahead[width - 1 : width - 1 + count])
-
-
-def _anchors_of_block(codes: np.ndarray) -> np.ndarray:
-    table, up, down = _tables(BLOCK + LENGTH + 1)
+    """``best`` of each run of ``width`` values, from runs of half the width."""
+    done = 1
+    out = a
+    while 2 * done <= width:
+        out = best(out[:-done], out[done:])
+        done *= 2
+    rest = width - done
+    return best(out[:-rest], out[rest:]) if rest else out
+
+
+def _anchors_side_by_side(texts: list[bytes]) -> list[list[int]]:
+    """Anchors of texts laid one after the other; strings across two texts do not count."""
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    if ends[-1] < LENGTH:
+        return [[] for _ in texts]
+    codes = np.frombuffer(b"".join(texts), np.uint8)
     n = len(codes)
+    table, up, down = _tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(table[codes] * up[:n], out=sums[1:])
     h = (sums[CORE:] - sums[:-CORE]) * down[: n - CORE + 1]
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    h = (h ^ (h >> np.uint64(32))) | np.uint64(1)
     width = REACH + 1
     lowest = _sliding(h, width, np.minimum)
+    for end, size in zip(ends.tolist(), sizes.tolist(), strict=True):
+        lowest[max(0, end - min(size, LENGTH - 1)) : end] = 0  # no string starts here
     edge = np.zeros(width - 1, np.uint64)
     highest = _sliding(np.concatenate([edge, lowest, edge]), width, np.maximum)
-    return np.flatnonzero(h == highest)
+    found = np.flatnonzero(h == highest)
+    cuts = np.searchsorted(found, ends).tolist()
+    out, first = [], 0
+    for cut, start in zip(cuts, (ends - sizes).tolist(), strict=True):
+        out.append((found[first:cut] - start).tolist())
+        first = cut
+    return out
 
 
 def anchors(data: bytes) -> list[int]:
     """Starts of the smallest cores of all strings; depends on the strings alone."""
-    if len(data) < LENGTH:
-        return []
-    codes = np.frombuffer(data, np.uint8)
     strings = len(data) - LENGTH + 1
-    found = [
-        _anchors_of_block(codes[s : s + BLOCK + LENGTH - 1][: strings - s + LENGTH - 1]) + s
-        for s in range(0, strings, BLOCK)
-    ]
-    return np.unique(np.concatenate(found)).tolist()
+    found: set[int] = set()
+    for start in range(0, strings, BLOCK):
+        part = data[start : start + BLOCK + LENGTH - 1]
+        found.update(start + at for at in _anchors_side_by_side([part])[0])
+    return sorted(found)
+
+
+def anchors_of_each(texts: list[bytes]) -> list[list[int]]:
+    """The same for several texts; short ones are searched together."""
+    out: list[list[int]] = []
+    at = 0
+    while at < len(texts):
+        end, size = at + 1, len(texts[at])
+        if size > TOGETHER:
+            out.append(anchors(texts[at]))
+        else:
+            while end < len(texts) and size + len(texts[end]) <= TOGETHER:
+                size += len(texts[end])
+                end += 1
+            out += _anchors_side_by_side(texts[at:end])
+        at = end
+    return out
 
 
 def _core_hash(data: bytes, at: int) -> int:
@@ -110,10 +141,10 @@ def _signed(values: list[int]) -> np.ndarray:
 
 def _core_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        texts = [t or b"" for t in batch.column(0).to_pylist()]
         found: list[int] = []
-        for text in batch.column(0):
-            data = text.as_py() or b""
-            found += [_core_hash(data, at) for at in anchors(data)]
+        for data, places in zip(texts, anchors_of_each(texts), strict=True):
+            found += [_core_hash(data, at) for at in places]
         cores, n = np.unique(_signed(found), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(cores), pa.array(n, pa.int64())], ["core", "n"])
 
@@ -160,9 +191,9 @@ def _anchor_batches(bits, with_body: bool):
             at_, low_, high_, core_, context_ = [], [], [], [], []
             bodies: list[bytes] = []
             seen: set[tuple[int, int]] = set()
-            for row, text in enumerate(batch.column(2)):
-                data = text.as_py() or b""
-                places = anchors(data)
+            texts = [t or b"" for t in batch.column(2).to_pylist()]
+            each = anchors_of_each(texts)
+            for row, (data, places) in enumerate(zip(texts, each, strict=True)):
                 cores = [_core_hash(data, at) for at in places]
                 for k in np.flatnonzero(_passes(filter_bits, cores)).tolist():
                     at, core = places[k], cores[k]

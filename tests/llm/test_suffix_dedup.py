@@ -101,6 +101,16 @@ def test_every_string_has_an_anchor_that_depends_on_it_alone(monkeypatch):
     assert suffix_dedup.anchors(data) == places
 
 
+@pytest.mark.parametrize("together", [1, 900, 1 << 17])
+def test_texts_searched_together(monkeypatch, together):
+    rng = random.Random(6)
+    texts = [bytes(rng.choice(b"ab ") for _ in range(rng.randint(0, 700))) for _ in range(60)]
+    want = [suffix_dedup.anchors(t) for t in texts]
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    assert suffix_dedup.anchors_of_each(texts) == want
+    assert suffix_dedup.anchors_of_each([]) == []
+
+
 def test_deep_shallow_sort():
     rng = random.Random(7)
     stem = "".join(rng.choice("ab") for _ in range(60))
