@@ -26,14 +26,14 @@ from requestmill.llm.common import worker_state
 
 CUT_BITS = 10  # chunks of about 1 KB
 WINDOW = 32  # bytes that decide about a cut
-WORDS_KEPT = 400_000
-PARTS_KEPT = 600_000
+WORDS_KEPT = 150_000
+PARTS_KEPT = 250_000
 # Letters that neither composition nor lower case turns into anything but one letter, and ASCII
 # signs but the apostrophe behind them.
 LETTERS = re.compile(
     "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)"
 )
-CHUNKS_KEPT = 8_000
+CHUNKS_KEPT = 4_000
 BLANK = b" "
 
 
