@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,13 @@ def window_hashes(words: Column, width: int) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: of(h, width))
 
 
+def sliced(batches: Iterator, rows: int = 512) -> Iterator:
+    """The same rows in smaller batches, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker does."""
     return sys.__dict__.setdefault("_requestmill_llm", {})

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from requestmill.llm.common import sliced
+
 # Fixed values of HTML: elements without an end tag, elements that break a line of text,
 # elements that a new paragraph-like one closes.
 VOID = frozenset(
@@ -257,7 +259,7 @@ def main_text(html: str | None) -> str:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         texts = [main_text(h.as_py()) for h in batch.column(2)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string())],

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from requestmill.llm.common import sliced
+
 ROUNDS = 10
 REMEMBERED = 50_000
 FIRST_DAY, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
@@ -304,7 +306,7 @@ class Pseudonymizer:
 def _replace_batches(key: bytes, backward: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pseudonymizer(key, backward)
-        for batch in batches:
+        for batch in sliced(batches):
             at = batch.schema.get_field_index("text")
             found = [
                 (None, None) if t is None else own.replaced(t)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from requestmill.llm.common import written
+from requestmill.llm.common import sliced, written
 from requestmill.llm.graph import connected_components
 
 SEED = 42
@@ -42,7 +42,7 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
 
 def _hash_batches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints = np.array(
                 [fingerprint(t.as_py(), width) for t in batch.column(1)], dtype=np.uint64
             )

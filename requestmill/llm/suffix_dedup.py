@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from requestmill.llm.common import worker_state, written
+from requestmill.llm.common import sliced, worker_state, written
 
 LENGTH = 200
 CORE = 100
@@ -140,7 +140,7 @@ def _signed(values: list[int]) -> np.ndarray:
 
 
 def _core_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 2048):
         texts = [t or b"" for t in batch.column(0).to_pylist()]
         found: list[int] = []
         for data, places in zip(texts, anchors_of_each(texts), strict=True):
@@ -186,7 +186,7 @@ def _anchor_batches(bits, with_body: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_bits = bits.value
-        for batch in batches:
+        for batch in sliced(batches, 2048):
             rows: list[int] = []
             at_, low_, high_, core_, context_ = [], [], [], [], []
             bodies: list[bytes] = []
@@ -558,7 +558,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 2048):
         runs, kept = [], []
         for text, found in zip(batch.column(1), batch.column(2), strict=True):
             data = text.as_py() or b""
