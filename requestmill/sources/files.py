@@ -69,7 +69,7 @@ def claim(spark: SparkSession, path: str, expiry: float) -> bool:
     target, system = _hadoop(spark, path)
     for _ in range(2):
         try:
-            # atomic also on local disks, where create() is a check and then a write
+            # create without overwriting: decided by the name node, on a local disk by a look first
             if system.createNewFile(target):
                 return True
         except Exception:
