@@ -135,6 +135,32 @@ def _social(text: str, walk: Walk) -> str | None:
     return _filled(text, f"{area + 1 + (area > 664):03d}{group + 1:02d}{serial + 1:04d}")
 
 
+# Lengths of the IBAN registry.
+IBAN_LENGTHS = {
+    said[:2]: int(said[2:])
+    for said in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 "
+        "DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 "
+        "IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 "
+        "MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+        "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
+
+
+def _iban_ends(text: str) -> list[int]:
+    """Where an IBAN at the start of ``text`` may end: at its country's length, else the longest first."""
+    ends, count = [], 0
+    for k, c in enumerate(text, 1):
+        count += c != " "
+        if c != " " and (k == len(text) or text[k] == " "):
+            ends.append((k, count))
+    length = IBAN_LENGTHS.get(text[:2])
+    if length:
+        return [k for k, count in ends if count == length]
+    return [k for k, count in reversed(ends) if count > 11]
+
+
 def _iban_check(country: str, rest: str) -> int:
     return 98 - int("".join(str(int(c, 36)) for c in rest + country + "00")) % 97
 
@@ -274,6 +300,7 @@ class Pseudonymizer:
         self.walk = feistel.backward if backward else feistel.forward
         self.pattern = _compiled()
         self.kinds = {name: make for name, _, make in PATTERNS}
+        self.each = {name: re.compile(p.replace(r"\d", "[0-9]")) for name, p, _ in PATTERNS}
         self.known: dict[tuple[str, str], str | None] = {}
         self.any = re.compile(r"[0-9@]|\"[A-Za-z_\-]{20}")
 
@@ -285,6 +312,42 @@ class Pseudonymizer:
             self.known[kind, text] = self.kinds[kind](text, self.walk)
         return self.known[kind, text]
 
+    def _ibans(self, text: str) -> tuple[int, str | None]:
+        """(end, pseudonym) of the IBAN that ``text`` starts with; the end alone if its check fails."""
+        for end in _iban_ends(text):
+            if (new := self.value("iban", text[:end])) is not None:
+                # for a country without a length, so that the way back finds the same end
+                while text[:2] not in IBAN_LENGTHS and self._end(new + text[end:]) != end:
+                    new = self.value("iban", new)
+                return end, new
+        return (_iban_ends(text)[:1] or [0])[0] if text[:2] in IBAN_LENGTHS else 0, None
+
+    @staticmethod
+    def _end(text: str) -> int:
+        flat = ((k, text[:k].replace(" ", "")) for k in _iban_ends(text))
+        return next((k for k, f in flat if f"{_iban_check(f[:2], f[4:]):02d}" == f[2:4]), 0)
+
+    def _at(self, text: str, m: re.Match) -> tuple[int, str | None, str]:
+        """(end, pseudonym, kind) of the first kind that has a valid value where ``m`` starts.
+
+        Without one, the end is where to go on: behind what has the shape of one whole IBAN of its
+        country, else one character further, for kinds begin at borders of words.
+        """
+        after = m.start() + 1
+        for kind, pattern in self.each.items():
+            if not (found := m if kind == m.lastgroup else pattern.match(text, m.start())):
+                continue
+            if kind == "iban":
+                size, new = self._ibans(found[0])
+                end = found.start() + size
+                if new is None and size:
+                    after = end
+            else:
+                end, new = found.end(), self.value(kind, found[0])
+            if new is not None:
+                return end, new, kind
+        return after, None, ""
+
     def replaced(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The new text, and (start, end, kind) of each replaced value in the old one."""
         if not self.any.search(text):
@@ -292,14 +355,14 @@ class Pseudonymizer:
         spans: list[tuple[int, int, str]] = []
         out: list[str] = []
         done = 0
-        for m in self.pattern.finditer(text):
-            kind = m.lastgroup
-            new = self.value(kind, m[0])
+        at = 0
+        while m := self.pattern.search(text, at):
+            at, new, kind = self._at(text, m)
             if new is None:
                 continue
             out += [text[done : m.start()], new]
-            done = m.end()
-            spans.append((m.start(), m.end(), kind))
+            done = at
+            spans.append((m.start(), at, kind))
         return "".join([*out, text[done:]]), spans
 
 

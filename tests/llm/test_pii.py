@@ -120,3 +120,25 @@ def test_given_documents(documents, texts):
     values = {(i, v) for i, t in texts.items() for v in shapes.findall(t)}
     assert len(values) > 10
     assert not [v for i, v in values if v in found[i]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "ES9121000418450200051332 BIC CAIXESBB",
+        "BE68 5390 0754 7034 BIC",
+        "SE45 5000 0000 0583 9825 7466 2024-01-01",
+        "AT611904300234573201 EUR",
+    ],
+)
+def test_ibans_before_a_neighbour(text):
+    new, spans = Pseudonymizer(KEY).replaced(text)
+    assert spans and spans[0][2] == "iban" and text[: spans[0][1]] not in new
+    assert Pseudonymizer(KEY, backward=True).replaced(new)[0] == text
+
+
+def test_what_lies_in_a_rejected_match_is_searched():
+    text = "QQ00 1234 4539 1488 0343 6467"
+    new, spans = Pseudonymizer(KEY).replaced(text)
+    assert spans and "4539 1488 0343 6467" not in new
+    assert Pseudonymizer(KEY, backward=True).replaced(new)[0] == text
