@@ -107,12 +107,28 @@ def _number(text: str, walk: Walk) -> str:
     return _filled(text, stem + str(luhn_digit(stem)))
 
 
+def _phone_class(own: str) -> tuple[bool, bool]:
+    """What patterns ask of a number: North American or not, a zero in front or not."""
+    return bool(re.fullmatch("[2-9][0-9]{2}[2-9][0-9]{6}", own)), own[:1] == "0"
+
+
 def _phone(text: str, walk: Walk) -> str:
-    """The country code stays; the last ten digits, or all of fewer, are permuted."""
+    """Country code and trunk zero stay; the last ten digits, or all of fewer, are permuted.
+
+    Numbers of one class are permuted among themselves, so that each is found again.
+    """
     digits = _digits(text)
-    own = min(10, len(digits))
-    new = str(walk(int(digits[-own:]), 10**own, b"phone")).zfill(own)
-    return _filled(text, digits[:-own] + new)
+    code = re.match(r"\+([0-9]{1,3})(?=[ .(-])", text)
+    first = len(code[1]) if code else 0
+    first += digits[first : first + 1] == "0"
+    own = min(10, len(digits) - first)
+    kept, own_digits = digits[:-own], digits[-own:]
+    wanted, x = _phone_class(own_digits), int(own_digits)
+    while True:
+        x = walk(x, 10**own, b"phone")
+        new = str(x).zfill(own)
+        if _phone_class(new) == wanted:
+            return _filled(text, kept + new)
 
 
 def _address(text: str, walk: Walk) -> str | None:
@@ -258,8 +274,16 @@ PATTERNS: list[tuple[str, str, Callable[[str, Walk], str | None]]] = [
     (
         "phone",
         r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?![\w-])|"
+        # the digits of an international number are counted, as its groups are of any size
+        r"(?<![\w.])\+(?=\d(?:[ .-]?\d){7,14}(?![\w-]|[ .]\d))\d{1,3}(?:[ .-]?\d{1,4}){2,7}(?![\w-])|"
+        r"(?<![\w.])\+33[ .-]?[1-9](?:[ .-]?\d{2}){4}(?![\w-])|"
         r"(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w-])|"
-        r"(?<![\w.-])\d{3}([-.])\d{3}\1\d{4}(?![\w-])",
+        r"(?<![\w.-])(?:1[-. ])?\d{3}([-. ])\d{3}\1\d{4}(?![\w-])|"
+        r"(?<![\w.-])1[-. ]\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?![\w-])|"
+        r"(?<![\w.,/-])[2-9]\d{2}[2-9]\d{6}(?![\w/-]|[.,]\d)|"
+        # national ones with a trunk zero: nine to eleven digits in all, no social security number
+        r"(?<![\w.,/-])(?!\d{3}-\d{2}-\d{4}(?!\d))(?!\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.))"
+        r"(?=0(?:[ .-]?\d){8,10}(?![\w-]|[ .]\d))0[1-9]\d{0,3}(?:([ .-]?)\d{2,8})(?:\2\d{2,4}){0,3}(?![\w-])",
         _phone,
     ),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _social),

@@ -142,3 +142,35 @@ def test_what_lies_in_a_rejected_match_is_searched():
     new, spans = Pseudonymizer(KEY).replaced(text)
     assert spans and "4539 1488 0343 6467" not in new
     assert Pseudonymizer(KEY, backward=True).replaced(new)[0] == text
+
+
+@pytest.mark.parametrize(
+    "phone",
+    [
+        "555 123 4567",
+        "2125550187",
+        "020 7946 0958",
+        "1-800-555-0199",
+        "+33 1 23 45 67 89",
+        "01 23 45 67 89",
+        "+1-212-555-0187",
+    ],
+)
+def test_layouts_of_phones(phone):
+    text = f"call {phone}, or write."
+    new, spans = Pseudonymizer(KEY).replaced(text)
+    assert spans == [(5, 5 + len(phone), "phone")] and phone not in new
+    assert Pseudonymizer(KEY, backward=True).replaced(new)[0] == text
+
+
+def test_one_phone_in_several_layouts():
+    one = Pseudonymizer(KEY)
+    digits = lambda text: re.sub("[^0-9]", "", one.value("phone", text))
+    assert digits("212 555 0187") == digits("2125550187") == digits("+1 (212) 555-0187")[1:]
+    assert digits("01 23 45 67 89")[1:] == digits("+33 1 23 45 67 89")[2:]
+    assert digits("+33 1 23 45 67 89")[:2] == "33"
+
+
+def test_what_is_no_phone():
+    text = "time 1609459200, 012-34-5678, 01.02.2003, 0.123456789, 2.5550187"
+    assert all(k != "phone" for _, _, k in Pseudonymizer(KEY).replaced(text)[1])
