@@ -115,8 +115,98 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit,
 FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 """
 
+_DIGITS = "'0123456789abcdef'"
+_BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+
+
+def _base32(digits: str) -> str:
+    """Five bits at a time, from a bit string of a hexadecimal one."""
+    bits = (
+        f"array_to_string(list_transform(string_split({digits}, ''), "
+        f"lambda c: lpad(bin(strpos({_DIGITS}, c) - 1), 4, '0')), '')"
+    )
+    five = " + ".join(f"{1 << 4 - k} * CAST(substr(b, 5 * i + {k + 1}, 1) AS INT)" for k in range(5))
+    return (
+        f"array_to_string(list_transform(range(0, 32), lambda i: "
+        f"substr({_BASE32}, {five.replace('b,', bits + ',')} + 1, 1)), '')"
+    )
+
+
+WARC_ARCHIVE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, t, sha1(t) AS s, max(page_id) OVER (PARTITION BY t) AS first FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_base32("s")} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+
+def _crc_table() -> str:
+    def entry(k: int) -> int:
+        for _ in range(8):
+            k = (k >> 1) ^ (0xEDB88320 if k & 1 else 0)
+        return k
+
+    return "[" + ", ".join(str(entry(k)) for k in range(256)) + "]::BIGINT[]"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    return f"sha256({' || '.join(map(_field, fields))})"
+
+
+# Levels of all language trees at once, then of the tree of their roots; a node's sibling is its
+# neighbour in the pair. Proofs and folds climb one level a step.
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE tbl AS (SELECT {_crc_table()} AS t),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+        CASE WHEN xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0
+             THEN {_leaf("(n_chars + 1)")} END AS altered
+      FROM documents, tbl),
+places AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+low AS (SELECT 0 AS level, tree, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM places
+        UNION ALL
+        SELECT level + 1, tree, pos // 2, sha256(h || coalesce(after, '')), (n + 1) // 2
+        FROM (SELECT *, lead(h) OVER (PARTITION BY tree ORDER BY pos) AS after FROM low WHERE n > 1)
+        WHERE pos % 2 = 0),
+subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos FROM low WHERE n = 1),
+high AS (SELECT 0 AS level, pos, subroot AS h, count(*) OVER () AS n FROM subroots
+         UNION ALL
+         SELECT level + 1, pos // 2, sha256(h || coalesce(after, '')), (n + 1) // 2
+         FROM (SELECT *, lead(h) OVER (ORDER BY pos) AS after FROM high WHERE n > 1)
+         WHERE pos % 2 = 0),
+climb AS (SELECT rid, p.tree, 0 AS level, pos, coalesce(altered, leaf) AS h, '' AS proof FROM places p
+          UNION ALL
+          SELECT rid, c.tree, c.level + 1, c.pos // 2,
+                 sha256(CASE WHEN c.pos % 2 = 0 THEN c.h || coalesce(s.h, '') ELSE s.h || c.h END),
+                 c.proof || coalesce(s.h, '')
+          FROM climb c JOIN (SELECT tree, level FROM low WHERE n > 1 AND pos = 0) l
+            ON l.tree = c.tree AND l.level = c.level
+          LEFT JOIN low s ON s.tree = c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1)),
+up AS (SELECT rid, 0 AS level, s.pos, c.h, proof FROM climb c JOIN (SELECT tree, level FROM low WHERE n = 1) l
+         ON l.tree = c.tree AND l.level = c.level JOIN subroots s ON s.tree = c.tree
+       UNION ALL
+       SELECT rid, c.level + 1, c.pos // 2,
+              sha256(CASE WHEN c.pos % 2 = 0 THEN c.h || coalesce(s.h, '') ELSE s.h || c.h END),
+              c.proof || coalesce(s.h, '')
+       FROM up c JOIN (SELECT level FROM high WHERE n > 1 AND pos = 0) l ON l.level = c.level
+       LEFT JOIN high s ON s.level = c.level AND s.pos = xor(c.pos, 1)),
+ends AS (SELECT rid, h, proof FROM up WHERE level = (SELECT max(level) FROM high))
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM places JOIN ends e USING (rid) JOIN subroots USING (tree), (SELECT h FROM high WHERE n = 1) r
+"""
+
 ORACLES = {
     "op1_token_count_rollup": TOKEN_ROLLUP,
     "op2_distribution_divergence": DISTRIBUTION_DIVERGENCE,
     "op3_benchmark_decontamination": DECONTAMINATION,
+    "op11_warc_archive": WARC_ARCHIVE,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
 }

@@ -11,6 +11,7 @@ from requestmill.llm import (
     bpe,
     decontaminate,
     html_tree,
+    merkle,
     mil_quality,
     pii,
     quality_divergence,
@@ -18,6 +19,8 @@ from requestmill.llm import (
     suffix_dedup,
     token_rollup,
     toxicity,
+    warc,
+    whitening,
 )
 from requestmill.llm.common import table, written
 from requestmill.llm.labelled import Split
@@ -163,6 +166,20 @@ def op9_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(mil_quality.scores(docs, model), mil_quality.SPLIT)
 
 
+def op11_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new archive of all pages, read back."""
+    archive = warc.Archive(spark, working_folder(spark, "llm-warc")).write(table(spark, sf_dir, "pages"))
+    return archive.contents().drop("url")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -176,5 +193,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_chunk_reuse,
         op9_attention_quality,
         op10_html_tree_scoring,
+        op11_warc_archive,
+        op12_merkle_manifest,
+        op13_embedding_whitening,
     )
 }
