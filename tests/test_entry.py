@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import shutil
 import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 ROOT = Path(__file__).resolve().parent.parent
 SHOW = (
     "import __spark_entry__ as e; names = sorted(e.queries()); "
@@ -16,9 +19,10 @@ SHOW = (
 
 
 def imported(folder: Path, code: str = SHOW) -> subprocess.CompletedProcess:
-    return subprocess.run(
-        [sys.executable, "-B", "-c", code], cwd=folder, capture_output=True, text=True, timeout=120
-    )
+    # the copy alone, whatever path the tests themselves were started with
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, "-B", "-c", code]
+    return subprocess.run(command, cwd=folder, env=env, capture_output=True, text=True, timeout=120)
 
 
 def copied(folder: Path, *without: str) -> Path:
@@ -31,13 +35,23 @@ def copied(folder: Path, *without: str) -> Path:
     return folder / "copy"
 
 
-def test_without_the_optional_parts(tmp_path):
-    bare = imported(copied(tmp_path, "requestmill/llm", "corpus_pipeline.py"))
+@pytest.mark.parametrize(
+    "without", [("requestmill/llm", "corpus_pipeline.py"), ("requestmill/llm",)]
+)
+def test_without_the_optional_parts(tmp_path, without):
+    bare = imported(copied(tmp_path, *without))
     assert bare.returncode == 0, bare.stderr
     count, operators, pipeline, known = bare.stdout.split()
     assert int(count) > 80 and (operators, pipeline, known) == ("0", "False", "True")
 
 
+def test_without_the_pipeline_alone(tmp_path):
+    bare = imported(copied(tmp_path, "corpus_pipeline.py"))
+    assert bare.returncode == 0, bare.stderr
+    there = (ROOT / "requestmill/llm").exists()
+    assert bare.stdout.split()[2] == "False" and (bare.stdout.split()[1] != "0") == there
+
+
 def test_nothing_else_imports_them():
     for path in [*ROOT.glob("requestmill/**/*.py"), ROOT / "bench.py"]:
         if "llm" not in path.relative_to(ROOT).parts:
