@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from datetime import date, timedelta
 from hashlib import blake2b
 
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 from requestmill.llm.common import sliced
 
 ROUNDS = 10
-REMEMBERED = 50_000
+BLOCK = 60  # symbols that are permuted as one number
+REMEMBERED, LONG = 50_000, 200  # values, and characters of those that are not remembered
 FIRST_DAY, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -61,7 +63,56 @@ class Feistel:
         return self._walk(x, size, tweak, range(ROUNDS - 1, -1, -1))
 
 
-Walk = Callable[[int, int, bytes], int]
+@dataclass(frozen=True)
+class Walk:
+    """A key's permutations in one direction."""
+
+    feistel: Feistel
+    backward: bool = False
+
+    def __call__(self, x: int, size: int, tweak: bytes) -> int:
+        return (self.feistel.backward if self.backward else self.feistel.forward)(x, size, tweak)
+
+
+def permuted(values: list[int], sizes: list[int], walk: Walk, tweak: bytes) -> list[int]:
+    """Symbols, each below its size, permuted as one number, or in blocks where there are many.
+
+    Blocks are chained from left to right and then back, so each depends on all others. The time is
+    linear in the number of symbols, and no number has more than ``BLOCK`` of them.
+    """
+    if len(values) <= BLOCK:
+        return _block(values, sizes, walk, tweak)
+    if len(tweak) > 64:
+        tweak = blake2b(tweak, digest_size=32).digest()
+    cuts = [slice(k, k + BLOCK) for k in range(0, len(values), BLOCK)]
+    blocks, bounds = [values[c] for c in cuts], [sizes[c] for c in cuts]
+    count = len(blocks)
+
+    def step(k: int, beside: int, turn: bytes) -> None:
+        other = repr(blocks[beside]).encode() if 0 <= beside < count else b""
+        own = b"%b|%b|%d|%d|" % (tweak, turn, k, count)
+        blocks[k] = _block(blocks[k], bounds[k], walk, own + blake2b(other, digest_size=16).digest())
+
+    # a block's neighbour is one that the same pass has been through, so the way back knows it, too
+    passes = [(range(count), -1, b"there"), (range(count - 1, -1, -1), 1, b"back")]
+    if walk.backward:
+        passes = [(order[::-1], off, turn) for order, off, turn in reversed(passes)]
+    for order, off, turn in passes:
+        for k in order:
+            step(k, k + off, turn)
+    return [v for b in blocks for v in b]
+
+
+def _block(values: list[int], sizes: list[int], walk: Walk, tweak: bytes) -> list[int]:
+    x, size = 0, 1
+    for v, s in zip(values, sizes, strict=True):
+        x, size = x * s + v, size * s
+    x = walk(x, size, tweak)
+    out = []
+    for s in reversed(sizes):
+        x, v = divmod(x, s)
+        out.append(v)
+    return out[::-1]
 
 
 def luhn_digit(digits: str) -> int:
@@ -86,8 +137,8 @@ def _digits(text: str) -> str:
 
 
 def _plain_digits(text: str, walk: Walk, kind: bytes) -> str:
-    digits = _digits(text)
-    return _filled(text, str(walk(int(digits), 10 ** len(digits), kind)).zfill(len(digits)))
+    digits = [int(c) for c in _digits(text)]
+    return _filled(text, "".join(map(str, permuted(digits, [10] * len(digits), walk, kind))))
 
 
 def _number(text: str, walk: Walk) -> str:
@@ -201,19 +252,12 @@ def _mixed(text: str, walk: Walk, kind: bytes) -> str:
         return LETTERS if c in LETTERS else LETTERS.upper() if c in LETTERS.upper() else ""
 
     sets = [alphabet(c) for c in text]
-    x, size = 0, 1
-    for c, s in zip(text, sets, strict=True):
-        if s:
-            x, size = x * len(s) + s.index(c), size * len(s)
     shape = "".join("9" if s[:1] == "0" else s[:1] or c for c, s in zip(text, sets, strict=True))
-    x = walk(x, size, kind + b"|" + shape.encode())
-    out = []
-    for c, s in zip(reversed(text), reversed(sets), strict=True):
-        if s:
-            x, k = divmod(x, len(s))
-            c = s[k]
-        out.append(c)
-    return "".join(reversed(out))
+    values = [s.index(c) for c, s in zip(text, sets, strict=True) if s]
+    sizes = [len(s) for s in sets if s]
+    tweak = kind + b"|" + shape.encode("utf-8", "surrogatepass")
+    new = iter(permuted(values, sizes, walk, tweak))
+    return "".join(s[next(new)] if s else c for c, s in zip(text, sets, strict=True))
 
 
 def _email(text: str, walk: Walk) -> str:
@@ -225,8 +269,8 @@ def _secret(text: str, walk: Walk) -> str:
     """Hexadecimal secrets stay hexadecimal."""
     for digits in ("0123456789abcdef", "0123456789ABCDEF"):
         if set(text) <= set(digits):
-            x = walk(int(text, 16), 16 ** len(text), b"hex")
-            return f"{x:0{len(text)}{'X' if digits[-1] == 'F' else 'x'}}"
+            values = [int(c, 16) for c in text]
+            return "".join(digits[v] for v in permuted(values, [16] * len(text), walk, b"hex"))
     return _mixed(text, walk, b"secret")
 
 
@@ -262,8 +306,9 @@ def _date(text: str, walk: Walk) -> str | None:
     return None
 
 
+# An e-mail address is looked for from its @ outwards.
+LOCAL_END, DOMAIN = "\"'(),;:|<>[]@", re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 PATTERNS: list[tuple[str, str, Callable[[str, Walk], str | None]]] = [
-    ("email", r"[^\s@<>\"'(),;:|\[\]]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _email),
     (
         "secret",
         r"(?<=\")[0-9A-Za-z_\-]{20,}(?=\")|"
@@ -320,16 +365,17 @@ def _compiled() -> re.Pattern:
 
 class Pseudonymizer:
     def __init__(self, key: bytes, backward: bool = False):
-        feistel = Feistel(key)
-        self.walk = feistel.backward if backward else feistel.forward
+        self.walk = Walk(Feistel(key), backward)
         self.pattern = _compiled()
-        self.kinds = {name: make for name, _, make in PATTERNS}
+        self.kinds = {name: make for name, _, make in PATTERNS} | {"email": _email}
         self.each = {name: re.compile(p.replace(r"\d", "[0-9]")) for name, p, _ in PATTERNS}
         self.known: dict[tuple[str, str], str | None] = {}
         self.any = re.compile(r"[0-9@]|\"[A-Za-z_\-]{20}")
 
     def value(self, kind: str, text: str) -> str | None:
         """The pseudonym, or None where the value is not valid."""
+        if len(text) > LONG:
+            return self.kinds[kind](text, self.walk)
         if (kind, text) not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
@@ -380,16 +426,42 @@ class Pseudonymizer:
         out: list[str] = []
         done = 0
         at = 0
-        while m := self.pattern.search(text, at):
-            at, new, kind = self._at(text, m)
-            if new is None:
-                continue
-            out += [text[done : m.start()], new]
-            done = at
-            spans.append((m.start(), at, kind))
+        mail = _next_mail(text, 0)
+        m = self.pattern.search(text)
+        while mail or m:
+            if mail and mail[0] < at:  # what lies before was replaced as something else
+                mail = _next_mail(text, at)
+            elif mail and (not m or mail[0] <= m.start()):
+                start, at = mail
+                out += [text[done:start], self.value("email", text[start:at])]
+                spans.append((start, at, "email"))
+                done = at
+                mail = _next_mail(text, at)
+                m = self.pattern.search(text, at) if m and m.start() < at else m
+            elif m:
+                start = m.start()
+                at, new, kind = self._at(text, m)
+                m = self.pattern.search(text, at)
+                if new is not None:
+                    out += [text[done:start], new]
+                    spans.append((start, at, kind))
+                    done = at
         return "".join([*out, text[done:]]), spans
 
 
+def _next_mail(text: str, at: int) -> tuple[int, int] | None:
+    """(start, end) of the first e-mail address from ``at`` on."""
+    sign = text.find("@", at)
+    while sign >= 0:
+        start = sign
+        while start > at and not (text[start - 1] in LOCAL_END or text[start - 1].isspace()):
+            start -= 1
+        if start < sign and (found := DOMAIN.match(text, sign)):
+            return start, found.end()
+        sign = text.find("@", sign + 1)
+    return None
+
+
 def _replace_batches(key: bytes, backward: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pseudonymizer(key, backward)
