@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from requestmill.llm.common import sliced, written
@@ -47,16 +47,21 @@ def _hash_batches(width: int):
                 [fingerprint(t.as_py(), width) for t in batch.column(1)], dtype=np.uint64
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)],
+                ["doc_id", "fp", "text_hash"],
             )
 
     return run
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp), one row for each row; fp is the 64-bit pattern as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_hash_batches(width), "doc_id long, fp long")
+    """(doc_id, fp, text_hash), one row for each row; fp is the 64-bit pattern as a signed long."""
+    rows = docs.select(
+        F.col("doc_id").cast("long"),
+        F.col("text").cast("binary").alias("text"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    return rows.mapInArrow(_hash_batches(width), "doc_id long, fp long, text_hash long")
 
 
 def _ball(radius: int) -> list[int]:
@@ -93,6 +98,18 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     return pairs.where(close).select(F.col("fp").alias("u"), F.col("other").alias("v")).distinct()
 
 
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint that occurs."""
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = connected_components(links(distinct.select("fp"), max_bits))
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    rooted = written(rooted, "roots")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return written(rooted.join(smallest, "root").select("fp", "root", "component_id"), "classes")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``.
 
@@ -101,32 +118,46 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataF
     given twice give two rows. A null doc_id is smallest only where there is no other. An
     empty table gives no rows; other columns are not read.
     """
-    prints = written(fingerprints(docs, width), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = connected_components(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = written(rooted, "roots")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(written(classes, "classes"), "fp", "left")
+    prints = written(fingerprints(docs, width).drop("text_hash"), "fingerprints")
+    return prints.join(_classes(prints, max_bits).drop("root"), "fp", "left")
 
 
 def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
-    """The documents whose doc_id is their component's id, with their own columns.
+    """One row of each component, with its own columns: the first by doc_id (null last), then text.
 
-    Of rows that repeat one doc_id the first by text is kept; rows without a doc_id stay.
+    Rows are judged by their own text, so an id that is given twice with texts of two components may
+    stay in both, and rows without an id are like others. Of rows that share id and text one stays.
     """
-    found = near_duplicates(docs, width, max_bits)
-    stay = (
-        found.where("doc_id = component_id")
-        .select(F.col("doc_id").alias("__llm_id"))
-        .distinct()
-    )
-    known = docs.where("doc_id IS NOT NULL").join(
-        stay, F.col("doc_id").cast("long") == F.col("__llm_id")
+    prints = written(fingerprints(docs, width), "fingerprints")
+    classes = _classes(prints, max_bits)
+    first = prints.join(classes, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = written(
+        first.select(
+            "root", F.col("doc_id").alias("__llm_first"), F.col("text_hash").alias("__llm_text")
+        ).distinct(),
+        "first-rows",
     )
-    order = Window.partitionBy("__llm_id").orderBy(F.col("text").asc_nulls_last())
-    first = known.withColumn("__llm_n", F.row_number().over(order)).where("__llm_n = 1")
-    return first.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    own = {"__llm_id": F.col("doc_id").cast("long"), "__llm_hash": F.xxhash64("text")}
+    keyed = docs.withColumns(own)
+    tied = first.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    if not tied.isEmpty():  # an id with several texts of one component: the texts are compared
+        among = first.join(tied, "root")
+        order = Window.partitionBy("root").orderBy(F.col("text").asc_nulls_last())
+        best = (
+            keyed.select("__llm_id", "__llm_hash", "text")
+            .join(among, _same_row())
+            .withColumn("n", F.row_number().over(order))
+            .where("n = 1")
+            .select("root", "__llm_first", "__llm_text")
+        )
+        first = first.join(tied, "root", "left_anti").unionByName(written(best, "tied-rows"))
+    # copies of a row go below the exchange, one for each task stays
+    kinds = ("map", "array", "struct", "variant")
+    plain = [F.col(c) for c, kind in docs.dtypes if not kind.startswith(kinds) and c != "text"]
+    copies = Window.partitionBy("__llm_id", "__llm_hash").orderBy(F.lit(0), *plain)
+    single = keyed.withColumn("__llm_n", F.row_number().over(copies)).where("__llm_n = 1")
+    return single.join(first, _same_row(), "left_semi").select(*docs.columns)
+
+
+def _same_row() -> Column:
+    return F.col("__llm_id").eqNullSafe(F.col("__llm_first")) & (F.col("__llm_hash") == F.col("__llm_text"))

@@ -82,11 +82,56 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert simhash.one_of_each(no_docs).count() == 0
 
 
-def test_one_of_each(odd_docs, documents, texts):
-    kept = simhash.one_of_each(odd_docs)
-    assert kept.columns == odd_docs.columns
-    ids = [r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()]
-    assert sorted(ids) == sorted(set(ids)) and 0 in ids and 1 not in ids
+def one_of_each_slowly(rows):
+    """The first row by (doc_id nulls last, text nulls last) of each component over rows."""
+    prints = {k: slow_fingerprint(t) for k, (_, t) in enumerate(rows)}
+    roots = slow_components(prints, 2)
+    last = lambda v: (v is None, v if v is not None else 0)
+    best = {}
+    for k, (doc_id, text) in enumerate(rows):
+        key = (last(doc_id), (text is None, text or ""))
+        if roots[k] not in best or key < best[roots[k]][0]:
+            best[roots[k]] = (key, (doc_id, text))
+    return sorted((row for _, row in best.values()), key=repr)
+
+
+def kept_rows(docs):
+    found = simhash.one_of_each(docs)
+    assert found.columns == docs.columns
+    return sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=repr)
+
+
+def test_one_of_each(odd_docs, odd_rows, documents, texts):
+    assert kept_rows(odd_docs) == one_of_each_slowly([(r[0], r[1]) for r in odd_rows])
     want = slow_components({i: slow_fingerprint(t) for i, t in texts.items()}, 2)
     got = {r["doc_id"] for r in simhash.one_of_each(documents).select("doc_id").collect()}
     assert got == set(want.values())
+
+
+A, B = "the first of all texts here", "something else that has no copy at all"
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(2, A), (5, A), (5, B)],
+        [(1, A), (1, B), (7, B), (8, A)],
+        [(None, A), (None, A), (None, B), (3, B)],
+        [(4, A.upper()), (4, A), (4, A), (9, A.title())],  # texts of one id and one component
+        [(None, None), (None, ""), (6, "  "), (None, "x")],
+        [(None, A.upper()), (None, A)],
+    ],
+)
+def test_one_of_each_with_repeated_and_null_ids(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS root", "2 AS n")
+    assert kept_rows(docs.repartition(2)) == one_of_each_slowly(rows)
+
+
+def test_one_of_each_of_many_copies(spark):
+    docs = spark.range(3_000).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS doc_id",
+        "CASE WHEN id % 3 < 2 THEN 'one text that many have' "
+        "ELSE concat_ws(' ', sha(CAST(id AS STRING)), md5(CAST(id AS STRING)), id) END AS text",
+    )
+    assert simhash.one_of_each(docs).where("doc_id = 1").count() == 1
+    assert simhash.one_of_each(docs).where("text LIKE 'one text%'").count() == 1
