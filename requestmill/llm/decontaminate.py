@@ -1,8 +1,9 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Windows of the benchmark's normalised words form a hash set. Documents are scanned once:
-a window whose first and last word pairs occur in the set is a candidate, candidates meet the
-set in a hash join on the window's 64-bit hash, and a hit is verified by comparing the words.
+Windows of the benchmark's normalised words form a hash set. A bit set of their hashes, of a bounded
+size, goes to every task and documents are scanned once: a window whose bit is set is a
+candidate, candidates meet the set in a hash join on the window's 64-bit hash, and a hit is verified by
+comparing the words.
 """
 
 from __future__ import annotations
@@ -21,11 +22,15 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 @dataclass(frozen=True)
 class Limits:
-    """Sizes up to which the benchmark is sent to every task; beyond them it is shuffled
-    with the candidates, with the same result."""
+    """Up to ``broadcast_bytes`` the windows are sent to every task, beyond them they are shuffled
+    with the candidates, with the same result.
+
+    The bit set has 16 bits for each window, a power of two of at most 2 ** ``log_bits`` (16 MB), so up to
+    eight million windows let one in sixteen other windows pass, which the join drops.
+    """
 
     broadcast_bytes: int = 32 << 20
-    literal_pairs: int = 100_000
+    log_bits: int = 27
 
 
 def lower_ascii(text: Column) -> Column:
@@ -72,74 +77,60 @@ def windows_of(benchmark: DataFrame, size: int = 10) -> DataFrame:
             F.expr("transform(sequence(0, size(w) - length), i -> slice(w, i + 1, length))")
         ).alias("gram"),
     )
-    return spans.groupBy("length", "gram").agg(F.collect_set("item").alias("items")).select(
-        "length", F.xxhash64("gram").alias("hash"), "gram", "items"
+    grams = spans.groupBy("length", "gram").agg(F.collect_set("item").alias("items"))
+    hashes = (
+        F.when(F.col("length") == k, F.element_at(window_hashes(F.col("gram"), k), 1))
+        for k in range(1, size + 1)
     )
+    return grams.select("length", F.coalesce(*hashes).alias("hash"), "gram", "items")
 
 
-@dataclass(frozen=True)
-class _Sieve:
-    length: int
-    first: list[int] | None
-    last: list[int] | None
-
-    def starts(self, tokens: Column) -> Column:
-        """Where windows of this length may be hits."""
-        every = _starts(tokens, self.length)
-        if self.first is None:
-            return every
-        wide = min(2, self.length)
-
-        def passing(pairs: Column) -> Column:
-            return F.filter(
-                every,
-                lambda i: F.get(pairs, i).isin(self.first)
-                & F.get(pairs, i + self.length - wide).isin(self.last),
-            )
+def _bit(hashes: Column, log_bits: int) -> tuple[Column, Column]:
+    """(word, place in the word) of a hash's bit."""
+    low = hashes.bitwiseAND(F.lit((1 << log_bits) - 1))
+    return F.shiftright(low, 6).cast("int"), low.bitwiseAND(F.lit(63)).cast("int")
+
+
+def bit_set(grams: DataFrame, limits: Limits) -> tuple[DataFrame, int]:
+    """One row: the bits of all windows' hashes as an array of 64-bit words; and the bits' logarithm."""
+    log_bits = max(6, min(limits.log_bits, max(16, (16 * grams.count()).bit_length())))
+    word, place = _bit(F.col("hash"), log_bits)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    full = grams.groupBy(word.alias("k")).agg(F.bit_or(one).alias("bits"))
+    words = grams.sparkSession.range(1 << log_bits - 6).select(F.col("id").cast("int").alias("k"))
+    each = F.struct("k", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    every = words.join(full, "k", "left").agg(F.sort_array(F.collect_list(each)).alias("all"))
+    return every.select(F.col("all.bits").alias("bits")), log_bits
 
-        none = F.array().cast("array<int>")
-        return F.when(F.size(tokens) < self.length, none).otherwise(
-            let(window_hashes(tokens, wide), passing)
-        )
 
+def _candidates(tokens: Column, bits: Column, lengths: list[int], log_bits: int) -> Column:
+    """(at, length, hash, gram) of the windows whose bit is set."""
 
-def _sieves(grams: DataFrame, limits: Limits) -> list[_Sieve]:
-    """First and last word pairs for each window length there is."""
-    lengths = sorted(r[0] for r in grams.select("length").distinct().collect())
-    few = grams.count() <= limits.literal_pairs
-    found = []
-    for length in lengths:
-        first = last = None
-        if few:
-            pairs = window_hashes(F.col("gram"), min(2, length))
-            rows = grams.where(F.col("length") == length).select(pairs.alias("p"))
-            ends = rows.select(F.element_at("p", 1), F.element_at("p", -1)).collect()
-            first, last = sorted({e[0] for e in ends}), sorted({e[1] for e in ends})
-        found.append(_Sieve(length, first, last))
-    return found
-
-
-def _candidates(tokens: Column, sieves: list[_Sieve]) -> Column:
-    """(at, length, hash, gram) of the windows that pass a sieve."""
-
-    def of(sieve: _Sieve) -> Column:
-        return F.transform(
-            sieve.starts(tokens),
-            lambda i: let(
-                _span(tokens, i, sieve.length),
-                lambda g: F.struct(
+    def of(length: int) -> Column:
+        def passing(hashes: Column) -> Column:
+            def is_set(at: Column) -> Column:
+                word, place = _bit(F.get(hashes, at), log_bits)
+                return F.getbit(F.get(bits, word), place) == 1
+
+            return F.transform(
+                F.filter(_starts(tokens, length), is_set),
+                lambda i: F.struct(
                     i.alias("at"),
-                    F.lit(sieve.length).alias("length"),
-                    F.xxhash64(g).alias("hash"),
-                    g.alias("gram"),
+                    F.lit(length).alias("length"),
+                    F.get(hashes, i).alias("hash"),
+                    _span(tokens, i, length).alias("gram"),
                 ),
-            ),
+            )
+
+        none = F.array().cast(kind)
+        return F.when(F.size(tokens) < length, none).otherwise(
+            let(window_hashes(tokens, length), passing)
         )
 
     kind = "array<struct<at:int,length:int,hash:bigint,gram:array<string>>>"
-    if not sieves:
+    if not lengths:
         return F.array().cast(kind)
-    return F.concat(*(of(s) for s in sieves)).cast(kind)
+    return F.concat(*(of(n) for n in lengths)).cast(kind)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, limits: Limits = Limits()):
@@ -148,15 +139,22 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, limits: Limits =
     Rows carry doc_id, text_hash and n_words; hits carry n_hit, covered (word positions) and items.
     """
     grams = written(windows_of(benchmark, size), "windows")
-    sieves = _sieves(grams, limits)
+    lengths = sorted(r[0] for r in grams.select("length").distinct().collect())  # of 1 to ``size``
+    bits, log_bits = bit_set(grams, limits)
     scanned = docs.select(
         F.monotonically_increasing_id().alias(ROW),
         "doc_id",
+        "text",
+        bits.scalar().alias("bits"),  # used once below: it stays a value beside the rows
+    ).select(
+        ROW,
+        "doc_id",
         _text_hash().alias("text_hash"),
         let(
-            words(F.col("text")),
-            lambda w: F.struct(
-                F.size(w).cast("long").alias("n_words"), _candidates(w, sieves).alias("found")
+            F.struct(words(F.col("text")).alias("w"), F.col("bits").alias("bits")),
+            lambda s: F.struct(
+                F.size(s.w).cast("long").alias("n_words"),
+                _candidates(s.w, s.bits, lengths, log_bits).alias("found"),
             ),
         ).alias("s"),
     ).select(ROW, "doc_id", "text_hash", "s.n_words", "s.found")

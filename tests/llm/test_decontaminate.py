@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from requestmill.llm import decontaminate
+from requestmill.llm.common import written
 from requestmill.llm.decontaminate import Limits
 
 from .conftest import SF, by_id
@@ -36,7 +39,7 @@ def slow(texts, items, size=10):
     return out
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(0, 0)])
+@pytest.mark.parametrize("limits", [Limits(), Limits(0, 6)])
 def test_same_as_brute_force(spark, documents, texts, limits):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
@@ -46,7 +49,7 @@ def test_same_as_brute_force(spark, documents, texts, limits):
     assert any(w[3] for w in want.values())
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(0, 0)])
+@pytest.mark.parametrize("limits", [Limits(), Limits(0, 6)])
 def test_short_repeated_and_empty_items(spark, odd_docs, odd_rows, no_docs, limits):
     items = [(1, "ONE"), (2, None), (3, "?!"), (4, "b C d"), (5, "b c d"), (6, "two words more")]
     items += [(7, "a b c d e f g h i j k")]
@@ -72,3 +75,30 @@ def test_documents_and_spans_go(spark, odd_docs, odd_rows):
     texts = [r["text"] for r in cut.collect()]
     assert texts.count("a e f g h i j k l") == 2 and "one" not in texts
     assert "Two words" in texts and None in texts
+
+
+def _disk(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_one_plan_for_few_and_many_windows(spark, monkeypatch, documents, texts, many):
+    """Half a million windows that share their word pairs with the documents change neither results nor plan."""
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    want = slow(texts, [(r["item_id"], r["text"]) for r in benchmark.collect()])
+    if many:
+        vocabulary = sorted({w for t in texts.values() for w in words(t)})[:200]
+        pick = F.transform(
+            F.sequence(F.lit(1), F.lit(500)),
+            lambda k: F.get(F.lit(vocabulary), F.pmod(F.xxhash64(F.col("id"), k), F.lit(200)).cast("int")),
+        )
+        extra = spark.range(1_000).select((F.col("id") + 10_000).alias("item_id"), F.array_join(pick, " ").alias("text"))
+        benchmark = benchmark.union(extra)
+    folders = []
+    monkeypatch.setattr(
+        decontaminate, "written", lambda df, purpose: folders.append(written(df, purpose)) or folders[-1]
+    )
+    got = by_id(decontaminate.contamination(documents, benchmark))
+    assert {i: tuple(r)[1:] for i, r in got.items()} == want
+    scanned = folders[1].inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert _disk(scanned) < Path(f"{SF}/documents.parquet").stat().st_size
