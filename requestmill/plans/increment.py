@@ -38,10 +38,13 @@ class RunConfig:
         increment begins, less ``file_time_margin`` for clocks and time zones. Use
         it, or the stream, where the landing zone only grows.
     track_files: read each landed file once, by a ledger of processed files, instead of the whole
-        zone in every run. Rows in new files are then taken whatever their age; only a first
-        or full load begins some days back. The way to go for landing zones that keep growing.
-    future_margin: rows created later than the run by more than this are rejected. The
-        mark never passes the run's own time.
+        zone in every run. Rows in new files are then taken whatever their age, so ``lookback`` has no
+        meaning; only a first or full load begins some days back, and counts what it skips. The way
+        to go for landing zones that keep growing.
+    files_per_run: files that one step reads; more are read in further steps.
+    future_margin: rows created later than the run by more than this are rejected or, where files
+        are read once, wait in ``pending`` until their time has come. The mark never passes the
+        run's own time.
     vacuum_grace: seconds that replaced partitions are kept for readers; None keeps all.
     publish: takes the accepted rows of the processed master, for instance
         ``lambda df: refresh_table(df, "requests")``.
@@ -59,6 +62,7 @@ class RunConfig:
     skip_old_files: bool = False
     file_time_margin: timedelta = timedelta(days=1)
     track_files: bool = False
+    files_per_run: int = 50_000
     future_margin: timedelta = timedelta(days=1)
     vacuum_grace: float | None = 3600.0
     layout: Layout = field(default_factory=Layout)
@@ -83,6 +87,10 @@ class RunConfig:
     def rejects_path(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def pending_path(self) -> str:
+        return f"{self.root}/pending"
+
     @property
     def files_path(self) -> str:
         return f"{self.root}/files"
@@ -145,6 +153,7 @@ def _landed(
         modified_after=early if config.skip_old_files else None,
         paths=paths,
     )
+    raw = raw.select("*", F.col("_metadata.file_path").alias(rejects.SOURCE))
     return raw if config.order else landing.with_file_place(raw)
 
 
@@ -154,7 +163,7 @@ def extract(spark: SparkSession, config: RunConfig, since: str) -> DataFrame:
     Rows are numbered after the filter, which so reaches the scan; numbering the
     remaining rows keeps their order.
     """
-    raw = _landed(spark, config, since).drop(rejects.CORRUPT)
+    raw = _landed(spark, config, since).drop(rejects.CORRUPT, rejects.SOURCE)
     increment = landing.extract_incremental(raw, _bound(config, since).isoformat())
     return increment if config.order else landing.with_row_place(increment)
 
@@ -168,8 +177,8 @@ def extract_marked(
 ) -> DataFrame:
     """The increment, and beside it the rows that cannot be taken, each with its reason.
 
-    ``since`` None takes rows of any age. Where the whole zone is read again, so are its
-    rejected rows.
+    ``since`` None takes rows of any age. Where files are read once, earlier rows stay with a reason, so
+    that they can be counted; where the zone is read again they are left to the scan.
     """
     raw = _landed(spark, config, since or run_ts.isoformat(), paths)
     parsed = clean.parse_timestamps(raw, ("created_date", "closed_date"))
@@ -177,7 +186,12 @@ def extract_marked(
     marked = rejects.with_reason(parsed, S.RAW_COLUMNS, latest)
     if since is not None:
         bound = F.lit(_bound(config, since).isoformat(sep=" ")).cast("timestamp")
-        marked = marked.where((F.col("created_date") >= bound) | F.col(rejects.REASON).isNotNull())
+        if config.track_files:
+            marked = rejects.marked_early(marked, bound)
+        else:
+            marked = marked.where(
+                (F.col("created_date") >= bound) | F.col(rejects.REASON).isNotNull()
+            )
     return marked if config.order else landing.with_row_place(marked)
 
 
@@ -189,17 +203,37 @@ def new_files(spark: SparkSession, config: RunConfig) -> DataFrame:
     )
 
 
+def _with_pending(
+    spark: SparkSession, config: RunConfig, increment: DataFrame, run_ts: datetime
+) -> DataFrame:
+    """The increment and the rows that wait, each of these taken if its time has come."""
+    waiting = state.pending_rows(spark, config.pending_path)
+    if waiting is None:
+        return increment
+    latest = run_ts + config.future_margin
+    again = rejects.with_reason(waiting, S.RAW_COLUMNS, latest, undated=False)
+    return increment.unionByName(again, allowMissingColumns=True)
+
+
 def process(
-    spark: SparkSession, config: RunConfig, increment: DataFrame, run_id: str, run_ts: datetime
+    spark: SparkSession,
+    config: RunConfig,
+    increment: DataFrame,
+    run_id: str,
+    run_ts: datetime,
+    hold_future: bool = False,
 ) -> dict[str, Any]:
     """Stage an increment, transform it, and bring it to every sink.
 
+    ``hold_future``: rows from the future wait for a later run, for sources that are read once.
     A failure is recorded with the state of every target and raised again.
     """
+    if hold_future:
+        increment = _with_pending(spark, config, increment, run_ts)
     staging = f"{config.root}/staging/{run_id}"
     entry: dict[str, Any] = {"run_id": run_id, "committed_at": run_ts}
     try:
-        return _process(spark, config, increment, entry, staging)
+        return _process(spark, config, increment, entry, staging, hold_future)
     except Exception as error:
         ok = [entry.get(f"{t}_status") == "succeeded" for t in ("raw", "processed")]
         published = False if entry.get("publish_status") == "failed" else None
@@ -222,26 +256,37 @@ def _process(
     increment: DataFrame,
     entry: dict[str, Any],
     staging: str,
+    hold_future: bool,
 ) -> dict[str, Any]:
     """Fills ``entry`` step by step, so that it tells how far a failed run came."""
     run_id, run_ts = entry["run_id"], entry["committed_at"]
     if rejects.REASON not in increment.columns:
         increment = rejects.without_reason(increment)
     staged = Observation(f"staging {run_id}")
-    refused = F.col(rejects.REASON).isNotNull()
+    reason = F.col(rejects.REASON)
+    early = reason.eqNullSafe(rejects.EARLY)
+    waits = reason.eqNullSafe(rejects.FUTURE) & F.lit(hold_future)
     increment.observe(
         staged,
-        F.count_if(~refused).alias("raw_count"),
-        F.count_if(refused).alias("rejected_count"),
-    ).write.mode("overwrite").parquet(f"{staging}/raw")
-    raw_count, rejected_count = staged.get["raw_count"], staged.get["rejected_count"]
-    entry["rejected_count"] = rejected_count
+        F.count_if(reason.isNull()).alias("raw_count"),
+        F.count_if(early).alias("skipped_count"),
+        F.count_if(waits).alias("pending_count"),
+        F.count_if(reason.isNotNull() & ~early & ~waits).alias("refused_count"),
+    ).where(~early).write.mode("overwrite").parquet(f"{staging}/raw")
+    counts = staged.get
+    raw_count = counts["raw_count"]
+    entry |= {c: counts[c] for c in ("pending_count", "skipped_count")}
     marked = spark.read.parquet(f"{staging}/raw")
-    if rejected_count:
-        rejects.rejected(marked).write.mode("overwrite").parquet(
-            f"{config.rejects_path}/run={run_id}"
-        )
+    entry["rejected_count"] = 0
+    if counts["refused_count"]:
+        entry["rejected_count"] = _write_rejects(spark, config, marked.where(~waits), run_id)
+    pending = None
+    if counts["pending_count"]:
+        held = marked.where(waits).drop(rejects.REASON, rejects.RECORD)
+        pending = state.write_pending(held, config.pending_path, run_id)
     if raw_count == 0:
+        if hold_future:
+            state.keep_pending(spark, config.pending_path, pending)
         return {**entry, "raw_count": 0, "processed_count": 0, "status": "empty"}
     raw = rejects.taken(marked)
     entry["raw_count"] = raw_count
@@ -279,6 +324,8 @@ def _process(
     published = True if config.publish is not None else None
     entry["status"] = reports.load_status(True, True, published)
     state.append_ledger(spark, config.ledger_path, entry)
+    if hold_future:
+        state.keep_pending(spark, config.pending_path, pending)
 
     own = metrics["latest"]
     if own:  # a row from the future must not end the reading of later ones
@@ -292,6 +339,18 @@ def _process(
     return entry
 
 
+def _write_rejects(spark: SparkSession, config: RunConfig, marked: DataFrame, run_id: str) -> int:
+    """Write the rejects that no other run has written; returns how many these are."""
+    rows = rejects.rejected(marked)
+    path = config.rejects_path
+    if files.path_exists(spark, path):
+        known = spark.read.schema(rejects.SCHEMA).parquet(path).where(F.col("run") != run_id)
+        rows = rejects.unseen(rows, known)
+    new = Observation(f"rejects {run_id}")
+    rows.observe(new, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/run={run_id}")
+    return new.get["n"]
+
+
 def run_increment(
     spark: SparkSession,
     config: RunConfig,
@@ -305,21 +364,52 @@ def run_increment(
     since: str | None = starting_point(spark, config, run_ts)
     if not config.track_files:
         return process(spark, config, extract_marked(spark, config, since, run_ts), run_id, run_ts)
-    if config.force_full:
-        found = landing.landed_files(spark, config.landing)
-    else:
-        found = new_files(spark, config)
-    fresh = found.collect()  # names of one increment's files, which its scan lists as well
-    if not fresh:
-        return {"run_id": run_id, "raw_count": 0, "processed_count": 0, "status": "empty"}
     if not config.force_full and state.load_mark(spark, config.state_path):
         since = None
-    paths = [f.file_path for f in fresh]
-    marked = extract_marked(spark, config, since, run_ts, paths)
-    entry = process(spark, config, marked, run_id, run_ts)
-    read = spark.createDataFrame(fresh, found.schema)
-    state.record_files(spark, config.files_path, read, run_id)
-    return entry
+    return _run_new_files(spark, config, since, run_ts, run_id)
+
+
+def _run_new_files(
+    spark: SparkSession, config: RunConfig, since: str | None, run_ts: datetime, run_id: str
+) -> dict[str, Any]:
+    """Read files that no run has read, or all of them, oldest first and some at a time.
+
+    The list is written before it is used, so every step sees the same files. Names reach the
+    driver for one step only. The returned entry is the last step's, with the counts of all.
+    """
+    full = config.force_full
+    found = landing.landed_files(spark, config.landing) if full else new_files(spark, config)
+    listing = f"{config.root}/staging/{run_id}-files"
+    found.write.mode("overwrite").parquet(listing)
+    ordered = spark.read.schema(found.schema).parquet(listing).orderBy("file_time", "file_path")
+    entry: dict[str, Any] = {"run_id": run_id, "raw_count": 0, "processed_count": 0, "status": "empty"}
+    added = ("raw_count", "processed_count", "rejected_count", "skipped_count")
+    step = 0
+    try:
+        while True:
+            fresh = ordered.offset(step * config.files_per_run).limit(config.files_per_run).collect()
+            if not fresh:
+                waiting = state.pending_rows(spark, config.pending_path)
+                if step or waiting is None:
+                    return entry
+                # nothing has landed, but rows that wait may have come of age
+                nothing = rejects.without_reason(waiting.where("false"))
+                return process(spark, config, nothing, run_id, run_ts, hold_future=True)
+            own = f"{run_id}-{step + 1}" if step else run_id
+            paths = [f.file_path for f in fresh]
+            marked = extract_marked(spark, config, since, run_ts, paths)
+            done = process(spark, config, marked, own, run_ts, hold_future=True)
+            state.record_files(spark, config.files_path, spark.createDataFrame(fresh, found.schema), own)
+            sums = {c: (entry.get(c) or 0) + (done.get(c) or 0) for c in added}
+            if done["status"] == "empty" and entry["status"] != "empty":
+                done = {**done, "status": entry["status"]}
+            entry = {**entry, **done, **sums}
+            step += 1
+            if len(fresh) < config.files_per_run:
+                return entry
+    finally:
+        with contextlib.suppress(Exception):
+            files.delete_folder(spark, listing)
 
 
 def load_batch(

@@ -126,6 +126,11 @@ _MS = "date_trunc('millisecond', processed_at) AS processed_at"
 _MERGED_MS = f"""SELECT * EXCLUDE (batch_id) REPLACE ({_MS}) FROM
   (SELECT * FROM processed_a UNION ALL SELECT * FROM processed_b) {_NEWEST_BATCH}"""
 
+_FLAWED = f"""WITH {RAW}, f AS (
+  SELECT seq, try_cast(created_date AS TIMESTAMP) AS created,
+    CASE WHEN seq % 89 = 0 THEN 'malformed' WHEN seq % 101 = 0 THEN 'future'
+         WHEN seq % 97 = 0 THEN 'undated' ELSE 'ok' END AS kind FROM raw_requests)"""
+
 LEDGER = f"""ledger AS (
   SELECT 'run-' || lpad(CAST(seq // {LEDGER_BATCH} AS VARCHAR), 12, '0') AS run_id,
     count(*) AS raw_count,
@@ -413,7 +418,8 @@ def all_oracles() -> dict[str, str]:
             count(*) FILTER (WHERE has_location) AS records_with_location,
             'succeeded' AS publish_status, 'success' AS status,
             CAST(0 AS BIGINT) AS rejected_count, 'succeeded' AS raw_status,
-            'succeeded' AS processed_status, CAST(NULL AS VARCHAR) AS error FROM processed""",
+            'succeeded' AS processed_status, CAST(NULL AS VARCHAR) AS error,
+            CAST(0 AS BIGINT) AS pending_count, CAST(0 AS BIGINT) AS skipped_count FROM processed""",
         "run_record_failed": f"""{PROCESSED}, n AS (SELECT
               (SELECT count(*) FROM raw_requests) AS r, (SELECT count(*) FROM processed) AS p)
             SELECT run_id, r AS raw_count, CASE WHEN merged THEN p END AS processed_count,
@@ -430,6 +436,26 @@ def all_oracles() -> dict[str, str]:
               WHEN seq % 101 = 0 THEN 'created in the future'
               WHEN seq % 97 = 0 THEN 'no creation time' END AS reason FROM raw_requests)
             WHERE reason IS NOT NULL GROUP BY reason""",
+        "three_runs_of_a_zone": f"""{_FLAWED}, n AS (SELECT
+              count(*) FILTER (WHERE kind = 'ok') AS ok, count(*) FILTER (WHERE kind = 'future') AS future,
+              count(*) FILTER (WHERE kind <> 'ok') AS bad,
+              count(*) FILTER (WHERE kind = 'ok' AND created >= (
+                SELECT date_trunc('second', max(created)) FROM f WHERE kind = 'ok')) AS newest FROM f)
+            SELECT run_id, raw_count, rejected_count, CAST(0 AS BIGINT) AS pending_count,
+              CAST(0 AS BIGINT) AS skipped_count
+            FROM (SELECT 'run-1' AS run_id, ok AS raw_count, bad AS rejected_count FROM n
+              UNION ALL SELECT 'run-2', newest, 0 FROM n UNION ALL SELECT 'run-3', newest + future, 0 FROM n)""",
+        "three_runs_of_new_files": f"""{_FLAWED},
+            p AS (SELECT *, seq % 3 + 1 AS landing, seq % 3 = 0 AND kind = 'ok'
+                    AND created < TIMESTAMP '{RUN_TS}' - INTERVAL 360 DAY AS early FROM f),
+            r AS (SELECT unnest([1, 2, 3]) AS n)
+            SELECT 'run-' || n AS run_id,
+              count(*) FILTER (WHERE landing = n AND kind = 'ok' AND NOT early
+                OR n = 3 AND kind = 'future') AS raw_count,
+              count(*) FILTER (WHERE landing = n AND kind IN ('malformed', 'undated')) AS rejected_count,
+              count(*) FILTER (WHERE n < 3 AND landing <= n AND kind = 'future') AS pending_count,
+              count(*) FILTER (WHERE landing = n AND early) AS skipped_count
+            FROM p CROSS JOIN r GROUP BY n""",
         "processed_files": """SELECT CAST(3 AS BIGINT) AS n_files, CAST(3 AS BIGINT) AS n_runs,
             '2025-01-01' AS first_day, '2025-01-03' AS last_day, CAST(3 AS BIGINT) AS n_listed
             FROM events HAVING count(*) > 0""",

@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = "2025-01-02 03:04:05.678901"
 SINCE = "2024-01-15 12:00:00.500"
+FUTURE, FEBRUARY = "2025-01-25T00:00:00", "2025-02-01 00:00:00"
 AS_OF = "2024-01-31T00:00:00"
 TIGHT_LIMITS = {"agency": 5, "descriptor": 7}
 LEDGER_BATCH = 1000
@@ -710,13 +711,47 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut-off records, records without a creation time and records from the future, by reason."""
     root = working_folder(spark, "rejects")
     config = runs.RunConfig(root, f"{root}/landing", order="seq", days_back=400)
+    _land_lines(_flawed_lines(spark, sf_dir, "2099-01-01T00:00:00").select("value"), config.landing)
+    runs.run_increment(spark, config, datetime.fromisoformat(RUN_TS), "run-1")
+    return rejects.reject_counts(spark.read.parquet(config.rejects_path).select("reason"))
+
+
+def _flawed_lines(spark: SparkSession, sf_dir: str, future: str) -> DataFrame:
+    """(seq, value): raw records as JSON, some of them cut off, undated or from the future."""
     raw = raw_requests(spark, sf_dir)
-    dated = F.when(F.col("seq") % 101 == 0, "2099-01-01T00:00:00").otherwise(F.col("created_date"))
+    dated = F.when(F.col("seq") % 101 == 0, future).otherwise(F.col("created_date"))
     record = F.to_json(F.struct(*S.RAW_COLUMNS, "seq"))
     cut = F.when(F.col("seq") % 89 == 0, F.substring(record, 1, 20)).otherwise(record)
-    _land_lines(raw.withColumn("created_date", dated).select(cut.alias("value")), config.landing)
-    runs.run_increment(spark, config, datetime.fromisoformat(RUN_TS), "run-1")
-    return rejects.reject_counts(spark.read.parquet(config.rejects_path).select("reason"))
+    return raw.withColumn("created_date", dated).select("seq", cut.alias("value"))
+
+
+def _run_counts(spark: SparkSession, config: runs.RunConfig) -> DataFrame:
+    counts = ("raw_count", "rejected_count", "pending_count", "skipped_count")
+    return state.read_ledger(spark, config.ledger_path).select("run_id", *counts)
+
+
+@query
+def three_runs_of_a_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole zone three times: rejects count once, rows from the future come when it is their time."""
+    root = working_folder(spark, "same-zone")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq", days_back=400)
+    _land_lines(_flawed_lines(spark, sf_dir, FUTURE).select("value"), config.landing)
+    for n, moment in enumerate((RUN_TS, RUN_TS, FEBRUARY), start=1):
+        runs.run_increment(spark, config, datetime.fromisoformat(moment), f"run-{n}")
+    return _run_counts(spark, config)
+
+
+@query
+def three_runs_of_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file once: what the first run skips is counted, rows from the future wait."""
+    root = working_folder(spark, "new-files")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq", days_back=360, track_files=True)
+    lines = _flawed_lines(spark, sf_dir, FUTURE)
+    for n, moment in enumerate((RUN_TS, "2025-01-20 00:00:00", FEBRUARY)):
+        part = lines.where(F.col("seq") % 3 == n).select("value")
+        _land_lines(part, f"{config.landing}/arrival_date=2025-01-0{n + 1}")
+        runs.run_increment(spark, config, datetime.fromisoformat(moment), f"run-{n + 1}")
+    return _run_counts(spark, config)
 
 
 def _tracked(spark: SparkSession, sf_dir: str, **more) -> runs.RunConfig:

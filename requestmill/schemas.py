@@ -194,6 +194,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("raw_status", T.StringType()),
         T.StructField("processed_status", T.StringType()),
         T.StructField("error", T.StringType()),
+        T.StructField("pending_count", T.LongType()),
+        T.StructField("skipped_count", T.LongType()),
     ]
 )
 

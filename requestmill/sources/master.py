@@ -341,6 +341,8 @@ class Master:
                 continue
             path = f"{self._data_path}/{version}"
             names = files.child_names(self.spark, path)
+            if "_temporary" in names:  # an attempt under way, however old
+                continue
             parts = [n for n in names if n.startswith(f"{PART}=")]
             current = {p for p in parts if used.get(p.split("=", 1)[1]) == version}
             stale = [

@@ -86,12 +86,26 @@ def table_location(spark: SparkSession, name: str) -> str:
     return described.first()["data_type"].rstrip("/")
 
 
-def refresh_table(processed: DataFrame, name: str) -> None:
+REPLACED = "_replaced"  # a hidden file in a folder that a table no longer uses
+
+
+def _drop_replaced(spark: SparkSession, base: str, stem: str, grace: float) -> None:
+    """Delete former folders of a table that were replaced more than ``grace`` seconds ago."""
+    for name in files.child_names(spark, base):
+        if name.split("~", 1)[0] != stem:
+            continue
+        mark = f"{base}/{name}/{REPLACED}"
+        if files.path_exists(spark, mark) and files.age_seconds(spark, mark) >= grace:
+            files.delete_folder(spark, f"{base}/{name}")
+
+
+def refresh_table(processed: DataFrame, name: str, grace: float = 3600.0) -> None:
     """Replace all rows of the table in one step; a refresh that fails changes nothing.
 
     Rows go to a new folder through a second table of the same definition, which keeps the
     checks of the first one. Then the first one is pointed to it. Rows are ordered by creation time
-    over the files, so reports of a month skip the others' row groups.
+    over the files, so reports of a month skip the others' row groups; the key splits a time that many
+    rows have. The former folder stays for ``grace`` seconds, for reports that are reading it.
     """
     spark = processed.sparkSession
     old = table_location(spark, name)
@@ -107,7 +121,8 @@ def refresh_table(processed: DataFrame, name: str) -> None:
     try:
         rows = as_reporting_rows(processed)
         if "created_date" in rows.columns:
-            rows = rows.repartitionByRange("created_date").sortWithinPartitions("created_date")
+            order = [c for c in ("created_date", S.KEY) if c in rows.columns]
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         rows.write.insertInto(draft)
     except Exception:
         spark.sql(f"DROP TABLE {draft}")
@@ -116,7 +131,8 @@ def refresh_table(processed: DataFrame, name: str) -> None:
     spark.sql(f"DROP TABLE {draft}")
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
     spark.catalog.refreshTable(name)
-    files.delete_folder(spark, old)
+    files.write_document(spark, f"{old}/{REPLACED}", {"by": new})
+    _drop_replaced(spark, base, stem, grace)
 
 
 def append_table(processed: DataFrame, name: str) -> None:

@@ -57,7 +57,8 @@ def read_stream(
         reader = reader.options(**{**landing.CSV_OPTIONS, "multiLine": "true"})
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(config.landing)
+    rows = reader.load(config.landing)
+    return rows.select("*", F.col("_metadata.file_path").alias(rejects.SOURCE))
 
 
 def stream_increments(
@@ -66,7 +67,8 @@ def stream_increments(
     """Start the stream. Batches run one at a time and may be replayed.
 
     A replayed batch writes the same run again: the staging folder and ledger
-    entry are replaced, and the merge of the same rows changes nothing.
+    entry are replaced, and the merge of the same rows changes nothing. Rows from the future
+    wait for a later batch.
     """
     use_utc(spark)
     source = read_stream(spark, config, stream.files_per_batch, stream)
@@ -87,7 +89,8 @@ def stream_increments(
                 rows = rows.where(
                     (F.col("created_date") >= bound) | F.col(rejects.REASON).isNotNull()
                 )
-        process(session, config, rows, f"{stream.name}-{epoch:012d}", run_ts)
+        run_id = f"{stream.name}-{epoch:012d}"
+        process(session, config, rows, run_id, run_ts, hold_future=True)
 
     writer = (
         source.writeStream.queryName(stream.name)

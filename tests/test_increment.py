@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
+from dataclasses import replace
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -407,3 +409,104 @@ def test_a_failed_refresh_keeps_the_rows(spark, folder):
     tables.refresh_table(rows.limit(3), "kept")
     assert spark.table("kept").count() == 3
     spark.sql("DROP TABLE kept")
+
+
+def _zone(spark, folder, rows):
+    """JSON records (key, created) in one file each."""
+    for n, (name, created) in enumerate(rows):
+        line = json.dumps({"unique_key": name, "created_date": created, "agency": "A"})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def test_future_rows_wait_and_come(spark, folder):
+    """A row of 25 January that lands on the 20th is there after a run on 1 February, and once."""
+    config = RunConfig(folder, f"{folder}/landing", track_files=True, days_back=30)
+    _zone(spark, config.landing, [("a", "2025-01-19T10:00:00"), ("b", "2025-01-25T10:00:00"), ("old", "2024-01-01T00:00:00")])
+    first = run_increment(spark, config, datetime(2025, 1, 20), "1")
+    assert (first["raw_count"], first["pending_count"], first["skipped_count"], first["rejected_count"]) == (1, 1, 1, 0)
+    _zone(spark, config.landing, [("c", "2025-01-21T10:00:00")])
+    assert run_increment(spark, config, datetime(2025, 1, 22), "2")["pending_count"] == 1
+    assert run_increment(spark, config, datetime(2025, 1, 23), "2b")["status"] == "empty"
+    _zone(spark, config.landing, [("d", "2025-01-30T10:00:00")])
+    third = run_increment(spark, config, datetime(2025, 2, 1), "3")
+    assert (third["raw_count"], third["pending_count"]) == (2, 0)
+    keys = [r["unique_key"] for r in processed_master(spark, config).read().collect()]
+    assert sorted(keys) == ["a", "b", "c", "d"]
+    assert state.pending_rows(spark, config.pending_path) is None
+
+
+def test_future_rows_come_without_new_files(spark, folder):
+    config = RunConfig(folder, f"{folder}/landing", track_files=True)
+    _zone(spark, config.landing, [("b", "2025-01-25T10:00:00")])
+    assert run_increment(spark, config, datetime(2025, 1, 20), "1")["status"] == "empty"
+    assert run_increment(spark, config, datetime(2025, 2, 1), "2")["raw_count"] == 1
+
+
+def test_failed_run_keeps_what_waits(spark, folder):
+    def fail(_):
+        raise OSError("target gone")
+
+    config = RunConfig(folder, f"{folder}/landing", track_files=True)
+    _zone(spark, config.landing, [("a", "2025-01-19T10:00:00"), ("b", "2025-01-25T10:00:00")])
+    with pytest.raises(OSError):
+        run_increment(spark, replace(config, publish=fail), datetime(2025, 1, 20), "1")
+    again = run_increment(spark, config, datetime(2025, 1, 20), "2")
+    assert (again["raw_count"], again["pending_count"]) == (1, 1)
+    with pytest.raises(OSError):
+        _zone(spark, config.landing, [("c", "2025-01-30T10:00:00")])
+        run_increment(spark, replace(config, publish=fail), datetime(2025, 2, 1), "3")
+    assert run_increment(spark, config, datetime(2025, 2, 1), "4")["raw_count"] == 2
+    assert processed_master(spark, config).read().count() == 3
+
+
+@pytest.mark.parametrize("track", [False, True])
+def test_rejects_are_written_once(spark, folder, track):
+    config = RunConfig(folder, f"{folder}/landing", track_files=track)
+    lines = ['{"unique_key": "a", "created_date": "2025-01-19T10:00:00"}', '{"unique_key": "cut', '{"unique_key": "cut', '{"unique_key": "u"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(config.landing)
+    counts = [run_increment(spark, config, datetime(2025, 1, 20), str(n)).get("rejected_count") for n in range(3)]
+    assert counts == ([3, None, None] if track else [3, 0, 0])  # no new file, no record
+    if not track:  # the same run again keeps its rejects
+        assert run_increment(spark, config, datetime(2025, 1, 20), "0")["rejected_count"] == 3
+    found = spark.read.parquet(config.rejects_path)
+    assert sorted(r["reason"] for r in found.collect()) == ["malformed", "malformed", "no creation time"]
+    more = spark.createDataFrame([(lines[1],)], "value string").coalesce(1)
+    more.write.mode("append").text(config.landing)  # the same line in another file
+    assert run_increment(spark, config, datetime(2025, 1, 20), "9")["rejected_count"] == 1
+
+
+def test_many_new_files_in_steps(spark, folder):
+    config = RunConfig(folder, f"{folder}/landing", track_files=True, files_per_run=2)
+    _zone(spark, config.landing, [(f"k{n}", f"2025-01-1{n}T00:00:00") for n in range(5)])
+    entry = run_increment(spark, config, datetime(2025, 1, 16), "1")
+    assert entry["raw_count"] == 5 and processed_master(spark, config).read().count() == 5
+    assert state.processed_files(spark, config.files_path).count() == 5
+    assert {r["run_id"] for r in state.read_ledger(spark, config.ledger_path).collect()} == {"1", "1-2", "1-3"}
+    full = run_increment(spark, replace(config, force_full=True), datetime(2025, 1, 16), "2")
+    assert full["raw_count"] == 5 and state.processed_files(spark, config.files_path).count() == 10
+
+
+def test_ledgers_fold_by_themselves(spark, folder, monkeypatch):
+    monkeypatch.setattr(state, "FOLD_AT", 4)
+    for n in range(9):
+        state.append_ledger(spark, f"{folder}/ledger", {"run_id": f"r{n}", "raw_count": n})
+        read = spark.createDataFrame([(f"f{n}", None, n)], "file_path string, file_time timestamp, size_bytes long")
+        state.record_files(spark, f"{folder}/files", read, f"r{n}")
+        assert state.read_ledger(spark, f"{folder}/ledger").count() == n + 1
+        assert state.processed_files(spark, f"{folder}/files").count() == n + 1
+    assert len(list(Path(folder, "ledger").glob("run=*"))) <= 4
+    assert len(list(Path(folder, "files").glob("run=*"))) <= 4
+
+
+def test_replaced_folders_stay_for_readers(spark, folder):
+    rows = transform(raw_requests(spark, SMALL), NOW.isoformat(sep=" "))
+    rows = contract.accepted(contract.mark_violations(rows))
+    name = f"refreshed_{uuid.uuid4().hex}"
+    tables.create_table(spark, name, f"{folder}/t")
+    tables.refresh_table(rows, name)
+    report = spark.read.parquet(tables.table_location(spark, name))
+    tables.refresh_table(rows, name)
+    assert report.count() == spark.table(name).count() == rows.count()
+    tables.refresh_table(rows, name, grace=0)
+    assert len([p for p in Path(folder).iterdir() if p.name.startswith("t")]) == 1
+    assert spark.table(name).count() == rows.count()
