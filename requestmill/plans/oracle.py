@@ -465,11 +465,12 @@ def all_oracles() -> dict[str, str]:
         ),
         "increment_run": _two_runs(),
         "stream_transform": f"{PROCESSED_BATCHES} {_MERGED_MS}",
-        "stream_dedup": f"""{BATCHES} SELECT * EXCLUDE (batch_id) REPLACE (
+        **{n: f"""{BATCHES} SELECT * EXCLUDE (batch_id) REPLACE (
               try_cast(created_date AS TIMESTAMP) AS created_date,
               try_cast(closed_date AS TIMESTAMP) AS closed_date)
             FROM (SELECT * FROM batch_a UNION ALL SELECT * FROM batch_b)
-            QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY batch_id, seq) = 1""",
+            QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY batch_id, seq) = 1"""
+            for n in ("stream_dedup", "stream_dedup_by_state", "stream_dedup_past_state")},
         "stream_late_rows": f"""{WITH_RAW}, halves AS (SELECT *, CASE WHEN coalesce(
               created_date < '2024-01-15T12:00:00', false) THEN 2 ELSE 1 END AS batch_id
               FROM raw_requests),

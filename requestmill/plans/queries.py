@@ -840,6 +840,33 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).drop("batch")
 
 
+@query
+def stream_dedup_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings and a third that repeats the first; keys are held in a state store."""
+    root = working_folder(spark, "stream-state")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq")
+    target = f"{root}/first"
+    first, second = increments(spark, sf_dir)
+    held = streams.StateConfig(span="3650 days")
+    for batch in (first, second, first.where("seq % 3 = 0")):
+        _land(batch, config.landing)
+        streams.stream_first_by_state(spark, config, target, None, held=held).awaitTermination()
+    return spark.read.parquet(target).drop("batch")
+
+
+@query
+def stream_dedup_past_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where every window is over before the next batch: all keys take the exact route."""
+    root = working_folder(spark, "stream-past")
+    config = runs.RunConfig(root, f"{root}/landing", order="seq")
+    target = f"{root}/first"
+    held = streams.StateConfig(span="1 second")
+    for batch in increments(spark, sf_dir):
+        _land(batch, config.landing)
+        streams.stream_first_by_state(spark, config, target, None, held=held).awaitTermination()
+    return spark.read.parquet(target).drop("batch")
+
+
 @query
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later half of the time lands first; the rows of the earlier half are merged all the same."""

@@ -5,14 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from requestmill import schemas as S
 from requestmill.operators import clean, dedup, rejects
 from requestmill.plans.increment import RunConfig, process
-from requestmill.session import use_utc
+from requestmill.session import session_conf, use_utc
 from requestmill.sources import files, landing, state
 
 # Copies and restores keep old file times, so no file may be too old to be read. The log of
@@ -158,3 +158,135 @@ def stream_first_of_each_key(
     ).foreachBatch(apply)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
+
+
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state"
+    ".RocksDBStateStoreProvider"
+}
+ARRIVED, REFUSED = "_arrived", "_refused"
+LISTED_KEYS = 500  # keys up to this number are pushed to the scan one by one
+
+
+@dataclass(frozen=True)
+class StateConfig:
+    """How long the state store holds a key, and what is certain about keys.
+
+    span: keys are held in windows of this length by the time they arrive, and forgotten when their
+        window is over. A batch costs what it holds and what the state holds, not the history.
+    keys_move: whether rows of one key may have different creation times. If not, a row created
+        in the running window cannot have come before it. If they may, every key that is new to its
+        window is looked up in all that was written.
+    clock: when a row arrives; the time of its batch unless a column is given. It has to be the same for a
+        whole batch, and later for later ones.
+    """
+
+    span: str = "30 days"
+    keys_move: bool = False
+    clock: Column | None = None
+
+
+def _listed(keys: DataFrame, column: str) -> Column | None:
+    """A condition that names the keys, if they are few."""
+    few = [r[0] for r in keys.select(column).limit(LISTED_KEYS + 1).collect()]
+    if len(few) > LISTED_KEYS:
+        return None
+    named = F.col(column).isin([k for k in few if k is not None])
+    return named | F.col(column).isNull() if None in few else named
+
+
+def _not_in(rows: DataFrame, folders: list[str]) -> DataFrame:
+    """Rows whose key none of the folders holds. Few keys are pushed down, where files are sorted by
+    key and have a bloom filter of it."""
+    if not folders or rows.isEmpty():
+        return rows
+    keys = rows.select(S.KEY).distinct()
+    seen = rows.sparkSession.read.schema(rows.select(S.KEY).schema).parquet(*folders)
+    named = _listed(keys, S.KEY)
+    if named is not None:
+        seen = seen.where(named)
+    return dedup.without_keys(rows, seen)
+
+
+def _batches(spark: SparkSession, path: str, own: str) -> list[str]:
+    names = files.child_names(spark, path)
+    return [f"{path}/{n}" for n in names if n.startswith("batch=") and n != own]
+
+
+def stream_first_by_state(
+    spark: SparkSession,
+    config: RunConfig,
+    target: str,
+    interval: str | None = "1 minute",
+    files_per_batch: int | None = None,
+    held: StateConfig = StateConfig(),
+) -> StreamingQuery:
+    """``stream_first_of_each_key`` with the keys of the running window in a state store.
+
+    A streaming aggregate keeps the first row of each key and window; rows are reduced to one for
+    each key and task before they are shuffled. A key that is new to its window is new at all if
+    it was created in that window, before it arrived. Other ones, late and undated rows among them,
+    take the exact route: they are looked up in what was written. So is every key among
+    those that once came before their creation time. No row is late for the state, as arrival
+    only moves forward. A replayed batch finds the state as it was and replaces its own folder.
+    """
+    use_utc(spark)
+    source = read_stream(spark, config, files_per_batch)
+    clock = F.current_timestamp() if held.clock is None else held.clock
+    source = source.withColumn(ARRIVED, clock)
+    if not config.order:
+        source = landing.with_row_place(landing.with_file_place(source))
+    rows = clean.parse_timestamps(source, ("created_date", "closed_date"))
+    marked = rejects.with_reason(rows, S.RAW_COLUMNS, undated=False)
+    # rows that cannot be read have no key: each record is a group of its own
+    refused = F.when(F.col(rejects.REASON).isNotNull(), F.xxhash64(rejects.RECORD, rejects.SOURCE))
+    columns = [c for c in marked.columns if c != ARRIVED]
+    grouped = (
+        marked.withWatermark(ARRIVED, "0 seconds")
+        .groupBy(F.window(ARRIVED, held.span), F.col(S.KEY).alias("_key"), refused.alias(REFUSED))
+        .agg(
+            F.min_by(F.struct(*columns), F.struct(ARRIVED, config.arrival)).alias("first"),
+            F.min(ARRIVED).alias("since"),
+            F.max(ARRIVED).alias("until"),
+        )
+    )
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        session = use_utc(batch.sparkSession)
+        own = f"batch={epoch:012d}"
+        staging, ahead = f"{config.root}/staging/state-{epoch:012d}", f"{config.root}/ahead"
+        # groups that an earlier batch began have been written
+        new = batch.where(F.col("since") == F.col("until"))
+        new.select("first.*", F.col("window.start").alias("_start"), F.col("until").alias("_now")).write.mode(
+            "overwrite"
+        ).parquet(staging)
+        marked = session.read.parquet(staging)
+        bad = rejects.rejected(marked)
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{config.rejects_path}/run=state-{epoch:012d}")
+        taken = rejects.taken(marked)
+        created = F.col("created_date")
+        certain = created.between(F.col("_start"), F.col("_now")) & F.lit(not held.keys_move)
+        certain = F.coalesce(certain, F.lit(False))
+        own_window = _not_in(taken.where(certain), _batches(session, ahead, own))
+        looked_up = _not_in(taken.where(~certain), _batches(session, target, own))
+        first = own_window.unionByName(looked_up)
+        kept = first.drop("_start", "_now")
+        kept.sortWithinPartitions(S.KEY).write.mode("overwrite").option(
+            f"parquet.bloom.filter.enabled#{S.KEY}", "true"
+        ).parquet(f"{target}/{own}")
+        early = taken.where(created > F.col("_now")).select(S.KEY)
+        if not early.isEmpty():
+            early.distinct().sortWithinPartitions(S.KEY).write.mode("overwrite").option(
+                f"parquet.bloom.filter.enabled#{S.KEY}", "true"
+            ).parquet(f"{ahead}/{own}")
+        files.delete_folder(session, staging)
+
+    writer = (
+        grouped.writeStream.outputMode("update")
+        .option("checkpointLocation", f"{config.root}/checkpoints/first-by-state")
+        .foreachBatch(apply)
+    )
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    with session_conf(spark, ROCKSDB):
+        return writer.trigger(**trigger).start()
