@@ -23,7 +23,7 @@ from requestmill.functions import temporal
 from requestmill.operators import clean, contract, rejects, reports
 from requestmill.plans.transform import TransformOptions, transform
 from requestmill.session import use_utc
-from requestmill.sources import files, landing, state, tables
+from requestmill.sources import drift, files, landing, state, tables
 from requestmill.sources.master import BROADCAST_BYTES, Layout, Master
 
 
@@ -42,6 +42,8 @@ class RunConfig:
         meaning; only a first or full load begins some days back, and counts what it skips. The way
         to go for landing zones that keep growing.
     files_per_run: files that one step reads; more are read in further steps.
+    rescue: with ``track_files`` and JSON, count the fields and types of each run's records in ``fields``
+        and keep what lies beyond the schema in ``rescued``; the files are read a second time for it.
     future_margin: rows created later than the run by more than this are rejected or, where files
         are read once, wait in ``pending`` until their time has come. The mark never passes the
         run's own time.
@@ -63,6 +65,7 @@ class RunConfig:
     file_time_margin: timedelta = timedelta(days=1)
     track_files: bool = False
     files_per_run: int = 50_000
+    rescue: bool = False
     future_margin: timedelta = timedelta(days=1)
     vacuum_grace: float | None = 3600.0
     layout: Layout = field(default_factory=Layout)
@@ -91,6 +94,14 @@ class RunConfig:
     def pending_path(self) -> str:
         return f"{self.root}/pending"
 
+    @property
+    def fields_path(self) -> str:
+        return f"{self.root}/fields"
+
+    @property
+    def rescued_path(self) -> str:
+        return f"{self.root}/rescued"
+
     @property
     def files_path(self) -> str:
         return f"{self.root}/files"
@@ -399,6 +410,8 @@ def _run_new_files(
             paths = [f.file_path for f in fresh]
             marked = extract_marked(spark, config, since, run_ts, paths)
             done = process(spark, config, marked, own, run_ts, hold_future=True)
+            if config.rescue:
+                _rescue(spark, config, paths, own)
             state.record_files(spark, config.files_path, spark.createDataFrame(fresh, found.schema), own)
             sums = {c: (entry.get(c) or 0) + (done.get(c) or 0) for c in added}
             if done["status"] == "empty" and entry["status"] != "empty":
@@ -412,6 +425,26 @@ def _run_new_files(
             files.delete_folder(spark, listing)
 
 
+def _rescue(spark: SparkSession, config: RunConfig, paths: list[str], run_id: str) -> None:
+    """What the files hold beyond the schema; the same run again replaces it."""
+    if config.landing_format != "json":
+        raise ValueError("fields are rescued from JSON only")
+    known = T.StructType([f for f in config.landing_schema() if f.name != rejects.CORRUPT])
+    lines = drift.landed_lines(spark, config.landing, paths)
+    counts = drift.field_counts(drift.as_records(lines), known)
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{config.fields_path}/run={run_id}")
+    rows = drift.with_rescued(lines, known).where(F.col(drift.RESCUED).isNotNull())
+    rows.select("file", S.KEY, drift.RESCUED).write.mode("overwrite").parquet(
+        f"{config.rescued_path}/run={run_id}"
+    )
+
+
+def drift_report(spark: SparkSession, config: RunConfig) -> DataFrame:
+    """Fields, types and counts of the records of all runs that rescued."""
+    schema = f"{drift.REPORT}, run string"
+    return drift.summed(spark.read.schema(schema).parquet(config.fields_path))
+
+
 def load_batch(
     spark: SparkSession, config: RunConfig, raw: DataFrame, run_ts: datetime, run_id: str
 ) -> dict[str, Any]:

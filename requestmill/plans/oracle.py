@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from requestmill import schemas as S
 from requestmill.functions.text import WHITESPACE
-from requestmill.plans.queries import LEDGER_BATCH, RUN_TS, TIGHT_LIMITS
+from requestmill.plans.queries import LEDGER_BATCH, ROLLED, RUN_TS, TIGHT_LIMITS
 
 _FMT = "'%Y-%m-%dT%H:%M:%S.%g'"
 _SECONDS = "'%Y-%m-%d %H:%M:%S'"
@@ -212,7 +212,52 @@ def _schema_rows(missing: str | None = None, extra: str | None = None) -> str:
 _TOKENS = ", ".join(f"'{t}'" for t in S.NA_TOKENS)
 
 
+_MOVED = f"""{PROCESSED_BATCHES}, batch_c AS (SELECT * REPLACE (
+    strftime(try_cast(created_date AS TIMESTAMP) + INTERVAL 3 DAY, {_FMT}) AS created_date, 3 AS batch_id)
+  FROM batch_a WHERE seq % 4 = 0 AND try_cast(created_date AS TIMESTAMP) IS NOT NULL),
+{stages('batch_c', '_c', ', batch_id')}, processed AS (SELECT * EXCLUDE (batch_id) FROM (
+  SELECT * FROM processed_a UNION ALL SELECT * FROM processed_b UNION ALL SELECT * FROM processed_c)
+  {_NEWEST_BATCH})"""
+
+
+def _drift() -> dict[str, str]:
+    """What the records hold: the ten text columns where they are not NULL, and three further fields."""
+    wide = f"""{WITH_RAW}, w AS (SELECT *,
+      CASE WHEN seq % 5 = 0 THEN concat('c', seq % 3) END AS channel,
+      CASE WHEN seq % 7 = 0 AND seq % 2 = 0 THEN 'high' END AS priority_text,
+      CASE WHEN seq % 7 = 0 AND seq % 2 = 1 THEN CAST(seq % 10 AS VARCHAR) END AS priority_number,
+      CASE WHEN seq % 11 = 0 THEN concat('{{"cell":[', seq % 4, ',', seq % 6, ']}}') END AS geo
+      FROM raw_requests)"""
+    held = [(c, c, "STRING", "true") for c in S.RAW_COLUMNS]
+    held += [("channel", "channel", "STRING", "false"), ("priority_text", "priority", "STRING", "false")]
+    held += [("priority_number", "priority", "DECIMAL", "false"), ("geo", "geo", "OBJECT", "false")]
+    rows = " UNION ALL ".join(
+        f"SELECT '{field}' AS field, '{kind}' AS type, {known} AS is_known, count({c}) AS n_records, "
+        f"min({c}) AS least, max({c}) AS most, round(count({c}) / count(*), 6) AS share FROM w "
+        for c, field, kind, known in held
+    )
+    parts = {
+        "channel": "concat('\"channel\":\"', channel, '\"')",
+        "geo": "concat('\"geo\":', geo)",
+        "priority_text": "'\"priority\":\"high\"'",
+        "priority_number": "concat('\"priority\":', priority_number)",
+    }
+    listed = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN {text} END" for c, text in parts.items())
+    none = " AND ".join(f"{c} IS NULL" for c in parts)
+    return {
+        "drift_fields": f"{wide} SELECT * FROM ({rows}) WHERE n_records > 0",
+        "drift_rescued": f"""{wide} SELECT seq, {', '.join(S.RAW_COLUMNS)},
+          CASE WHEN NOT ({none}) THEN concat('{{', concat_ws(',', {listed}), '}}') END AS rescued FROM w""",
+    }
+
+
 def all_oracles() -> dict[str, str]:
+    found = _oracles()
+    rolled = {f"rolled_{n}": found[n].replace(PROCESSED, _MOVED, 1) for n in ROLLED}
+    return found | rolled | _drift()
+
+
+def _oracles() -> dict[str, str]:
     score = "round(avg(data_quality_score), 6)"
     positive = "CASE WHEN resolution_hours > 0 THEN resolution_hours END"
     return {

@@ -15,10 +15,11 @@ from requestmill import schemas as S
 from requestmill.functions import temporal, text
 from requestmill.operators import clean, contract, dedup, incidents, rejects, reports
 from requestmill.plans import increment as runs
+from requestmill.plans.rollups import Rollup
 from requestmill.plans.sample_data import increments, raw_requests
 from requestmill.plans.transform import TransformOptions, parse_and_dedup, transform
 from requestmill.session import use_utc, working_folder
-from requestmill.sources import landing, state, tables
+from requestmill.sources import drift, landing, state, tables
 from requestmill.sources.master import Layout, Master
 from requestmill.streaming import increments as streams
 
@@ -31,6 +32,16 @@ AS_OF = "2024-01-31T00:00:00"
 TIGHT_LIMITS = {"agency": 5, "descriptor": 7}
 LEDGER_BATCH = 1000
 
+# Reports that a rollup keeps: the query's name and the method.
+ROLLED = {
+    "overall_stats": "overall_stats",
+    "completeness_report": "completeness",
+    "quality_bands": "quality_bands",
+    "top_agencies": "top_agencies",
+    "data_summary": "data_summary",
+    "run_check": "run_check",
+}
+
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -901,6 +912,78 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.processed_master(spark, config).read()
 
 
+# Reports kept by parts --------------------------------------------------------
+
+
+def _rollup(spark: SparkSession, sf_dir: str) -> Rollup:
+    """Parts refreshed after each of three merges, the last of which moves rows to other days."""
+    root = working_folder(spark, "rollup")
+    master = Master(spark, f"{root}/processed", S.PROCESSED_SCHEMA, Layout("time"))
+    rollup = Rollup(master, f"{root}/rollup")
+    first, second = increments(spark, sf_dir)
+    dated = F.to_timestamp("created_date")
+    moved = F.date_format(dated + F.expr("INTERVAL 3 DAYS"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    third = first.where("seq % 4 = 0 AND try_to_timestamp(created_date) IS NOT NULL")
+    third = third.withColumns({"created_date": moved, "batch_id": F.lit(3)})
+    for number, batch in enumerate((first, second, third)):
+        staged = f"{root}/staged/{number}"
+        transform(batch, RUN_TS).write.parquet(staged)
+        master.merge(spark.read.parquet(staged))
+        rollup.refresh()
+    return rollup
+
+
+def _rolled(name: str, report: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(_rollup(spark, sf_dir), report)()
+
+    run.__name__ = f"rolled_{name}"
+    query(run)
+
+
+for _name, _method in ROLLED.items():
+    _rolled(_name, _method)
+
+
+# Fields beyond the schema -------------------------------------------------------
+
+
+def _wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(seq, value): raw records as JSON with fields that the schema does not have, one of two types."""
+    raw = raw_requests(spark, sf_dir)
+    base, seq = F.to_json(F.struct(*S.RAW_COLUMNS)), F.col("seq")
+
+    def field(n: int, name: str, value):
+        return F.when(seq % n == 0, F.concat(F.lit(f',"{name}":'), value)).otherwise("")
+
+    extra = F.concat(
+        field(5, "channel", F.format_string('"c%d"', seq % 3)),
+        field(7, "priority", F.when(seq % 2 == 0, '"high"').otherwise((seq % 10).cast("string"))),
+        field(11, "geo", F.format_string('{"cell":[%d,%d]}', seq % 4, seq % 6)),
+        F.lit("}"),
+    )
+    return raw.select("seq", F.concat(F.substring(base, F.lit(1), F.char_length(base) - 1), extra).alias("value"))
+
+
+@query
+def drift_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields and types of two runs' records, known or not."""
+    root = working_folder(spark, "drift")
+    config = runs.RunConfig(root, f"{root}/landing", days_back=400, track_files=True, rescue=True)
+    lines = _wide_lines(spark, sf_dir)
+    for n in range(2):
+        _land_lines(lines.where(F.col("seq") % 2 == n).select("value"), f"{config.landing}/{n}")
+        runs.run_increment(spark, config, datetime.fromisoformat(RUN_TS), f"run-{n}")
+    return runs.drift_report(spark, config)
+
+
+@query
+def drift_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's known fields and, as JSON, what lies beyond them."""
+    rows = drift.with_rescued(_wide_lines(spark, sf_dir))
+    return rows.withColumn("rescued", F.to_json(drift.RESCUED)).drop(drift.RESCUED)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw batch to overall statistics."""
     return reports.overall_stats(processed(use_utc(spark), sf_dir))

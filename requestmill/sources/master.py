@@ -199,6 +199,10 @@ class Master:
             rows = rows.where(moment < F.lit(end).cast("timestamp"))
         return rows
 
+    def rows_of(self, folders: dict[str, str]) -> DataFrame:
+        """Rows of given partitions in given folders, with the partition's name."""
+        return self._read_partitions(folders).select(*self.columns, PART)
+
     def _measure(self, new: DataFrame) -> Keys:
         """Keys and partitions of the increment, in one job that reads these two columns."""
         key = F.col(self.key)

@@ -229,13 +229,14 @@ def stream_first_by_state(
     take the exact route: they are looked up in what was written. So is every key among
     those that once came before their creation time. No row is late for the state, as arrival
     only moves forward. A replayed batch finds the state as it was and replaces its own folder.
+    Rows of one key that lie in one block of a file, and have no order column, go by all their columns.
     """
     use_utc(spark)
     source = read_stream(spark, config, files_per_batch)
     clock = F.current_timestamp() if held.clock is None else held.clock
     source = source.withColumn(ARRIVED, clock)
     if not config.order:
-        source = landing.with_row_place(landing.with_file_place(source))
+        source = landing.with_file_place(source)
     rows = clean.parse_timestamps(source, ("created_date", "closed_date"))
     marked = rejects.with_reason(rows, S.RAW_COLUMNS, undated=False)
     # rows that cannot be read have no key: each record is a group of its own
@@ -245,7 +246,7 @@ def stream_first_by_state(
         marked.withWatermark(ARRIVED, "0 seconds")
         .groupBy(F.window(ARRIVED, held.span), F.col(S.KEY).alias("_key"), refused.alias(REFUSED))
         .agg(
-            F.min_by(F.struct(*columns), F.struct(ARRIVED, config.arrival)).alias("first"),
+            F.min_by(F.struct(*columns), F.struct(ARRIVED, config.arrival, *columns)).alias("first"),
             F.min(ARRIVED).alias("since"),
             F.max(ARRIVED).alias("until"),
         )
@@ -261,6 +262,9 @@ def stream_first_by_state(
             "overwrite"
         ).parquet(staging)
         marked = session.read.parquet(staging)
+        if marked.isEmpty():  # a batch that only ends windows
+            files.delete_folder(session, staging)
+            return
         bad = rejects.rejected(marked)
         if not bad.isEmpty():
             bad.write.mode("overwrite").parquet(f"{config.rejects_path}/run=state-{epoch:012d}")
