@@ -131,33 +131,34 @@ def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame
     prints = written(fingerprints(docs, width), "fingerprints")
     classes = _classes(prints, max_bits)
     first = prints.join(classes, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = written(
-        first.select(
-            "root", F.col("doc_id").alias("__llm_first"), F.col("text_hash").alias("__llm_text")
-        ).distinct(),
-        "first-rows",
-    )
-    own = {"__llm_id": F.col("doc_id").cast("long"), "__llm_hash": F.xxhash64("text")}
-    keyed = docs.withColumns(own)
+    first = first.withColumns(_row_key(F.col("doc_id"), F.col("text_hash")))
+    first = written(first.select("root", *ROW_KEY).distinct(), "first-rows")
+    keyed = docs.withColumns(_row_key(F.col("doc_id").cast("long"), F.xxhash64("text")))
     tied = first.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     if not tied.isEmpty():  # an id with several texts of one component: the texts are compared
         among = first.join(tied, "root")
         order = Window.partitionBy("root").orderBy(F.col("text").asc_nulls_last())
         best = (
-            keyed.select("__llm_id", "__llm_hash", "text")
-            .join(among, _same_row())
+            keyed.select(*ROW_KEY, "text")
+            .join(among, ROW_KEY)
             .withColumn("n", F.row_number().over(order))
             .where("n = 1")
-            .select("root", "__llm_first", "__llm_text")
+            .select("root", *ROW_KEY)
         )
         first = first.join(tied, "root", "left_anti").unionByName(written(best, "tied-rows"))
     # copies of a row go below the exchange, one for each task stays
     kinds = ("map", "array", "struct", "variant")
     plain = [F.col(c) for c, kind in docs.dtypes if not kind.startswith(kinds) and c != "text"]
-    copies = Window.partitionBy("__llm_id", "__llm_hash").orderBy(F.lit(0), *plain)
+    copies = Window.partitionBy(*ROW_KEY).orderBy(F.lit(0), *plain)
     single = keyed.withColumn("__llm_n", F.row_number().over(copies)).where("__llm_n = 1")
-    return single.join(first, _same_row(), "left_semi").select(*docs.columns)
+    # the same keys again: texts are shuffled once
+    return single.join(first.select(*ROW_KEY), ROW_KEY, "left_semi").select(*docs.columns)
+
+
+ROW_KEY = ["__llm_id", "__llm_none", "__llm_hash"]
 
 
-def _same_row() -> Column:
-    return F.col("__llm_id").eqNullSafe(F.col("__llm_first")) & (F.col("__llm_hash") == F.col("__llm_text"))
+def _row_key(doc_id: Column, text_hash: Column) -> dict[str, Column]:
+    """What tells rows apart, without nulls."""
+    values = (F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), text_hash)
+    return dict(zip(ROW_KEY, values, strict=True))
