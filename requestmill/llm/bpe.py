@@ -2,11 +2,13 @@
 
 A rolling hash over the bytes cuts texts where their content says so, so passages that documents
 share give the same chunks wherever they stand. A chunk is encoded once in a worker and then
-looked up. A cut may fall inside a word: each join is repaired by encoding anew from the last
-blank before it to the first one after it, and by widening that stretch, word by word, until its
-encoding agrees with what stands on both sides.
+looked up: words are split and encoded for new chunks only. A cut may fall inside a word, so each join is
+repaired: the word around it is encoded anew, and a stretch of it and its neighbours is encoded by the
+tokenizer as one text. If that does not agree with the parts, the stretch is widened until its ends agree
+with the words that stand there, and takes the place of what was joined.
 
-For tokenizers that drop white space and never join what it separates; others are refused.
+For tokenizers that drop white space and cut there; others are refused. With these the first stretch
+always agrees, but it is compared all the same.
 """
 
 from __future__ import annotations
@@ -134,12 +136,35 @@ class Encoder:
         self.chunks: dict[bytes, tuple] = {}
         self.encoded_chunks = self.reused_chunks = self.widened_joins = 0
 
-    def prepare(self, texts: list[bytes]) -> None:
-        """Learn the words of several texts at once."""
+    def chunks_of(self, text: bytes) -> list[tuple[bytes, bytes]]:
+        """(digest, bytes) of each chunk."""
+        found, start = [], 0
+        for end in cut_points(text, gear=self.gear):
+            chunk = text[start:end]
+            found.append((xxhash.xxh3_128_digest(chunk), chunk))
+            start = end
+        return found
+
+    def prepare(self, texts: list[bytes]) -> list[list[tuple[bytes, bytes]]]:
+        """The chunks of several texts. Words of new chunks, and words that cuts divide, are encoded at once."""
+        plans = list(map(self.chunks_of, texts))
         words: set[bytes] = set()
-        for text in texts:
-            words.update(text.replace(b"\n", BLANK).split(BLANK))
+        new: set[bytes] = set()
+        for text, plan in zip(texts, plans, strict=True):
+            flat = text.replace(b"\n", BLANK)
+            at = 0
+            for key, chunk in plan:
+                if key not in self.chunks and key not in new:
+                    new.add(key)
+                    words.update(chunk.replace(b"\n", BLANK).split(BLANK)[1:-1])
+                at += len(chunk)
+                if len(plan) > 1 and at < len(flat):
+                    words.add(_word_at(flat, at))
+            if plan:
+                words.add(_word_at(flat, 0))
+                words.add(_word_at(flat, len(flat)))
         self._learn(words)
+        return plans
 
     def _learn(self, words: Iterable[bytes]) -> None:
         """Encode words that are not known.
@@ -196,10 +221,9 @@ class Encoder:
             found = [self.words[w] for w in words]
         return _concatenated(found)
 
-    def _chunk(self, chunk: bytes) -> tuple:
-        """(bytes up to the first blank, words between, their encoding, bytes behind the last)
+    def _chunk(self, key: bytes, chunk: bytes) -> tuple:
+        """(bytes up to the first blank, encoding of the words between, bytes behind the last)
         and the words next to the ends; a chunk without a blank is all first bytes."""
-        key = xxhash.xxh3_128_digest(chunk)
         if (known := self.chunks.get(key)) is not None:
             self.reused_chunks += 1
             return known
@@ -225,37 +249,83 @@ class Encoder:
     def _ids(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
-    def _repaired(self, bridge: bytes, before: bytes, after: bytes) -> Encoded:
-        """Encoding of what lies between two blanks around a join, in agreement with the words
-        on both sides; ``before`` and ``after`` are those words."""
-        found = self._joined([bridge])
-        wide = b" ".join(w for w in (before, bridge, after) if w)
-        sides = self._joined([w for w in (before, bridge, after) if w])
-        if " ".join(map(str, self._ids(wide))) != sides[0]:
+    def _encoded(self, ids: list[int]) -> Encoded:
+        text = self.tokenizer.decode(ids, skip_special_tokens=False)
+        return " ".join(map(str, ids)), text, len(ids)
+
+    def _repaired(self, bridge: bytes, before: bytes, after: bytes) -> Encoded | None:
+        """Encoding of what lies between two blanks around a join, if the tokenizer agrees with it beside
+        the words on both sides, ``before`` and ``after``."""
+        sides = [w for w in (before, bridge, after) if w]
+        if " ".join(map(str, self._ids(BLANK.join(sides)))) == self._joined(sides)[0]:
+            return self._joined([bridge])
+        return None
+
+    def _widened(self, text: bytes, at: int) -> tuple[int, int, Encoded]:
+        """(start, end, encoding) of a stretch around ``at`` whose ends agree with its outer words."""
+        flat = text.replace(b"\n", BLANK)
+        reach = 1
+        while True:
+            lo, hi = at, at
+            for _ in range(reach + 1):
+                lo = max(0, flat.rfind(BLANK, 0, max(0, lo - 1)) + 1) if lo else 0
+                found = flat.find(BLANK, hi + 1)
+                hi = len(flat) if found < 0 else found
+            ids = self._ids(text[lo:hi])
+            words = [w for w in flat[lo:hi].split(BLANK) if w]
+            first, last = (self._ids(w) for w in (words[0], words[-1])) if words else ([], [])
+            starts = lo == 0 or ids[: len(first)] == first
+            ends = hi == len(text) or ids[len(ids) - len(last) :] == last
+            if starts and ends:
+                if hi < len(text) and words:  # the last word is not done: it meets what follows
+                    ids, hi = ids[: len(ids) - len(last)], flat.rfind(words[-1], lo, hi)
+                return lo, hi, self._encoded(ids)
+            reach *= 2
+
+    def encode(self, text: bytes, plan: list[tuple[bytes, bytes]] | None = None) -> Encoded:
+        """(ids joined by blanks, decoded text, number of ids) of a whole text."""
+        done: list[Encoded] = []
+        while True:
+            parts, failed = self._assembled(text, self.prepare([text])[0] if plan is None else plan)
+            if failed is None:
+                return _concatenated(done + parts)
             self.widened_joins += 1
-            raise ValueError("the tokenizer joins what blanks separate")
-        return found
+            lo, hi, stretch = self._widened(text, failed)
+            ahead = text[:lo].replace(b"\n", BLANK).split(BLANK)
+            done += [self._joined([w for w in ahead if w]), stretch]
+            text, plan = text[hi:], None
 
-    def encode(self, text: bytes) -> Encoded:
-        """(ids joined by blanks, decoded text, number of ids) of a whole text."""
+    def _assembled(self, text: bytes, plan: list[tuple[bytes, bytes]]) -> tuple[list[Encoded], int | None]:
+        """Encodings to be put together, and where a join did not agree."""
         parts: list[Encoded] = []
-        start, bridge, before, cut = 0, b"", b"", False
-        for end in cut_points(text, gear=self.gear):
-            head, inner, tail, first, last = self._chunk(text[start:end])
-            start = end
+        at, join, bridge, before, cut = 0, 0, b"", b"", False
+        for key, chunk in plan:
+            head, inner, tail, first, last = self._chunk(key, chunk)
+            join = at or join
+            at += len(chunk)
             bridge += head
             if inner is None:  # no blank yet
                 cut = True
                 continue
             if bridge:
-                parts.append(
-                    self._repaired(bridge, before, first) if cut else self._joined([bridge])
-                )
+                found = self._repaired(bridge, before, first) if cut else self._joined([bridge])
+                if found is None:
+                    return parts, join
+                parts.append(found)
             parts.append(inner)
-            bridge, before, cut = tail, last, True
+            bridge, before, cut = tail, last or bridge or before, True
         if bridge:
-            parts.append(self._repaired(bridge, before, b""))
-        return _concatenated(parts)
+            found = self._repaired(bridge, before, b"")
+            if found is None:
+                return parts, join
+            parts.append(found)
+        return parts, None
+
+
+def _word_at(flat: bytes, at: int) -> bytes:
+    """What lies between the blanks around a place."""
+    start, end = flat.rfind(BLANK, 0, at) + 1, flat.find(BLANK, at)
+    return flat[start : len(flat) if end < 0 else end]
 
 
 def _encoder(spec: str) -> Encoder:
@@ -273,8 +343,7 @@ def _encode_batches(spec: str):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [t or b"" for t in part.column(1).to_pylist()]
-                encoder.prepare(texts)
-                found = list(map(encoder.encode, texts))
+                found = list(map(encoder.encode, texts, encoder.prepare(texts)))
                 ids, decoded, counts = zip(*found, strict=True) if found else ((), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [

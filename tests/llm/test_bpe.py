@@ -64,6 +64,55 @@ def test_shared_passages_are_encoded_once():
     assert encoder.encoded_chunks - before <= 3 and encoder.reused_chunks >= before - 3
 
 
+def test_only_new_chunks_are_split_into_words(monkeypatch):
+    """The words of a passage that is known are not looked at again."""
+    rng = random.Random(11)
+    shared = " ".join(f"word{rng.randint(0, 10_000)}" for _ in range(4_000)).encode()
+    encoder = bpe.Encoder(SPEC)
+    whole = encoder.encode(b"first text: " + shared)
+    asked = []
+    real = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: asked.extend(words) or real(words))
+    again = encoder.encode(b"first text: " + shared)
+    assert again == whole and len(asked) < 200
+
+
+class Joining(bpe.Encoder):
+    """A tokenizer that takes two pairs of words for one token each: blanks do not always cut."""
+
+    TOKENS = {"ice cream": 1, "new york": 2}
+
+    def _ids(self, text):
+        words, ids, k = text.decode().split(), [], 0
+        while k < len(words):
+            for said, token in self.TOKENS.items():
+                size = len(said.split())
+                if " ".join(words[k : k + size]) == said:
+                    ids.append(token)
+                    k += size
+                    break
+            else:
+                ids.append(10 + sum(words[k].encode()))
+                k += 1
+        return ids
+
+    def _learn(self, words):
+        for w in words:
+            self.words[w] = self._encoded(self._ids(w))
+
+    def _encoded(self, ids):
+        return " ".join(map(str, ids)), "", len(ids)
+
+
+def test_joins_are_widened_until_they_agree(monkeypatch):
+    """Cuts at each blank; chunks hold no inner words, so every joined token lies over joins."""
+    monkeypatch.setattr(bpe, "cut_points", lambda data, **_: [*(k + 1 for k in range(len(data)) if data[k] == 32), len(data)])
+    for text in ("we eat ice cream now", "ice cream", "in new york", "new york ice cream new york", "ice ice cream cream", "no joined one"):
+        encoder = Joining(SPEC)
+        assert encoder.encode(text.encode())[0] == " ".join(map(str, encoder._ids(text.encode())))
+        assert (encoder.widened_joins > 0) == ("no" not in text.split()[0])
+
+
 def test_cuts_follow_the_content():
     rng = random.Random(1)
     data = "".join(rng.choice("abcdefgh ") for k in range(40_000)).encode()
