@@ -22,7 +22,7 @@ class Split:
 
 @dataclass(frozen=True)
 class Sample:
-    """Documents with ``text`` and label ``y``, and how many labels there are of each kind."""
+    """Documents with ``text`` and label ``y``, and how many labelled documents there are of each kind."""
 
     rows: DataFrame
     positives: int
@@ -43,6 +43,9 @@ def sample(
         .groupBy(F.col("doc_id").cast("long").alias("__llm_id"))
         .agg(F.max(label).cast("int").alias("y"))
     )
+    # only ids are shuffled for this
+    there = docs.select(F.col("doc_id").cast("long").alias("__llm_id")).where("__llm_id IS NOT NULL")
+    known = known.join(there, "__llm_id", "left_semi")
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("__llm_id", F.lit(label))
     chosen = known.where("y = 1").orderBy(order, "__llm_id").limit(most_of_each)

@@ -21,7 +21,7 @@ from requestmill.llm.common import sliced
 from requestmill.llm.labelled import Split, sample
 
 SPLIT = Split(4, 2)
-MOST_OF_EACH = 2_000
+MOST_OF_EACH, MOST_PASSAGES = 2_000, 400  # documents of either label, passages of each
 PASSAGE = 64  # words
 # Frequent function words of four languages.
 FUNCTION_WORDS = frozenset(
@@ -172,25 +172,31 @@ class Network:
 
 def _bags(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     found = [passages(t) for t in texts]
-    starts = np.cumsum([0, *(len(f) for f in found)])[:-1]
+    starts = np.cumsum([0, *(len(f) for f in found)])[:-1].astype(np.int64)
     return np.array([p for f in found for p in f]).reshape(-1, N_FEATURES), starts
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, split: Split = SPLIT, most_of_each: int = MOST_OF_EACH
+    docs: DataFrame,
+    labels: DataFrame,
+    split: Split = SPLIT,
+    most_of_each: int = MOST_OF_EACH,
+    most_passages: int = MOST_PASSAGES,
 ) -> Network | float:
     """A trained network; the share of good labels where one of the labels is missing.
 
-    The sample is at most ``most_of_each`` documents of either label. Their passages'
-    features, some 20 numbers for 64 words, go to the driver, not their texts. The output is moved
-    from equal label shares to the shares of all learnable labels.
+    The sample is at most ``most_of_each`` documents of either label, and of each at most
+    ``most_passages`` passages, evenly spaced; all passages count where texts are scored. Passages'
+    features, some 20 numbers for 64 words, go to the driver, not texts. The output is moved
+    from equal label shares to the shares of all learnable labels of documents that are there.
     """
     chosen = sample(docs, labels, "quality", split, most_of_each)
     n1, n0 = chosen.positives, chosen.negatives
     if not (n1 and n0):
         return (n1 + 0.5) / (n1 + n0 + 1)
     rows = chosen.rows.select("y", F.col("text").cast("binary").alias("text"))
-    found = rows.mapInArrow(_feature_batches, "y int, x array<array<float>>").toPandas()
+    features = _feature_batches(most_passages)
+    found = rows.mapInArrow(features, "y int, x array<array<float>>").toPandas()
     bags = [np.stack([np.asarray(p, float) for p in bag]) for bag in found["x"]]
     starts = np.cumsum([0, *(len(b) for b in bags)])[:-1]
     x, y = np.concatenate(bags), found["y"].to_numpy(float)
@@ -200,80 +206,33 @@ def fit(
     return network
 
 
-def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.list_(pa.float32()))
-    for batch in sliced(batches):
-        found = [passages(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["y", "x"])
+def _spaced(bag: list, most: int) -> list:
+    """At most so many entries, the first and the last among them."""
+    if len(bag) <= most:
+        return bag
+    return [bag[k * (len(bag) - 1) // (most - 1)] for k in range(most)]
 
 
-def _score_batches(model: Network | float):
+def _feature_batches(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.list_(pa.float32()))
         for batch in sliced(batches):
-            if isinstance(model, float):
-                found = np.full(batch.num_rows, model)
-            else:
-                found = model.scores(*_bags(batch.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"]
-            )
+            found = [_spaced(passages(t.as_py()), most) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["y", "x"])
 
     return run
 
 
-def scores(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.forward(x, starts)["logit"], -60, 60)))
-
-
-def _bags(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    found = [passages(t) for t in texts]
-    starts = np.cumsum([0, *(len(f) for f in found)])[:-1]
-    return np.array([p for f in found for p in f]).reshape(-1, N_FEATURES), starts
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, split: Split = SPLIT, most_of_each: int = MOST_OF_EACH
-) -> Network | float:
-    """A trained network; the share of good labels where one of the labels is missing.
-
-    The sample is at most ``most_of_each`` documents of either label. Their passages'
-    features, some 20 numbers for 64 words, go to the driver, not their texts. The output is moved
-    from equal label shares to the shares of all learnable labels.
-    """
-    chosen = sample(docs, labels, "quality", split, most_of_each)
-    n1, n0 = chosen.positives, chosen.negatives
-    if not (n1 and n0):
-        return (n1 + 0.5) / (n1 + n0 + 1)
-    rows = chosen.rows.select("y", F.col("text").cast("binary").alias("text"))
-    found = rows.mapInArrow(_feature_batches, "y int, x array<array<float>>").toPandas()
-    bags = [np.stack([np.asarray(p, float) for p in bag]) for bag in found["x"]]
-    starts = np.cumsum([0, *(len(b) for b in bags)])[:-1]
-    x, y = np.concatenate(bags), found["y"].to_numpy(float)
-    network = Network.fresh(x)
-    network.train(x, starts, y)
-    network.weights["b"] = network.weights["b"] + math.log(n1 / n0)
-    return network
-
-
-def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.list_(pa.float32()))
-    for batch in sliced(batches):
-        found = [passages(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["y", "x"])
-
-
 def _score_batches(model: Network | float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                if isinstance(model, float):
-                    found = np.full(part.num_rows, model)
-                else:
-                    found = model.scores(*_bags([t.as_py() for t in part.column(1)]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"]
-                )
+            if isinstance(model, float):
+                found = np.full(batch.num_rows, model)
+            else:
+                found = model.scores(*_bags([t.as_py() for t in batch.column(1)]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"]
+            )
 
     return run
 

@@ -117,6 +117,53 @@ def test_without_labels(labelled, spark):
     assert mil_quality.fit(docs, nulls) == 0.5
 
 
+def test_labels_without_documents(labelled, no_docs):
+    """No documents, and labels of other documents only."""
+    docs, labels = labelled
+    assert mil_quality.fit(no_docs, labels) == 0.5
+    others = labels.selectExpr("doc_id + 100000 AS doc_id", "quality")
+    assert mil_quality.fit(docs, others) == 0.5
+    some = labels.selectExpr("IF(quality = 0, doc_id + 100000, doc_id) AS doc_id", "quality")
+    assert 0.9 < mil_quality.fit(docs, some) < 1
+    assert mil_quality.scores(no_docs, 0.5).count() == 0
+
+
+def test_forward_pass_by_plain_loops():
+    """Encoder, gates, softmax and mean of every bag, number by number."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    bags = [rng.normal(size=(n, mil_quality.N_FEATURES)) * 3 for n in (1, 4, 2, 7)]
+    x, starts = np.concatenate(bags), np.array([0, 1, 5, 7])
+    net = mil_quality.Network.fresh(x, hidden=4, gate=3)
+    for w in net.weights.values():
+        w += rng.normal(size=w.shape) / 3
+    w = {k: v.tolist() for k, v in net.weights.items()}
+
+    def times(v, m, b):
+        return [sum(v[i] * m[i][j] for i in range(len(v))) + b[j] for j in range(len(m[0]))]
+
+    for bag, got in zip(bags, net.scores(x, starts), strict=True):
+        codes, weights = [], []
+        for row in bag.tolist():
+            v = [max(-8, min(8, (a - m) / s)) for a, m, s in zip(row, net.mean, net.scale)]
+            h = [math.tanh(a) for a in times(v, w["E"], w["e"])]
+            t = [math.tanh(a) for a in times(h, w["V"], w["v"])]
+            s = [1 / (1 + math.exp(-a)) for a in times(h, w["U"], w["u"])]
+            codes.append(h)
+            weights.append(math.exp(sum(a * b * c[0] for a, b, c in zip(t, s, w["a"]))))
+        z = [sum(a * h[k] for a, h in zip(weights, codes)) / sum(weights) for k in range(4)]
+        logit = sum(a * o[0] for a, o in zip(z, w["o"])) + w["b"][0]
+        assert abs(1 / (1 + math.exp(-logit)) - got) < 1e-12
+
+
+def test_training_takes_a_bounded_number_of_passages():
+    assert mil_quality._spaced(list(range(10)), 4) == [0, 3, 6, 9]
+    assert mil_quality._spaced([1, 2], 4) == [1, 2]
+
+
 def test_gradients_match_differences():
     import numpy as np
 
