@@ -307,6 +307,9 @@ def _oracles() -> dict[str, str]:
             WHEN 'Queens' THEN 'QUEENS' WHEN 'Bronx' THEN 'BRONX'
             WHEN 'Staten Island' THEN 'STATEN ISLAND' WHEN 'Unspecified' THEN 'UNSPECIFIED'
             ELSE borough END AS borough FROM raw_requests""",
+        "category_lookup_by_table": f"""{WITH_RAW} SELECT seq, coalesce(c_name, descriptor) AS descriptor, way
+            FROM raw_requests LEFT JOIN customer ON descriptor = concat('user ', c_custkey)
+            CROSS JOIN (VALUES ('broadcast'), ('shuffle')) AS v(way)""",
         "date_parts": f"""{EVERY_ROW} SELECT seq, created_date, created_year, created_month,
             created_day, created_hour, strftime(created_date, '%A') AS created_weekday
             FROM flagged""",

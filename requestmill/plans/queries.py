@@ -13,7 +13,7 @@ from pyspark.errors import StreamingQueryException
 
 from requestmill import schemas as S
 from requestmill.functions import temporal, text
-from requestmill.operators import clean, contract, dedup, incidents, rejects, reports
+from requestmill.operators import clean, contract, dedup, incidents, lookup, rejects, reports
 from requestmill.plans import increment as runs
 from requestmill.plans.rollups import Rollup
 from requestmill.plans.sample_data import increments, raw_requests
@@ -40,6 +40,8 @@ ROLLED = {
     "top_agencies": "top_agencies",
     "data_summary": "data_summary",
     "run_check": "run_check",
+    "latest_created": "latest_created",
+    "latest_processed_report": "latest_processed",
 }
 
 _REGISTRY: dict[str, Query] = {}
@@ -260,6 +262,21 @@ def category_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.category_lookup(raw_requests(spark, sf_dir).select("seq", "borough"))
 
 
+@query
+def category_lookup_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users replaced by the names of customers: the mapping sent to all tasks, and shuffled."""
+    key = F.concat(F.lit("user "), F.col("c_custkey").cast("string"))
+    pairs = _table(spark, sf_dir, "customer").select(key.alias("key"), F.col("c_name").alias("value"))
+    mapping = lookup.checked(pairs)
+    raw = raw_requests(spark, sf_dir).select("seq", "descriptor")
+    ways = {"broadcast": lookup.BROADCAST_BYTES, "shuffle": 0}
+    found = [
+        lookup.look_up(raw, "descriptor", mapping, size).withColumn("way", F.lit(way))
+        for way, size in ways.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_requests(spark, sf_dir)
     return clean.parse_timestamps(raw.select("seq", "created_date", "closed_date"))

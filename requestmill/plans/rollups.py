@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from requestmill.functions import numeric, temporal, text
+from requestmill.operators import reports
 from requestmill.operators.reports import COMPLETENESS, DIGITS
 from requestmill.schemas import KEY
 from requestmill.sources import files
@@ -165,6 +166,42 @@ class Rollup:
             return self.spark.createDataFrame([], f"{PART} string, kind string, value string, n long")
         return empty.groupBy(PART).agg(*(c.alias(n) for n, c in _measures(self.bands).items()))
 
+    # Newest rows ----------------------------------------------------------------
+
+    def newest_parts(self, n: int, column: str = "created_date", key: str = KEY) -> dict[str, str]:
+        """Partitions that hold the newest ``n`` rows by a column, ties by key, and their folders.
+
+        Partitions are taken from the one with the newest row on until they have n rows; the n-th of these
+        is a bound, and only partitions whose newest row reaches it can change the result.
+        """
+        newest = {"created_date": "last_created", "processed_at": "last_processed"}[column]
+        parts = self._pointer()["parts"]
+        if not parts:
+            return {}
+        # a row for each partition, as the pointer has
+        rows = self.measures().select(PART, "n", newest).orderBy(F.desc_nulls_last(newest), PART).collect()
+        chosen, count = [], 0
+        for r in rows:
+            if count >= n:
+                break
+            chosen.append(r[PART])
+            count += r["n"]
+        first = self.master.rows_of({p: parts[p]["of"] for p in chosen})
+        top = first.orderBy(F.desc(column), F.asc(key)).limit(n).select(column).collect()
+        bound = top[-1][column] if len(top) == n else None
+        if bound is None:  # rows without a value are among them
+            return {p: x["of"] for p, x in parts.items()}
+        return {r[PART]: parts[r[PART]]["of"] for r in rows if r[newest] is not None and r[newest] >= bound}
+
+    def _newest(self, n: int, column: str) -> DataFrame:
+        return self.master.rows_of(self.newest_parts(n, column)).drop(PART)
+
+    def latest_created(self, n: int = 10) -> DataFrame:
+        return reports.latest_created(self._newest(n, "created_date"), n)
+
+    def latest_processed(self, n: int = 5) -> DataFrame:
+        return reports.latest_processed(self._newest(n, "processed_at"), n)
+
     # Reports ------------------------------------------------------------------
 
     def whole(self) -> DataFrame:

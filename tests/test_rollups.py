@@ -140,3 +140,27 @@ def test_other_bands_need_another_rollup(spark, folder):
     rollup.refresh()
     assert rollup.quality_bands().collect() == reports.quality_bands(master.read(), 70, 20).collect()
     assert rollup.closed_summary().collect() == reports.closed_summary(master.read(), "open").collect()
+
+
+@pytest.mark.parametrize("n", [1, 5, 40, 10_000])
+def test_newest_rows_read_few_partitions(spark, folder, n):
+    """Ties of the n-th row, NULL dates and rows of several batches, against the whole master."""
+    master = master_in(spark, folder, Layout("time"))
+    rollup = Rollup(master, f"{folder}/rollup")
+    assert rollup.newest_parts(n) == {}
+    first, second = increments(spark, SMALL)
+    for k, batch in enumerate((first, second)):
+        path = f"{folder}/{k}"
+        transform(batch.where("seq < 60" if k else "true"), f"2025-01-0{k + 1} 00:00:00").write.parquet(path)
+        master.merge(spark.read.parquet(path))
+    tied = [(f"t{k}", "2024-01-20T00:00:00", "A", 900_000 + k) for k in range(7)] + [("none", None, "A", 1_000_000)]
+    raw = spark.createDataFrame(tied, "unique_key string, created_date string, agency string, seq long")
+    merge(spark, master, raw.selectExpr("*", *LACKING), f"{folder}/t")
+    rollup.refresh()
+    whole = master.read().cache()
+    assert rollup.latest_created(n).collect() == reports.latest_created(whole, n).collect()
+    assert rollup.latest_processed(n).collect() == reports.latest_processed(whole, n).collect()
+    if n < 10:
+        assert len(rollup.newest_parts(n)) < len(master.pointer()["partitions"]) / 2
+        assert len(rollup.latest_created(n).inputFiles()) <= 2
+    whole.unpersist()
