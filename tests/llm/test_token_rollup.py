@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import re
+import shutil
 
 import pytest
 
@@ -51,6 +53,66 @@ def test_a_failed_attempt_does_not_count(spark, folder):
     assert state(rollup) == {("a", "en", "words-1"): (1, 10, 50)}
 
 
+def test_other_rows_under_a_known_name_are_refused(spark, folder):
+    rollup = TokenRollup(spark, f"{folder}/r")
+    first = rows(spark, [("a", "en", 10, 50), (None, None, 1, 2)])
+    rollup.commit("1", inserts(first))
+    assert not rollup.commit("1", inserts(first.repartition(3)))
+    for other in ([("a", "en", 10, 51), (None, None, 1, 2)], [("a", "en", 10, 50)], [("a", None, 10, 50), (None, "en", 1, 2)]):
+        with pytest.raises(ValueError, match="other counts"):
+            rollup.commit("1", inserts(rows(spark, other)))
+    rollup.fold()
+    assert not rollup.commit("1", inserts(first))
+    with pytest.raises(ValueError, match="other counts"):
+        rollup.commit("1", deletes(first))
+    assert state(rollup)["a", "en", "words-1"] == (1, 10, 50)
+
+
+def test_folds(spark, folder):
+    rollup = TokenRollup(spark, f"{folder}/r")
+    assert rollup.fold() == 0
+    for n in range(7):
+        rollup.commit(str(n), inserts(rows(spark, [("a", "en", n, 2 * n), (None, None, 1, 1)])))
+        if n in (2, 5):
+            assert rollup.fold() == 3 and rollup.batches() == []
+    want = {("a", "en", "words-1"): (7, 21, 42), (None, None, "words-1"): (7, 7, 7)}
+    assert state(rollup) == want and rollup.batches() == ["6"]
+    assert all(rollup.committed(str(n)) for n in range(7)) and not rollup.committed("7")
+    assert sum(n.startswith("fold=") for n in os.listdir(f"{folder}/r")) == 1
+
+
+def test_a_fold_that_is_broken_off(spark, folder, tmp_path):
+    rollup = TokenRollup(spark, f"{folder}/r")
+    for n in range(3):
+        rollup.commit(str(n), inserts(rows(spark, [("a", "en", 1, 1)])))
+    shutil.copytree(f"{folder}/r", f"{folder}/before")
+    rollup.fold()
+    want = {("a", "en", "words-1"): (3, 3, 3)}
+    # it ended before it deleted anything
+    shutil.copytree(f"{folder}/before", f"{folder}/r", dirs_exist_ok=True)
+    assert state(rollup) == want and rollup.batches() == [] and rollup.fold() == 0
+    # it ended before its names were written
+    fold = next(n for n in os.listdir(f"{folder}/r") if n.startswith("fold="))
+    os.remove(f"{folder}/r/{fold}/names/_SUCCESS")
+    assert state(rollup) == want and rollup.fold() == 3 and state(rollup) == want
+
+
+def test_long_texts_and_clashing_columns(spark, folder, odd_docs, odd_rows, no_docs):
+    docs = odd_docs.selectExpr("*", "1 AS tokenizer", "2 AS n_docs", "3 AS n_tokens", "4 AS n_chars")
+    docs = docs.selectExpr("* EXCEPT (n_words)").withColumns(
+        {"n_words": tokens(docs.text, "words-1"), "length": token_rollup.chars(docs.text)}
+    )
+    rollup = TokenRollup(spark, f"{folder}/r")
+    rollup.commit("1", inserts(counted(docs, "words-1", "n_words", "length")))
+    got = state(rollup)
+    for source, lang in {(r[3], r[2]) for r in odd_rows}:
+        own = [r[1] or "" for r in odd_rows if (r[3], r[2]) == (source, lang)]
+        n_words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in own)
+        assert got[source, lang, "words-1"] == (len(own), n_words, sum(map(len, own)))
+    assert rollup.commit("2", inserts(counted(docs.where("false"), "words-1", "n_words", "length")))
+    assert state(rollup) == got
+
+
 def test_names(spark, folder):
     for name in ("", "a/b"):
         with pytest.raises(ValueError, match="name"):
