@@ -113,8 +113,8 @@ def stream_first_of_each_key(
     First is the smallest arrival order within a batch, and the earlier batch of two. Rows
     of any age, and without a creation time, count. A frequent key costs one row for each
     reading task. A batch's keys are looked up in the key column of what was written, which
-    is sorted by key and has bloom filters. A replayed batch replaces its own folder.
-    Rows that cannot be read go to ``rejects``.
+    is sorted by key and has bloom filters; few keys are named in the scan, more are bounded. A replayed
+    batch replaces its own folder. Rows that cannot be read go to ``rejects``.
     """
     use_utc(spark)
     source = read_stream(spark, config, files_per_batch)
@@ -135,19 +135,7 @@ def stream_first_of_each_key(
             refused.write.mode("overwrite").parquet(f"{config.rejects_path}/run=first-{epoch:012d}")
         first = dedup.dedup_first(rejects.taken(marked), (config.arrival,))
         own = f"batch={epoch:012d}"
-        others = [
-            f"{target}/{n}"
-            for n in files.child_names(session, target)
-            if n.startswith("batch=") and n != own
-        ]
-        if others:
-            seen = session.read.schema(first.schema).parquet(*others).select(S.KEY)
-            held = seen.join(
-                first.select(F.col(S.KEY).alias("_new_key")),
-                F.col(S.KEY).eqNullSafe(F.col("_new_key")),
-                "left_semi",
-            )
-            first = dedup.without_keys(first, held)
+        first = _not_in(first, _batches(session, target, own))
         first.sortWithinPartitions(S.KEY).write.mode("overwrite").option(
             f"parquet.bloom.filter.enabled#{S.KEY}", "true"
         ).parquet(f"{target}/{own}")
@@ -186,26 +174,25 @@ class StateConfig:
     clock: Column | None = None
 
 
-def _listed(keys: DataFrame, column: str) -> Column | None:
-    """A condition that names the keys, if they are few."""
+def _possible(keys: DataFrame, column: str) -> Column:
+    """A condition for the scan: the keys themselves if they are few, else their range."""
+    key = F.col(column)
     few = [r[0] for r in keys.select(column).limit(LISTED_KEYS + 1).collect()]
-    if len(few) > LISTED_KEYS:
-        return None
-    named = F.col(column).isin([k for k in few if k is not None])
-    return named | F.col(column).isNull() if None in few else named
+    if len(few) <= LISTED_KEYS:
+        inside = key.isin([k for k in few if k is not None])
+        return inside | key.isNull() if None in few else inside
+    bounds = keys.agg(F.min(key), F.max(key)).first()
+    return key.between(*bounds) | key.isNull()
 
 
 def _not_in(rows: DataFrame, folders: list[str]) -> DataFrame:
-    """Rows whose key none of the folders holds. Few keys are pushed down, where files are sorted by
-    key and have a bloom filter of it."""
+    """Rows whose key none of the folders holds. Keys are pushed down, as files are sorted by key and
+    have a bloom filter of it."""
     if not folders or rows.isEmpty():
         return rows
     keys = rows.select(S.KEY).distinct()
     seen = rows.sparkSession.read.schema(rows.select(S.KEY).schema).parquet(*folders)
-    named = _listed(keys, S.KEY)
-    if named is not None:
-        seen = seen.where(named)
-    return dedup.without_keys(rows, seen)
+    return dedup.without_keys(rows, seen.where(_possible(keys, S.KEY)))
 
 
 def _batches(spark: SparkSession, path: str, own: str) -> list[str]:
