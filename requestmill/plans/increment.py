@@ -41,6 +41,8 @@ class RunConfig:
         zone in every run. Rows in new files are then taken whatever their age, so ``lookback`` has no
         meaning; only a first or full load begins some days back, and counts what it skips. The way
         to go for landing zones that keep growing.
+    arrival_folders: with ``track_files``, list only the zone's new and recent folders; the whole zone now and
+        then, and in a full load.
     files_per_run: files that one step reads; more are read in further steps.
     rescue: with ``track_files`` and JSON, count the fields and types of each run's records in ``fields``
         and keep what lies beyond the schema in ``rescued``; the files are read a second time for it.
@@ -64,6 +66,7 @@ class RunConfig:
     skip_old_files: bool = False
     file_time_margin: timedelta = timedelta(days=1)
     track_files: bool = False
+    arrival_folders: landing.ArrivalFolders | None = None
     files_per_run: int = 50_000
     rescue: bool = False
     future_margin: timedelta = timedelta(days=1)
@@ -102,6 +105,10 @@ class RunConfig:
     def rescued_path(self) -> str:
         return f"{self.root}/rescued"
 
+    @property
+    def listing_path(self) -> str:
+        return f"{self.root}/listing.json"
+
     @property
     def files_path(self) -> str:
         return f"{self.root}/files"
@@ -206,10 +213,32 @@ def extract_marked(
     return marked if config.order else landing.with_row_place(marked)
 
 
-def new_files(spark: SparkSession, config: RunConfig) -> DataFrame:
+def names_to_list(spark: SparkSession, config: RunConfig, run_ts: datetime) -> list[str] | None:
+    """What a run lists of the landing zone; None is all of it."""
+    last = files.read_document(spark, config.listing_path)
+    if config.arrival_folders is None or config.force_full or last is None:
+        return None
+    if run_ts - datetime.fromisoformat(last["full_at"]) >= config.arrival_folders.full_every:
+        return None
+    names = files.child_names(spark, config.landing)
+    return config.arrival_folders.recent(names, datetime.fromisoformat(last["listed_at"]))
+
+
+def _note_listing(spark: SparkSession, config: RunConfig, run_ts: datetime, full: bool) -> None:
+    """Note what was listed, once its files have been read. Times never go back."""
+    if config.arrival_folders is None:
+        return
+    last = files.read_document(spark, config.listing_path) or {}
+    own = run_ts.isoformat()
+    full_at = max(own, last.get("full_at", own)) if full else last["full_at"]
+    document = {"listed_at": max(own, last.get("listed_at", own)), "full_at": full_at}
+    files.write_document(spark, config.listing_path, document)
+
+
+def new_files(spark: SparkSession, config: RunConfig, names: list[str] | None = None) -> DataFrame:
     """Landed files that no run has read; one that was written again is new."""
     known = state.processed_files(spark, config.files_path)
-    return landing.landed_files(spark, config.landing).join(
+    return landing.landed_files(spark, config.landing, names).join(
         known, ["file_path", "file_time", "size_bytes"], "left_anti"
     )
 
@@ -377,11 +406,19 @@ def run_increment(
         return process(spark, config, extract_marked(spark, config, since, run_ts), run_id, run_ts)
     if not config.force_full and state.load_mark(spark, config.state_path):
         since = None
-    return _run_new_files(spark, config, since, run_ts, run_id)
+    names = names_to_list(spark, config, run_ts)
+    entry = _run_new_files(spark, config, since, run_ts, run_id, names)
+    _note_listing(spark, config, run_ts, names is None)
+    return entry
 
 
 def _run_new_files(
-    spark: SparkSession, config: RunConfig, since: str | None, run_ts: datetime, run_id: str
+    spark: SparkSession,
+    config: RunConfig,
+    since: str | None,
+    run_ts: datetime,
+    run_id: str,
+    names: list[str] | None,
 ) -> dict[str, Any]:
     """Read files that no run has read, or all of them, oldest first and some at a time.
 
@@ -389,7 +426,7 @@ def _run_new_files(
     driver for one step only. The returned entry is the last step's, with the counts of all.
     """
     full = config.force_full
-    found = landing.landed_files(spark, config.landing) if full else new_files(spark, config)
+    found = landing.landed_files(spark, config.landing) if full else new_files(spark, config, names)
     listing = f"{config.root}/staging/{run_id}-files"
     found.write.mode("overwrite").parquet(listing)
     ordered = spark.read.schema(found.schema).parquet(listing).orderBy("file_time", "file_path")

@@ -504,6 +504,12 @@ def _oracles() -> dict[str, str]:
               count(*) FILTER (WHERE n < 3 AND landing <= n AND kind = 'future') AS pending_count,
               count(*) FILTER (WHERE landing = n AND early) AS skipped_count
             FROM p CROSS JOIN r GROUP BY n""",
+        "runs_over_arrival_folders": f"""{WITH_RAW}, p AS (SELECT * FROM (VALUES
+              ('run-1', '2025-01-01', 0), ('run-2', '2025-01-05', 1), ('run-3', '2025-01-04', 3),
+              ('run-3', '2025-01-06', 4), ('run-4', '2025-01-01', 2)) AS v(run_id, folder_day, share)),
+            n AS (SELECT run_id, count(*) FILTER (WHERE seq % 97 <> 0) AS raw_count
+              FROM raw_requests JOIN p ON seq % 5 = share GROUP BY run_id)
+            SELECT run_id, folder_day, CAST(1 AS BIGINT) AS n_files, raw_count FROM p JOIN n USING (run_id)""",
         "processed_files": """SELECT CAST(3 AS BIGINT) AS n_files, CAST(3 AS BIGINT) AS n_runs,
             '2025-01-01' AS first_day, '2025-01-03' AS last_day, CAST(3 AS BIGINT) AS n_listed
             FROM events HAVING count(*) > 0""",

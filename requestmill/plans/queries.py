@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -782,6 +782,29 @@ def three_runs_of_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_counts(spark, config)
 
 
+@query
+def runs_over_arrival_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each run took: a file late in an old folder is found by the next listing of all folders."""
+    root = working_folder(spark, "arrival-folders")
+    folders = landing.ArrivalFolders(look_back=timedelta(days=1), full_every=timedelta(days=10))
+    config = runs.RunConfig(
+        root, f"{root}/landing", order="seq", days_back=400, track_files=True, arrival_folders=folders
+    )
+    raw = raw_requests(spark, sf_dir)
+    # (landings of a run, as folder day and share of the rows; day of the run)
+    plan = (([(1, 0)], 1), ([(5, 1)], 5), ([(1, 2), (4, 3), (6, 4)], 6), ([], 12))
+    for n, (landings, day) in enumerate(plan, start=1):
+        for folder_day, share in landings:
+            part = raw.where(F.col("seq") % 5 == share).coalesce(1)
+            _land(part, f"{config.landing}/arrival_date=2025-01-{folder_day:02d}")
+        runs.run_increment(spark, config, datetime(2025, 1, day, 12), f"run-{n}")
+    known = state.processed_files(spark, config.files_path)
+    day = F.regexp_extract("file_path", r"arrival_date=([0-9-]+)/", 1).alias("folder_day")
+    taken = known.groupBy("run_id", day).agg(F.count("*").alias("n_files"))
+    counts = state.read_ledger(spark, config.ledger_path).select("run_id", "raw_count")
+    return taken.join(counts, "run_id")
+
+
 def _tracked(spark: SparkSession, sf_dir: str, **more) -> runs.RunConfig:
     """Three landings, a run after each; every run reads the new files only."""
     root = working_folder(spark, "tracked")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,12 +52,57 @@ def read_landing(
     return reader.format(fmt).load(path if paths is None else list(paths))
 
 
-def landed_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, file_time, size_bytes) of the landing zone; contents are not read."""
+@dataclass(frozen=True)
+class ArrivalFolders:
+    """A landing zone whose folders are named by the day their files arrive.
+
+    layout: such a name, as ``strftime`` writes it. Other names in the zone are listed in every run.
+    look_back: folders of this span before the last listing are listed again, for files that arrive late.
+    full_every: after this span a run lists the whole zone, for files in still older folders.
+    """
+
+    layout: str = "arrival_date=%Y-%m-%d"
+    look_back: timedelta = timedelta(days=2)
+    full_every: timedelta = timedelta(days=7)
+
+    def day(self, name: str) -> datetime | None:
+        try:
+            return datetime.strptime(name, self.layout)
+        except ValueError:
+            return None
+
+    def recent(self, names: Sequence[str], listed_at: datetime) -> list[str]:
+        """The names whose day is not over by ``look_back`` before ``listed_at``, and those without a day."""
+        since = listed_at - self.look_back - timedelta(days=1)
+        days = {name: self.day(name) for name in names if not _hidden(name)}
+        return [name for name, day in days.items() if day is None or day > since]
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark does not read."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+FILES_SCHEMA = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("file_time", T.TimestampType()),
+        T.StructField("size_bytes", T.LongType()),
+    ]
+)
+
+
+def landed_files(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
+    """(file_path, file_time, size_bytes) of the landing zone; contents are not read.
+
+    ``names``: only these folders and files of the zone are listed.
+    """
+    if names is not None and not names:
+        return spark.createDataFrame([], FILES_SCHEMA)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(path if names is None else [f"{path}/{name}" for name in names])
         .select(
             F.col("path").alias("file_path"),
             F.col("modificationTime").alias("file_time"),

@@ -1,0 +1,113 @@
+"""Landed files are found by arrival folder, late ones by a listing of the whole zone."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+
+from requestmill.plans import increment
+from requestmill.plans.increment import RunConfig, processed_master, run_increment
+from requestmill.sources import files, landing
+from requestmill.sources.landing import ArrivalFolders
+
+FOLDERS = ArrivalFolders(look_back=timedelta(days=1), full_every=timedelta(days=30))
+
+
+def land(config, name, key):
+    path = Path(config.landing, name)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    record = {"unique_key": key, "created_date": "2025-01-01T00:00:00", "agency": "A"}
+    path.write_text(json.dumps(record) + "\n")
+
+
+def run(spark, config, day):
+    return run_increment(spark, config, datetime(2025, 1, 1, 12) + timedelta(days=day - 1))
+
+
+def keys(spark, config):
+    return sorted(r["unique_key"] for r in processed_master(spark, config).read().collect())
+
+
+@pytest.fixture
+def listed(monkeypatch):
+    """The names that each listing was given."""
+    calls = []
+    real = landing.landed_files
+
+    def noted(spark, path, names=None):
+        calls.append(names)
+        return real(spark, path, names)
+
+    monkeypatch.setattr(landing, "landed_files", noted)
+    return calls
+
+
+def config_for(folder, **more):
+    return RunConfig(
+        f"{folder}/root", f"{folder}/landing", track_files=True,
+        **{"arrival_folders": FOLDERS, "days_back": 60, **more},
+    )
+
+
+def test_recent_names():
+    names = ["arrival_date=2025-01-01", "arrival_date=2025-01-03", "other", "a.json", "_SUCCESS", ".x", "arrival_date=odd"]
+    some = FOLDERS.recent(names, datetime(2025, 1, 4, 12))
+    assert some == ["arrival_date=2025-01-03", "other", "a.json", "arrival_date=odd"]
+    # the folder of the day that ``look_back`` leads to belongs to them, at whatever hour
+    assert "arrival_date=2025-01-03" in FOLDERS.recent(names, datetime(2025, 1, 4, 0, 0, 0))
+    assert "arrival_date=2025-01-03" in FOLDERS.recent(names, datetime(2025, 1, 4, 23, 59, 59))
+    assert FOLDERS.recent([], datetime(2025, 1, 4)) == []
+    assert ArrivalFolders("%Y%m%d").day("20250102") == datetime(2025, 1, 2)
+
+
+def test_old_folders_are_not_listed_until_all_are(spark, folder, listed):
+    config = config_for(folder)
+    land(config, "arrival_date=2025-01-01/1.json", "a")
+    run(spark, config, 1)
+    land(config, "arrival_date=2025-01-10/1.json", "b")
+    run(spark, config, 10)
+    land(config, "arrival_date=2025-01-01/2.json", "late")
+    land(config, "arrival_date=2025-01-09/1.json", "late by a day")
+    land(config, "arrival_date=2025-01-11/1.json", "c")
+    land(config, "undated.json", "d")
+    assert run(spark, config, 11)["raw_count"] == 3
+    assert listed[0] is None
+    assert listed[1] == ["arrival_date=2025-01-01", "arrival_date=2025-01-10"]
+    assert listed[2] == [f"arrival_date=2025-01-{d}" for d in ("09", "10", "11")] + ["undated.json"]
+    assert keys(spark, config) == ["a", "b", "c", "d", "late by a day"]
+    run(spark, config, 31)
+    assert listed[3] is None
+    assert keys(spark, config) == ["a", "b", "c", "d", "late", "late by a day"]
+    assert run(spark, config, 32)["status"] == "empty" and listed[4] == ["undated.json"]
+
+
+def test_a_failed_run_lists_the_same_folders_again(spark, folder, listed, monkeypatch):
+    config = config_for(folder)
+    land(config, "arrival_date=2025-01-01/1.json", "a")
+    run(spark, config, 1)
+    land(config, "arrival_date=2025-01-02/1.json", "b")
+    with monkeypatch.context() as broken:
+        broken.setattr(increment, "process", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(spark, config, 20)
+    assert files.read_document(spark, config.listing_path)["listed_at"].startswith("2025-01-01")
+    run(spark, config, 21)
+    assert listed[1] == listed[2] and keys(spark, config) == ["a", "b"]
+    # a run with an earlier time does not set the listing back
+    run(spark, config, 3)
+    assert files.read_document(spark, config.listing_path)["listed_at"].startswith("2025-01-21")
+
+
+def test_nothing_to_list_and_full_loads(spark, folder, listed):
+    config = config_for(folder)
+    land(config, "arrival_date=2025-01-01/1.json", "a")
+    run(spark, config, 1)
+    run(spark, config, 15)
+    assert run(spark, config, 16)["status"] == "empty" and listed[-1] == []
+    run(spark, config_for(folder, force_full=True), 16)
+    assert listed[-1] is None
+    run(spark, config_for(folder, arrival_folders=None), 17)
+    assert listed[-1] is None
