@@ -307,6 +307,14 @@ def _oracles() -> dict[str, str]:
             WHEN 'Queens' THEN 'QUEENS' WHEN 'Bronx' THEN 'BRONX'
             WHEN 'Staten Island' THEN 'STATEN ISLAND' WHEN 'Unspecified' THEN 'UNSPECIFIED'
             ELSE borough END AS borough FROM raw_requests""",
+        "collated_value_counts": f"""{WITH_RAW}, t AS (SELECT
+              CASE WHEN seq % 3 = 0 THEN lower(borough) ELSE borough END
+              || CASE WHEN seq % 4 = 0 THEN '  ' ELSE '' END AS text FROM raw_requests),
+            s AS (SELECT text, count(*) AS n FROM t GROUP BY text),
+            r AS (SELECT *, lower(rtrim(text)) AS k,
+              row_number() OVER (PARTITION BY lower(rtrim(text)) ORDER BY n DESC, text) AS place FROM s)
+            SELECT max(text) FILTER (WHERE place = 1) AS value, CAST(sum(n) AS BIGINT) AS n_rows,
+              count(*) AS n_spellings FROM r GROUP BY k""",
         "category_lookup_by_table": f"""{WITH_RAW} SELECT seq, coalesce(c_name, descriptor) AS descriptor, way
             FROM raw_requests LEFT JOIN customer ON descriptor = concat('user ', c_custkey)
             CROSS JOIN (VALUES ('broadcast'), ('shuffle')) AS v(way)""",

@@ -13,7 +13,7 @@ from pyspark.errors import StreamingQueryException
 
 from requestmill import schemas as S
 from requestmill.functions import temporal, text
-from requestmill.operators import clean, contract, dedup, incidents, lookup, rejects, reports
+from requestmill.operators import clean, collated, contract, dedup, incidents, lookup, rejects, reports
 from requestmill.plans import increment as runs
 from requestmill.plans.rollups import Rollup
 from requestmill.plans.sample_data import increments, raw_requests
@@ -262,6 +262,15 @@ def category_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.category_lookup(raw_requests(spark, sf_dir).select("seq", "borough"))
 
 
+@query
+def collated_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boroughs of raw records, some in lower case and some with blanks at the end, by their collation."""
+    text = F.when(F.col("seq") % 3 == 0, F.lower("borough")).otherwise(F.col("borough"))
+    text = F.when(F.col("seq") % 4 == 0, F.concat(text, F.lit("  "))).otherwise(text)
+    raw = raw_requests(spark, sf_dir).select(text.alias("borough"))
+    return collated.value_counts(raw, "borough")
+
+
 @query
 def category_lookup_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users replaced by the names of customers: the mapping sent to all tasks, and shuffled."""
