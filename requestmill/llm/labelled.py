@@ -1,4 +1,4 @@
-"""A bounded sample of labelled documents to fit a classifier on."""
+"""Labelled documents to fit a classifier on: all of them, or a bounded sample."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from requestmill.llm.common import written
+
 
 @dataclass(frozen=True)
 class Split:
@@ -29,14 +31,10 @@ class Sample:
     negatives: int
 
 
-def sample(
-    docs: DataFrame, labels: DataFrame, label: str, split: Split, most_of_each: int
-) -> Sample:
-    """At most ``most_of_each`` documents of either label, chosen by a hash of the id.
-
-    This bounds what a classifier is fitted on, nothing else. Labels given twice count once (the
-    larger one); null labels and labels without a document teach nothing.
-    """
+def _known(
+    docs: DataFrame, labels: DataFrame, label: str, split: Split
+) -> tuple[DataFrame, dict[int, int]]:
+    """(__llm_id, y) of the labels that may be learned from, and how many there are of each kind."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
         .where(~split.column(F.col("doc_id")))
@@ -47,6 +45,42 @@ def sample(
     there = docs.select(F.col("doc_id").cast("long").alias("__llm_id")).where("__llm_id IS NOT NULL")
     known = known.join(there, "__llm_id", "left_semi")
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    return known, sizes
+
+
+def _one_of_each(rows: DataFrame) -> DataFrame:
+    """One document of each id, the one with the smallest text."""
+    one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    rows = rows.withColumn("n", F.row_number().over(one)).where("n = 1")
+    return rows.select("doc_id", "text", "y")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, split: Split) -> Sample:
+    """All documents with a label that is not held out.
+
+    Labels given twice count once (the larger one); null labels and labels without a document teach
+    nothing.
+    """
+    known, sizes = _known(docs, labels, label, split)
+    known = written(known, f"{label}-labels")  # Spark sees its size: texts are shuffled only if it is large
+    texts = docs.select(F.col("doc_id").cast("long"), "text").where(~split.column(F.col("doc_id")))
+    n = sum(sizes.values())
+    # one shuffle by id, for the join and the choice between rows of one id
+    rows = texts.join(known, F.col("doc_id") == F.col("__llm_id")).repartition(
+        max(1, min(16, n // 100), n // 4_000), "doc_id"
+    )
+    return Sample(_one_of_each(rows), sizes.get(1, 0), sizes.get(0, 0))
+
+
+def sample(
+    docs: DataFrame, labels: DataFrame, label: str, split: Split, most_of_each: int
+) -> Sample:
+    """At most ``most_of_each`` documents of either label, chosen by a hash of the id.
+
+    This bounds what a classifier is fitted on, nothing else. Labels given twice count once (the
+    larger one); null labels and labels without a document teach nothing.
+    """
+    known, sizes = _known(docs, labels, label, split)
     order = F.xxhash64("__llm_id", F.lit(label))
     chosen = known.where("y = 1").orderBy(order, "__llm_id").limit(most_of_each)
     chosen = chosen.unionByName(
@@ -56,6 +90,4 @@ def sample(
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(
         F.broadcast(chosen), F.col("doc_id") == F.col("__llm_id")
     )
-    one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    rows = rows.withColumn("n", F.row_number().over(one)).where("n = 1")
-    return Sample(rows.select("doc_id", "text", "y"), sizes.get(1, 0), sizes.get(0, 0))
+    return Sample(_one_of_each(rows), sizes.get(1, 0), sizes.get(0, 0))

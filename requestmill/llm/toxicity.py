@@ -2,9 +2,9 @@
 
 Words that look disguised (digits, signs or foreign letters for letters, letters set apart, letters
 repeated) become a lattice of what each character may stand for; a separator is either put into a
-word or a real border of words. Viterbi decoding under a character language model of the whole corpus
-and the counted words of a sample restores the likeliest words. Restored texts are
-scored with words whose weights are learned from labels. Numbers without a letter are not words.
+word or a real border of words. Viterbi decoding under a character language model and the counted
+words, both of the whole corpus, restores the likeliest words. Restored texts are scored with words
+whose weights are learned from every label that is not held out. Numbers without a letter are not words.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from requestmill.llm.common import sliced, written
-from requestmill.llm.labelled import Split, sample
+from requestmill.llm.labelled import Split, labelled
 
 SPLIT = Split(3, 1)
-MOST_OF_EACH = 2_000
+KNOWN_SHARE = 1e-6  # a known word's least share of all words; so there are a million at most
+COUNTED = 100_000  # different words that a task counts before it hands them on
+CHANCE = 0.05  # of any feature that only chance makes look toxic, however many there are
 OTHER = 27  # code of letters beyond a-z; 0 is the border of a word
 SIZE, SIZE2 = 28, 28 * 28
 PREFIXES = (4, 5, 6, 7, 8)  # bytes; inflected and compound forms share them
@@ -66,7 +68,7 @@ KNOWN, UNKNOWN = math.log(0.9), math.log(0.1)
 _LETTERS = bytes(
     b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_BLANKS = {b: " " for b in range(128) if chr(b) in ".,;:?!\"'()[]{}<>/\\-_"}
+_BLANKS = bytes(32 if chr(b) in ".,;:?!\"'()[]{}<>/\\-_" else b for b in range(256))
 _CODES = np.array(
     [b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else OTHER if b >= 128 else 0 for b in range(256)],
     np.int64,
@@ -331,9 +333,15 @@ def suspects(lowered: str) -> dict[str, None]:
 
 
 class Restorer:
-    def __init__(self, model: CharModel, words: dict[str, int] | None = None):
+    """Reads disguised words; with ``starts`` only those with a reading that may begin with one of them."""
+
+    def __init__(
+        self, model: CharModel, words: dict[str, int] | None = None, starts: frozenset[bytes] | None = None
+    ):
         self.model = model
         self.lexicon = Lexicon(words or {})
+        self.starts = starts
+        self.heads = frozenset(s[:k] for s in starts or () for k in range(len(s)))
         self.known: dict[str, list[bytes]] = {}
         self.room = REMEMBERED
 
@@ -363,7 +371,30 @@ class Restorer:
                 self.known[seen] = found
         return found
 
+    def _may_start(self, seen: str) -> bool:
+        """Whether the first bytes of what any path of a token's lattice spells are among ``starts``."""
+        paths = {b""}
+        for sign in seen:
+            after = set(paths) if not sign.isalnum() else set()
+            for letter, _, _ in _readings(sign):
+                spelt = letter.encode()
+                for path in paths:
+                    longer = path + spelt
+                    if len(longer) >= PREFIXES[0]:
+                        if longer[: PREFIXES[0]] in self.starts:
+                            return True
+                    elif longer in self.heads or longer in self.starts:
+                        after.add(longer)
+                    if path.endswith(spelt):
+                        after.add(path)
+            paths = after
+            if not paths:
+                return False
+        return any(path in self.starts for path in paths)
+
     def _restore(self, seen: str) -> list[bytes]:
+        if self.starts is not None and " " not in seen and not self._may_start(seen):
+            return []
         if " " in seen:  # as one word, too: it may be one that is not known
             readings = [read(seen, self.model, self.lexicon)]
             if seen.isascii():
@@ -410,49 +441,90 @@ def char_counts(docs: DataFrame) -> np.ndarray:
     return total
 
 
-def _word_batches(counts: np.ndarray, known: dict[str, int]):
+def _read_batches(counts: np.ndarray, known: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(CharModel(counts), known)
         for batch in sliced(batches):
-            ids, words, before = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                last, seen = b"", set()
-                for w in restorer.words(text.as_py() or b""):
-                    if w not in seen:
-                        seen.add(w)
-                        ids.append(doc_id)
-                        words.append(w)
-                        before.append(last)
-                    last = w
+            words = [b" ".join(restorer.words(text.as_py() or b"")) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], ["y", "words"])
+
+    return run
+
+
+def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of either label that hold a word, of so many documents as a task has counted."""
+    total: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for y, words in enumerate(total):
+            n, none = pa.array(words.values(), pa.int64()), pa.array(np.zeros(len(words), np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(words, pa.binary()), pa.array(before, pa.binary())],
-                ["doc_id", "word", "before"],
+                [pa.array(words.keys(), pa.binary()), n if y else none, none if y else n], ["word", "c1", "c0"]
             )
+            words.clear()
 
-    return run
+    for batch in sliced(batches):
+        for y, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            total[y].update(set(words.as_py().split()))
+        if len(total[0]) + len(total[1]) > COUNTED:
+            yield from counted()
+    yield from counted()
 
 
-def _plain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's different words with the one before the first of each."""
     for batch in sliced(batches):
-        total: Counter[str] = Counter()
-        for text in batch.column(1):
-            lowered = (text.as_py() or b"").decode("utf-8", "replace").lower()
-            total.update(_APART.sub(" ", lowered).translate(_BLANKS).split())
-        words = [w for w in total if w.isalpha()]
+        found: dict[tuple[bytes, bytes], None] = {}
+        for words in batch.column(0):
+            last, seen = b"", set()
+            for w in words.as_py().split():
+                if w not in seen:
+                    seen.add(w)
+                    found[w, last] = None
+                last = w
         yield pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), pa.array([total[w] for w in words], pa.int64())],
-            ["word", "n"],
+            [pa.array([w for w, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())],
+            ["word", "before"],
         )
 
 
-def plain_words(texts: DataFrame, least: int = 3) -> dict[str, int]:
-    """Undisguised words that stand ``least`` times in a sample.
+def _plain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of letters and how often they stand; the empty word stands for all of them."""
+    total: Counter[bytes] = Counter()
+
+    def counted() -> pa.RecordBatch:
+        words: Counter[str] = Counter()
+        for seen, n in total.items():
+            word = seen.decode()
+            for part in (word,) if word.isalpha() else word.split():  # at blanks beyond ASCII
+                if part.isalpha():
+                    words[part] += n
+        words[""] = words.total()
+        total.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"]
+        )
+
+    for batch in sliced(batches):
+        for text in batch.column(0):
+            lowered = (text.as_py() or b"").decode("utf-8", "replace").lower()
+            total.update(_APART.sub(" ", lowered).encode().translate(_BLANKS).split())
+        if len(total) > COUNTED:
+            yield counted()
+    yield counted()
+
+
+def plain_words(texts: DataFrame, least: int = 3, share: float = KNOWN_SHARE) -> dict[str, int]:
+    """Undisguised words that stand ``least`` times in the texts and make up ``share`` of all their words.
 
     Letters set apart are no words, nor are words with letters typed three times or with doubled
     letters beside a more frequent word without them.
     """
     found = texts.mapInArrow(_plain_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    known = {r["word"]: r["n"] for r in found.where(F.col("n") >= least).collect()}
+    found = written(found.where((F.col("n") >= least) | (F.col("word") == "")), "plain-words")
+    total = sum(r["n"] for r in found.where("word = ''").collect())  # one row
+    often = found.where((F.col("word") != "") & (F.col("n") >= share * total))
+    known = {r["word"]: r["n"] for r in often.collect()}  # 1 / share rows at most
     single = {w: _REPEATED.sub(r"\1", w) for w in known}
     return {
         w: n
@@ -468,7 +540,7 @@ def features(word: bytes) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs: features and words of a bounded sample, and a table of fixed size."""
+    """What scoring needs: features, known words, and a table of fixed size."""
 
     counts: np.ndarray
     weights: dict[bytes, float]
@@ -476,34 +548,50 @@ class Model:
     offset: float
     known: dict[str, int] = field(default_factory=dict)
 
-    def restorer(self) -> Restorer:
-        return Restorer(CharModel(self.counts), self.known)
+    def restorer(self, starts: frozenset[bytes] | None = None) -> Restorer:
+        return Restorer(CharModel(self.counts), self.known, starts)
 
     def starts(self) -> frozenset[bytes]:
         """First bytes of all features: most words are dismissed by them."""
         return frozenset(w.rstrip(b"*")[: PREFIXES[0]] for w in self.weights)
 
     def evidence(self, words: list[bytes], starts: frozenset[bytes]) -> float:
-        """Sum over different words of each one's strongest feature."""
-        total = 0.0
-        for w in {w for w in words if w[:4] in starts}:
-            total += max((self.weights.get(f, 0.0) for f in features(w)), default=0.0)
-        return total
+        """Sum over different words of each one's strongest feature, the same in any order."""
+        return math.fsum(
+            max((self.weights.get(f, 0.0) for f in features(w)), default=0.0)
+            for w in {w for w in words if w[:4] in starts}
+        )
 
     def score(self, words: list[bytes], starts: frozenset[bytes]) -> float:
         x = self.offset + self.slope * min(self.evidence(words, starts), 50.0)
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """(offset, slope) by Newton steps, with a small penalty so that separable data end."""
-    design = np.stack([np.ones_like(x), x], axis=1)
-    w = np.zeros(2)
+def _logistic(points: DataFrame, steps: int = 50) -> tuple[float, float]:
+    """(offset, slope) by Newton steps, with a small penalty so that separable data end.
+
+    ``points`` are (y, x). Each step's sums over all of them are Spark's, in decimals, so that their
+    order changes nothing.
+    """
+    points = points.groupBy("x").agg(F.sum("y").alias("n1"), F.count("*").alias("n"))
+    points = written(points, "toxic-evidence")
+    x, w = F.col("x"), np.zeros(2)
+
+    def exact(term: Column) -> Column:
+        return F.sum(term.cast("decimal(38,12)"))
+
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        slope = design.T @ (y - p) - np.array([0.01, 0.5]) * w
-        curve = (design * (p * (1 - p))[:, None]).T @ design + np.diag([0.01, 0.5])
-        w = w + np.clip(np.linalg.solve(curve, slope), -4, 4)
+        at = F.greatest(F.least(float(w[0]) + float(w[1]) * x, F.lit(30.0)), F.lit(-30.0))
+        p = 1 / (1 + F.exp(-at))
+        misses, bends = F.col("n1") - F.col("n") * p, F.col("n") * p * (1 - p)
+        terms = [misses, misses * x, bends, bends * x, bends * x * x]
+        g0, g1, h0, h1, h2 = map(float, points.agg(*map(exact, terms)).first())
+        slope = np.array([g0, g1]) - np.array([0.01, 0.5]) * w
+        curve = np.array([[h0, h1], [h1, h2]]) + np.diag([0.01, 0.5])
+        step = np.clip(np.linalg.solve(curve, slope), -4, 4)
+        w = w + step
+        if np.abs(step).max() < 1e-9:
+            break
     return float(w[0]), max(0.0, float(w[1]))
 
 
@@ -511,42 +599,47 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     split: Split = SPLIT,
-    most_of_each: int = MOST_OF_EACH,
     least_places: int = 4,
     sureness: float = 2.4,
     caution: float = 2.0,
     least_weight: float = 1.0,
 ) -> Model:
-    """Character model of all texts, and feature weights from a sample of labelled documents.
+    """Character model and words of all texts, and feature weights from all documents with a label.
 
     A word or prefix counts if its log odds exceed ``sureness`` standard errors and it stands behind
     ``least_places`` different words in toxic documents, whatever their number: what only
-    copies of one document share says nothing. Its weight is the log odds less ``caution``
-    standard errors, at least ``least_weight``. Without labels of both kinds every score is the share
-    of toxic labels.
+    copies of one document share says nothing. The more words there are, the more of them stand in
+    toxic documents by chance, so that chance has to be below ``CHANCE`` for all of them together;
+    documents with the same word before are one witness in it. A weight is the log odds less ``caution`` standard errors, at least ``least_weight``. Without
+    labels of both kinds every score is the share of toxic labels.
     """
     counts = char_counts(docs)
-    chosen = sample(docs, labels, "toxic", split, most_of_each)
-    n1, n0 = min(chosen.positives, most_of_each), min(chosen.negatives, most_of_each)
-    prior = math.log((chosen.positives + 0.5) / (chosen.negatives + 0.5))
+    chosen = labelled(docs, labels, "toxic", split)
+    n1, n0 = chosen.positives, chosen.negatives
     if not (n1 and n0):
-        return Model(counts, {}, 0.0, prior)
-    rows = written(chosen.rows, "toxic-sample")
-    texts = rows.select("doc_id", F.col("text").cast("binary").alias("text")).repartition(
-        min(16, max(1, (n1 + n0) // 100)), "doc_id"
-    )
-    known = plain_words(texts)
-    found = texts.mapInArrow(_word_batches(counts, known), "doc_id long, word binary, before binary")
-    seen = found.join(rows.select("doc_id", "y"), "doc_id")
-    # one row for each word and neighbour first: no set of neighbours is gathered
-    per_pair = seen.groupBy("word", "before").agg(
-        F.sum("y").alias("c1"), F.sum(1 - F.col("y")).alias("c0")
-    )
-    per_word = per_pair.groupBy("word").agg(
-        F.sum("c1").alias("c1"),
-        F.sum("c0").alias("c0"),
-        F.count_if(F.col("c1") > 0).alias("places"),
-    )
+        return Model(counts, {}, 0.0, math.log((n1 + 0.5) / (n0 + 0.5)))
+    known = plain_words(docs.select(F.col("text").cast("binary").alias("text")))
+    texts = chosen.rows.select("y", F.col("text").cast("binary").alias("text"))
+    rows = written(texts.mapInArrow(_read_batches(counts, known), "y int, words binary"), "toxic-words")
+    weights = _weights(rows, n1, n0, least_places, sureness, caution, least_weight)
+    model = Model(counts, weights, 1.0, 0.0, known)
+    offset, slope = _logistic(rows.mapInArrow(_evidence_batches(model), "y int, x double"))
+    return Model(counts, weights, slope, offset, known)
+
+
+def _weights(
+    rows: DataFrame,
+    n1: int,
+    n0: int,
+    least_places: int,
+    sureness: float,
+    caution: float,
+    least_weight: float,
+) -> dict[bytes, float]:
+    """Weights of the features of (y, words), ``n1`` toxic rows and ``n0`` others."""
+    per_word = rows.mapInArrow(_label_counts, "word binary, c1 long, c0 long")
+    per_word = per_word.groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
+    per_word = written(per_word, "toxic-counts")
     star = F.lit(b"*")
     prefixes = F.array(
         *(
@@ -554,42 +647,47 @@ def fit(
             for k in PREFIXES
         )
     )
+    parts = F.explode(F.array_compact(F.concat(F.array("word"), prefixes))).alias("feature")
     per_feature = (
-        per_word.select(
-            F.explode(F.array_compact(F.concat(F.array("word"), prefixes))).alias("feature"),
-            "c1",
-            "c0",
-            "places",
-        )
+        per_word.select(parts, "c1", "c0")
         .groupBy("feature")
-        .agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"), F.sum("places").alias("places"))
+        .agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
     )
     odds = F.log((F.col("c1") + 0.5) / (n1 + 1)) - F.log((F.col("c0") + 0.5) / (n0 + 1))
     error = F.sqrt(1 / (F.col("c1") + 0.5) + 1 / (F.col("c0") + 0.5))
-    lexicon = per_feature.withColumn("weight", odds - caution * error).where(
-        (F.col("places") >= least_places)
+    # Chernoff's bound of the chance that so many of a feature's documents are toxic
+    tested = max(1, per_word.count()) * (1 + len(PREFIXES))
+    both = F.col("c1") + F.col("c0")
+    surprise = F.col("c1") * F.log(F.col("c1") / (both * (n1 / (n1 + n0)))) + F.when(
+        F.col("c0") > 0, F.col("c0") * F.log(F.col("c0") / (both * (n0 / (n1 + n0))))
+    ).otherwise(0.0)
+    sure = per_feature.withColumn("weight", odds - caution * error).where(
+        (F.col("c1") >= least_places)
+        & (surprise > math.log(tested / CHANCE))
         & (odds > sureness * error)
         & (F.col("weight") > least_weight)
     )
-    # no more than the sample's words and their prefixes
-    weights = {bytes(r["feature"]): r["weight"] for r in lexicon.collect()}
-    model = Model(counts, weights, 1.0, 0.0, known)
-    data = rows.select("y", F.col("text").cast("binary").alias("text")).mapInArrow(
-        _evidence_batches(model), "y int, x double"
-    ).toPandas()
-    offset, slope = _logistic(data["x"].to_numpy(), data["y"].to_numpy(float))
-    shift = prior - math.log((n1 + 0.5) / (n0 + 0.5))
-    return Model(counts, weights, slope, offset + shift, known)
+    sure = written(sure.select("feature", "weight", (surprise / F.col("c1")).alias("each")), "toxic-features")
+    held = per_word.where("c1 > 0").select("word", parts).join(sure, "feature")
+    # places are looked up only for words of sure features: one row for each word and neighbour
+    pairs = rows.where("y = 1").select("words").mapInArrow(_neighbours, "word binary, before binary")
+    pairs = pairs.join(held.select("word").distinct(), "word", "left_semi").distinct()
+    places = pairs.groupBy("word").agg(F.count("*").alias("places"))
+    lexicon = (
+        held.join(places, "word")
+        .groupBy("feature", "weight", "each")
+        .agg(F.sum("places").alias("places"))
+        .where((F.col("places") >= least_places) & (F.col("places") * F.col("each") > math.log(tested / CHANCE)))
+    )
+    # features of the model only: what too few documents hold is never sure
+    return {bytes(r["feature"]): r["weight"] for r in lexicon.collect()}
 
 
 def _evidence_batches(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, starts = model.restorer(), model.starts()
+        starts = model.starts()
         for batch in sliced(batches):
-            found = [
-                min(50.0, model.evidence(restorer.words(t.as_py() or b""), starts))
-                for t in batch.column(1)
-            ]
+            found = [min(50.0, model.evidence(words.as_py().split(), starts)) for words in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.float64())], ["y", "x"]
             )
@@ -599,7 +697,8 @@ def _evidence_batches(model: Model):
 
 def _score_batches(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, starts = model.restorer(), model.starts()
+        starts = model.starts()
+        restorer = model.restorer(starts)
         for batch in sliced(batches):
             found = [model.score(restorer.words(t.as_py() or b""), starts) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -621,7 +720,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def _flag_batches(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, starts = model.restorer(), model.starts()
+        starts = model.starts()
+        restorer = model.restorer(starts)
         for batch in sliced(batches):
             texts = batch.column(batch.schema.get_field_index("text"))
             keep = [

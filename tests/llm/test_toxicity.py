@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from requestmill.llm import toxicity
 from requestmill.llm.toxicity import CharModel, Restorer, decode
@@ -266,3 +267,134 @@ def test_rare_words_are_learned_from_many_documents(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     fitted = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert len({w for w in fitted.weights if w.decode() in rude}) > 50
+
+
+def test_every_label_is_learned(spark):
+    """The rude words stand only in toxic documents that come late by the hash of their ids."""
+    rng = random.Random(8)
+    plain = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(100)]
+    ids = spark.range(7_200).where(~toxicity.SPLIT.column(F.col("id")) & (F.col("id") % 2 == 1))
+    late = {r["id"] for r in ids.orderBy(F.xxhash64("id", F.lit("toxic"))).collect()[2_000:]}
+    assert len(late) > 200
+    rows = []
+    for i in range(7_200):
+        text = rng.choices(plain, k=12)
+        if i in late:
+            text.insert(rng.randint(0, 12), "m0r0n" if i % 3 else "scumbag")
+        rows.append((i, " ".join(text)))
+    rows += [(10_000 + i, "unlabelled words teach reading") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.range(7_200).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    fitted = toxicity.fit(docs, labels)
+    assert {b"moron", b"scumbag"} <= set(fitted.weights)
+    assert fitted.known["unlabelled"] == 3
+    texts = [r[1].encode() for r in rows if r[0] < 7_200 and r[0] in late]
+    restorer, starts = fitted.restorer(), fitted.starts()
+    assert min(fitted.score(restorer.words(t), starts) for t in texts) >= 0.7
+
+
+def test_weights_count_each_row(spark):
+    """Counts and places of all rows against a plain count."""
+    rng = random.Random(9)
+    words = [a + b for a in ("idiot", "moron", "river", "house") for b in ("", "s", "ish", "like")]
+    rows = []
+    for i in range(900):
+        y = int(i % 6 == 0)
+        rows.append((y, " ".join(rng.choices(words, [10 if y else 0.1] * 8 + [3] * 8, k=6)).encode()))
+    got = toxicity._weights(
+        spark.createDataFrame(rows, "y int, words binary").repartition(5), 150, 750, 4, 2.4, 2.0, 1.0
+    )
+    c, places = {}, {}
+    for y, text in rows:
+        seen, last = set(), b""
+        for w in text.split():
+            if w not in seen:
+                seen.add(w)
+                for f in toxicity.features(w):
+                    c.setdefault(f, [0, 0])[y] += 1
+                    if y:
+                        places.setdefault(f, set()).add((w, last))
+            last = w
+    want = {}
+    tested = len({w for _, text in rows for w in text.split()}) * 6
+    for f, (c0, c1) in c.items():
+        odds = np.log((c1 + 0.5) / 151) - np.log((c0 + 0.5) / 751)
+        error = np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
+        parts = [(k, k / (c0 + c1) / share) for k, share in ((c1, 1 / 6), (c0, 5 / 6)) if k]
+        n = len(places.get(f, ()))
+        if n * sum(k * np.log(q) for k, q in parts) <= max(1, c1) * np.log(tested / toxicity.CHANCE):
+            continue
+        if n >= 4 and odds > 2.4 * error and odds - 2 * error > 1:
+            want[f] = odds - 2 * error
+    assert want and got == pytest.approx(want)
+
+
+def test_newton_steps_over_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.exponential(2, 3_000), 2)
+    y = (rng.random(3_000) < 1 / (1 + np.exp(3 - 1.5 * x))).astype(int)
+    points = spark.createDataFrame(list(zip(y.tolist(), x.tolist(), strict=True)), "y int, x double")
+    offset, slope = toxicity._logistic(points.repartition(3))
+    p = 1 / (1 + np.exp(-(offset + slope * x)))
+    assert abs((y - p).sum() - 0.01 * offset) < 1e-5
+    assert abs(((y - p) * x).sum() - 0.5 * slope) < 1e-5
+    assert toxicity._logistic(points.repartition(7)) == (offset, slope)
+
+
+@pytest.mark.parametrize("words", [["idiot", "moron", "scum"], ["ass", "\u043c\u043erte", "ibis"], []])
+def test_tokens_that_cannot_begin_a_feature_are_not_read(model, words):
+    """Skipping them changes no evidence."""
+    rng = random.Random(4)
+    fitted = toxicity.Model(model.counts, {w.encode(): 2.0 for w in words}, 1.0, 0.0, model.known)
+    starts = fitted.starts()
+    whole, some = fitted.restorer(), fitted.restorer(starts)
+    swaps = {"i": "1!|i*", "o": "0o\u043e*", "s": "5$s", "a": "@4a\u0430\u00e1", "m": "m\u043c", "t": "7+t"}
+    pool = [*words, "idiot", "river", "assistant", "missing", "\u043c\u043ere"]
+    for _ in range(400):
+        seen = "".join(rng.choice(swaps.get(c, c)) * rng.choice((1, 1, 1, 2, 3)) for c in rng.choice(pool))
+        text = f"so {rng.choice(('', '!', '$'))}{seen} there".encode()
+        assert fitted.evidence(some.words(text), starts) == fitted.evidence(whole.words(text), starts)
+    assert not words or any(some.known.values())
+
+
+def test_plain_words_of_all_texts(spark):
+    texts = ["One two, two-three\u00a0four", "ONE four a b c d FOUR", None, "one i\u2003 tw0"] * 3
+    docs = spark.createDataFrame([(t and t.encode(),) for t in texts], "text binary").repartition(3)
+    want = {"one": 9, "two": 6, "three": 3, "four": 9, "i": 3}
+    assert toxicity.plain_words(docs) == want
+    assert toxicity.plain_words(docs, share=0.25) == {"one": 9, "four": 9}
+
+
+def test_words_in_toxic_documents_by_chance(spark):
+    """Of many rare words some stand only in toxic documents."""
+    rng = random.Random(6)
+    rare = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(4_000)]
+    rows = []
+    for i in range(3_000):
+        text = rng.choices(rare, k=8) + ["idiot"] * (i % 10 == 0)
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fitted = toxicity.fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 10 = 0 AS INT) AS toxic"))
+    assert {w.rstrip(b"*") for w in fitted.weights} <= {b"idiot", b"idio"}
+    assert b"idiot" in fitted.weights
+
+
+def test_near_copies_are_one_witness(spark):
+    """Near copies of a toxic document, each with another word changed: its words are no signs."""
+    rng = random.Random(7)
+    plain = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(2_000)]
+    long = ["".join(rng.choices("pqrstuvw", k=6)) for _ in range(40)]
+    rows = []
+    for i in range(2_000):
+        text = rng.choices(plain, k=12)
+        if i % 10 == 0:
+            if i % 20 == 0:
+                text = list(long)
+                text[i // 20 % 40] = rng.choice(plain)
+            text.insert(i // 20 * 7 % len(text), "idiot")
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fitted = toxicity.fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 10 = 0 AS INT) AS toxic"))
+    assert not set(fitted.weights) & {w.encode() for w in long}
+    assert b"idiot" in fitted.weights
