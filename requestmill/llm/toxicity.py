@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from requestmill.llm.labelled import Split, labelled
 SPLIT = Split(3, 1)
 KNOWN_SHARE = 1e-6  # a known word's least share of all words; so there are a million at most
 COUNTED = 100_000  # different words that a task counts before it hands them on
+TOGETHER = 4_000_000  # bytes of texts whose words are counted at once
 CHANCE = 0.05  # of any feature that only chance makes look toxic, however many there are
 OTHER = 27  # code of letters beyond a-z; 0 is the border of a word
 SIZE, SIZE2 = 28, 28 * 28
@@ -75,12 +77,18 @@ _CODES = np.array(
 )
 _SIGNS = "a-z0-9@$!|+*\\u0080-\\U0010ffff"
 _APART = re.compile(rf"(?<![{_SIGNS}])(?:[{_SIGNS}][ ._-]+){{2,}}[{_SIGNS}](?![{_SIGNS}])")
-# Kinds of bytes: 0 outside of tokens, 1 a letter a-z, 2 a digit, a sign or a part of another letter.
-_KINDS = np.array(
-    [1 if 97 <= b <= 122 else 2 if b >= 128 or chr(b) in "0123456789@$!|+*" else 0 for b in range(256)],
-    np.uint8,
+# Tokens are of letters, digits, signs and parts of other letters.
+_TOKENS = bytes(
+    b if 97 <= b <= 122 or b >= 128 or chr(b) in "0123456789@$!|+*" else 32 for b in range(256)
 )
-_SUSPECT = re.compile(r"[^a-z]|([a-z])\1")
+# A byte for each character: x in a token, a blank for a separator, a line end for anything else.
+_SHAPES = bytes(
+    32 if chr(b) in SEPARATORS else 10 if _TOKENS[b] == 32 else 120 for b in range(256)
+)
+_FURTHER = bytes(range(128, 192))  # second and later bytes of a character
+# Two in a row that stand alone, and three; both begin with a fixed string, so they are fast.
+_TWO_ALONE, _THREE_ALONE = re.compile(rb" x  *x(?!x)"), re.compile(rb"x x x(?<!xx x x)(?!x)")
+_SUSPECT, _SUSPECT_BYTES = re.compile(r"[^a-z]|([a-z])\1"), re.compile(rb"[^a-z]|([a-z])\1")
 _REPEATED, _THRICE = re.compile(r"(.)\1+"), re.compile(r"(.)\1\1")
 _WORDLIKE = re.compile(r"[a-z@$\u0080-\U0010ffff]")
 _EDGES = "@$!|+*"
@@ -262,6 +270,11 @@ def _readings(sign: str) -> list[tuple[str, tuple[int, ...], float]]:
     return _letters(sign)
 
 
+@cache
+def _chances(sign: str) -> dict[str, float]:
+    return {letter: q for letter, _, q in _letters(sign)}
+
+
 def read(seen: str, model: CharModel, lexicon: Lexicon) -> str:
     """The likeliest words behind disguised text, with blanks between them.
 
@@ -299,7 +312,7 @@ def read(seen: str, model: CharModel, lexicon: Lexicon) -> str:
                 done += 1
             spelt = _spell_any(spelt, letters[0][2], model, nothing, done - place)
         new_known = {k: (p + NOTHING, w) for k, (p, w) in known.items()} if nothing else {}
-        chances = {letter: q for letter, _, q in letters}
+        chances = _chances(sign)
         for node, (p, path) in known.items():
             below = lexicon.next[node]
             if len(chances) < len(below):
@@ -317,19 +330,23 @@ def read(seen: str, model: CharModel, lexicon: Lexicon) -> str:
     return _spelt_out(end[1]) if end else ""
 
 
-def suspects(lowered: str) -> dict[str, None]:
+def suspects(lowered: bytes, plain: frozenset[bytes] = frozenset()) -> list[str]:
     """Different tokens of two and more characters that are not plain words: those with anything
-    but a-z, or a letter twice in a row."""
-    data = b" " + lowered.encode() + b" "
-    codes = np.frombuffer(data, np.uint8)
-    kinds = _KINDS[codes]
-    odd = kinds == 2
-    odd[1:] |= (codes[1:] == codes[:-1]) & (kinds[1:] == 1)
-    gaps = np.flatnonzero(kinds == 0)
-    behind = np.unique(np.searchsorted(gaps, np.flatnonzero(odd)))
-    bounds = zip((gaps[behind - 1] + 1).tolist(), gaps[behind].tolist(), strict=True)
-    found = dict.fromkeys(data[start:end] for start, end in bounds if end - start > 1)
-    return {seen: None for seen in (token.decode() for token in found) if len(seen) > 1}
+    but a-z, or a letter twice in a row, and not among ``plain``."""
+    tokens = dict.fromkeys(lowered.translate(_TOKENS).split())
+    odd = _SUSPECT_BYTES.search
+    found = [token.decode() for token in tokens if token not in plain and odd(token)]
+    return [seen for seen in found if len(seen) > 1]
+
+
+def set_apart(data: bytes) -> bool:
+    """Whether ``_APART`` finds anything in a text in UTF-8."""
+    shapes = data.translate(_SHAPES, _FURTHER)
+    if not _TWO_ALONE.search(shapes):
+        return False
+    while b"  " in shapes:
+        shapes = shapes.replace(b"  ", b" ")
+    return _THREE_ALONE.search(shapes) is not None
 
 
 class Restorer:
@@ -340,6 +357,7 @@ class Restorer:
     ):
         self.model = model
         self.lexicon = Lexicon(words or {})
+        self.plain = frozenset(w.encode() for w in self.lexicon.words)
         self.starts = starts
         self.heads = frozenset(s[:k] for s in starts or () for k in range(len(s)))
         self.known: dict[str, list[bytes]] = {}
@@ -352,11 +370,13 @@ class Restorer:
 
     def restored(self, text: bytes) -> list[bytes]:
         lowered = text.decode("utf-8", "replace").lower()
+        data = lowered.encode()
         out: list[bytes] = []
-        for seen in suspects(lowered):
+        for seen in suspects(data, self.plain):
             out += self._read(seen)
-        for m in _APART.finditer(lowered):
-            out += self._read(re.sub("[ ._-]+", " ", m[0]))
+        if set_apart(data):
+            for m in _APART.finditer(lowered):
+                out += self._read(re.sub("[ ._-]+", " ", m[0]))
         return out
 
     def _read(self, seen: str) -> list[bytes]:
@@ -488,30 +508,43 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _plain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of letters and how often they stand; the empty word stands for all of them."""
-    total: Counter[bytes] = Counter()
-
-    def counted() -> pa.RecordBatch:
-        words: Counter[str] = Counter()
-        for seen, n in total.items():
-            word = seen.decode()
-            for part in (word,) if word.isalpha() else word.split():  # at blanks beyond ASCII
-                if part.isalpha():
-                    words[part] += n
-        words[""] = words.total()
-        total.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"]
-        )
+def _word_counts(texts: list[bytes]) -> pa.RecordBatch:
+    """Words of letters and how often they stand in lower-case texts; the empty word stands for all of them."""
+    whole = pa.array([b" ".join(texts).translate(_BLANKS)], pa.string())
+    found = pc.value_counts(pc.list_flatten(pc.ascii_split_whitespace(whole)))
+    plain = pc.ascii_is_alpha(found.field("values"))
+    words, n = (found.field(k).filter(plain) for k in ("values", "counts"))
+    others: Counter[str] = Counter()
+    rest = found.filter(pc.invert(plain))
+    for word, times in zip(rest.field("values").to_pylist(), rest.field("counts").to_pylist(), strict=True):
+        for part in (word,) if word.isalpha() else word.split():  # at blanks beyond ASCII
+            if part.isalpha():
+                others[part] += times
+    others[""] = others.total() + (pc.sum(n).as_py() or 0)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([words, pa.array(others.keys(), pa.string())]),
+            pa.concat_arrays([n, pa.array(others.values(), pa.int64())]),
+        ],
+        ["word", "n"],
+    )
 
+
+def _plain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word counts of so many texts at once as have ``TOGETHER`` bytes."""
+    texts: list[bytes] = []
+    size = 0
     for batch in sliced(batches):
         for text in batch.column(0):
             lowered = (text.as_py() or b"").decode("utf-8", "replace").lower()
-            total.update(_APART.sub(" ", lowered).encode().translate(_BLANKS).split())
-        if len(total) > COUNTED:
-            yield counted()
-    yield counted()
+            data = lowered.encode()
+            texts.append(_APART.sub(" ", lowered).encode() if set_apart(data) else data)
+            size += len(data)
+            if size >= TOGETHER:
+                yield _word_counts(texts)
+                texts.clear()
+                size = 0
+    yield _word_counts(texts)
 
 
 def plain_words(texts: DataFrame, least: int = 3, share: float = KNOWN_SHARE) -> dict[str, int]:
